@@ -3,13 +3,13 @@
 Spark's own exact ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here a
 first pass only counts values per order-preserving bucket (a few thousand buckets per group, whatever the
 size of the data, combined on the map side); the cumulative counts tell which buckets hold the wanted
-ranks, and a second pass ranks the values of those buckets alone. The result is the same number as the
-exact percentile with linear interpolation.
+ranks, and a second pass ranks the values of those buckets alone, or is left out when each of them holds
+a single distinct value. The result is the same number as the exact percentile with linear interpolation.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,14 +41,6 @@ def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> tuple[DataFrame, bo
     return df.sparkSession.createDataFrame(head, df.schema), True
 
 
-def _hint(df: DataFrame, is_local: bool) -> DataFrame:
-    return F.broadcast(df) if is_local else df
-
-
-def _rank(p: float, total: Column) -> Column:
-    return F.lit(float(p)) * (total - 1)
-
-
 def group_stats(
     df: DataFrame,
     keys: Sequence[str],
@@ -70,61 +62,77 @@ def group_stats(
     keys = list(keys)
     value = null_if_nan(col(of).cast("double"))
     df = df.withColumn("_v", value).withColumn("_b", order_bucket(F.col("_v")))
-    names = list(quantiles)
-    sets = [[*keys, "_b"], list(keys)]
-    counted = df.groupingSets(sets, *keys, "_b").agg(
-        *aggs, F.count("_v").alias("_n"), F.grouping("_b").alias("_all")
+    counted = df.groupingSets([[*keys, "_b"], list(keys)], *keys, "_b").agg(
+        *aggs,
+        F.count("_v").alias("_n"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.grouping("_b").alias("_all"),
     )
 
-    # bucket rows of a group in value order; the row of the whole group carries 0
+    # bucket rows of a group in value order; the row of the whole group counts nothing
     bucket_n = F.when(F.col("_all") == 0, F.col("_n")).otherwise(0)
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_all", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counted.withColumns(
-        {"_total": F.sum(bucket_n).over(group), "_before": F.sum(bucket_n).over(upto) - bucket_n}
-    )
-    first, last = F.col("_before"), F.col("_before") + F.col("_n") - 1
-    total = F.col("_total")
-    holds = F.lit(False)
-    for p in sorted(set(quantiles.values())):
-        for rank in (F.floor(_rank(p, total)), F.ceil(_rank(p, total))):
-            holds = holds | rank.between(first, last)
-    wanted = (F.col("_all") == 0) & (F.col("_n") > 0) & holds
+        {"_total": F.sum(bucket_n).over(group), "_last": F.sum(bucket_n).over(upto) - 1}
+    ).withColumn("_first", F.col("_last") - F.col("_n") + 1)
+    wanted = (F.col("_all") == 0) & (F.col("_n") > 0) & _holds_rank(quantiles.values())
     level1, is_local = settle(placed.where((F.col("_all") == 1) | wanted), max_local_rows)
 
-    stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_all", "_total", "_before")
-    chosen = level1.where(F.col("_all") == 0).select(*keys, "_b", "_total", "_before")
-    picked = (
-        df.select(*keys, "_b", "_v")
-        .join(_hint(chosen, is_local), [*keys, "_b"])
-        .groupBy(*keys, "_b", "_total", "_before", "_v")
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    in_bucket = (
-        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = picked.withColumn("_last", F.col("_before") + F.sum("_m").over(in_bucket) - 1).withColumn(
-        "_first", F.col("_last") - F.col("_m") + 1
-    )
+    stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_min", "_max", "_all", "_total", "_first", "_last")
+    chosen = level1.where(F.col("_all") == 0)
+    shape = [*keys, "_total", "_first", "_last", "_v"]
+    ranked = chosen.where("_min = _max").withColumn("_v", F.col("_min")).select(*shape)
+    mixed = chosen.where("_min < _max")
+    if not is_local or not mixed.isEmpty():
+        ranked = ranked.unionByName(_rank_within(df, mixed, keys, is_local).select(*shape))
+
     ends = []
-    for i, name in enumerate(names):
-        r = _rank(quantiles[name], total)
-        for end, rank in (("lo", F.floor(r)), ("hi", F.ceil(r))):
+    for i, p in enumerate(quantiles.values()):
+        for end, rank in (("lo", F.floor(_rank(p))), ("hi", F.ceil(_rank(p)))):
             hit = rank.between(F.col("_first"), F.col("_last"))
             ends.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{end}{i}"))
     found = ranked.groupBy(*keys).agg(*ends, F.max("_total").alias("_total"))
     result = []
-    for i, name in enumerate(names):
-        r = _rank(quantiles[name], total)
+    for i, (name, p) in enumerate(quantiles.items()):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        result.append((lo + (hi - lo) * (r - F.floor(r))).alias(name))
+        result.append((lo + (hi - lo) * (_rank(p) - F.floor(_rank(p)))).alias(name))
     found = found.select(*keys, *result)
     if not keys:
-        one = F.lit(1).alias("_one")
-        return stats.withColumn("_one", one).join(found.withColumn("_one", one), "_one", "left").drop("_one")
+        return stats.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
     return stats.join(found, keys, "left")
 
 
+def _rank(p: float) -> Column:
+    """0-based position of a quantile among the values of its group."""
+    return F.lit(float(p)) * (F.col("_total") - 1)
+
+
+def _holds_rank(probs: Iterable[float]) -> Column:
+    """Whether the ranks ``_first`` to ``_last`` include one that a quantile needs."""
+    holds = F.lit(False)
+    for p in sorted(set(probs)):
+        for rank in (F.floor(_rank(p)), F.ceil(_rank(p))):
+            holds = holds | rank.between(F.col("_first"), F.col("_last"))
+    return holds
+
+
+def _rank_within(df: DataFrame, buckets: DataFrame, keys: list[str], is_local: bool) -> DataFrame:
+    """First and last rank of every value in the given buckets (second scan)."""
+    buckets = buckets.select(*keys, "_b", "_total", F.col("_first").alias("_start"))
+    counted = (
+        df.select(*keys, "_b", "_v")
+        .join(F.broadcast(buckets) if is_local else buckets, [*keys, "_b"])
+        .groupBy(*keys, "_b", "_total", "_start", "_v")
+        .agg(F.count(F.lit(1)).alias("_m"))
+    )
+    upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumn("_last", F.col("_start") + F.sum("_m").over(upto) - 1).withColumn(
+        "_first", F.col("_last") - F.col("_m") + 1
+    )
+
+
 def exact_quantiles(df: DataFrame, column: Column | str, probs: Sequence[float]) -> list[float | None]:
     """Quantiles of one column as plain numbers (a handful of values, for bucket edges and fences)."""
     names = {f"q{i}": float(p) for i, p in enumerate(probs)}
