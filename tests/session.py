@@ -14,6 +14,7 @@ def local_session(cpus: str = "8", app: str = "loadlens-tests") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LOADLENS_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
