@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +31,16 @@ def order_bucket(v: Column) -> Column:
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size)
 
 
-def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> tuple[DataFrame, bool]:
+def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> tuple[DataFrame, pa.Table | None]:
     """Run a frame that is expected to be small and return it as a local table of known size.
 
-    At most ``max_rows + 1`` rows are fetched. When there are more, the frame itself comes back and
-    joins with it shuffle as usual. The flag says which of the two happened.
+    At most ``max_rows + 1`` rows are fetched. When there are more, the frame itself comes back without a
+    local copy, and joins with it shuffle as usual.
     """
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(head, df.schema), True
+        return df, None
+    return df.sparkSession.createDataFrame(head, df.schema), head
 
 
 def group_stats(
@@ -62,13 +64,13 @@ def group_stats(
     keys = list(keys)
     value = null_if_nan(col(of).cast("double"))
     df = df.withColumn("_v", value).withColumn("_b", order_bucket(F.col("_v")))
-    counted = df.groupingSets([[*keys, "_b"], list(keys)], *keys, "_b").agg(
-        *aggs,
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.grouping("_b").alias("_all"),
-    )
+    counts = [F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    if aggs:
+        counted = df.groupingSets([[*keys, "_b"], list(keys)], *keys, "_b").agg(
+            *aggs, *counts, F.grouping("_b").alias("_all")
+        )
+    else:
+        counted = df.groupBy(*keys, "_b").agg(*counts).withColumn("_all", F.lit(0))
 
     # bucket rows of a group in value order; the row of the whole group counts nothing
     bucket_n = F.when(F.col("_all") == 0, F.col("_n")).otherwise(0)
@@ -78,15 +80,19 @@ def group_stats(
         {"_total": F.sum(bucket_n).over(group), "_last": F.sum(bucket_n).over(upto) - 1}
     ).withColumn("_first", F.col("_last") - F.col("_n") + 1)
     wanted = (F.col("_all") == 0) & (F.col("_n") > 0) & _holds_rank(quantiles.values())
-    level1, is_local = settle(placed.where((F.col("_all") == 1) | wanted), max_local_rows)
-
-    stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_min", "_max", "_all", "_total", "_first", "_last")
-    chosen = level1.where(F.col("_all") == 0)
+    empty = F.col("_total") == 0
+    level1, local = settle(placed.where((F.col("_all") == 1) | wanted | empty), max_local_rows)
+
+    if aggs:
+        stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_min", "_max", "_all", "_total", "_first", "_last")
+    else:
+        stats = level1.select(*keys).distinct()
+    chosen = level1.where((F.col("_all") == 0) & ~empty)
     shape = [*keys, "_total", "_first", "_last", "_v"]
     ranked = chosen.where("_min = _max").withColumn("_v", F.col("_min")).select(*shape)
-    mixed = chosen.where("_min < _max")
-    if not is_local or not mixed.isEmpty():
-        ranked = ranked.unionByName(_rank_within(df, mixed, keys, is_local).select(*shape))
+    if local is None or _any_mixed(local):
+        mixed = chosen.where("_min < _max")
+        ranked = ranked.unionByName(_rank_within(df, mixed, keys, local is not None).select(*shape))
 
     ends = []
     for i, p in enumerate(quantiles.values()):
@@ -99,6 +105,8 @@ def group_stats(
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         result.append((lo + (hi - lo) * (_rank(p) - F.floor(_rank(p)))).alias(name))
     found = found.select(*keys, *result)
+    if not keys and not aggs:
+        return found
     if not keys:
         return stats.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
     return stats.join(found, keys, "left")
@@ -118,6 +126,12 @@ def _holds_rank(probs: Iterable[float]) -> Column:
     return holds
 
 
+def _any_mixed(level1: pa.Table) -> bool:
+    """Whether some chosen bucket holds more than one distinct value."""
+    buckets = level1.filter(pc.equal(level1["_all"], 0))
+    return bool(pc.any(pc.less(buckets["_min"], buckets["_max"])).as_py())
+
+
 def _rank_within(df: DataFrame, buckets: DataFrame, keys: list[str], is_local: bool) -> DataFrame:
     """First and last rank of every value in the given buckets (second scan)."""
     buckets = buckets.select(*keys, "_b", "_total", F.col("_first").alias("_start"))

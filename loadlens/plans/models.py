@@ -207,11 +207,22 @@ def _arity(df: DataFrame) -> int:
     return max(sizes, default=0)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over as many partitions as there are cores, if the input has fewer (a small or filtered table).
+
+    A learner passes over its rows many times, so one shuffle of them pays; larger inputs stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.select(F.spark_partition_id().alias("part")).distinct().count()
+    return df.repartition(cores) if parts < cores else df
+
+
 def fit_learner(prepared: DataFrame, learner: Estimator, bins: int = 256) -> Model:
     """Fit on prepared rows; trees get enough bins to hold the widest category."""
     ensure_checkpoints(prepared.sparkSession)
     if learner.hasParam("maxBins"):
         learner = learner.copy({learner.getParam("maxBins"): max(bins, _arity(prepared))})
+        prepared = spread(prepared)
     return learner.fit(prepared)
 
 
