@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions import columns as C
 from loadlens.functions import constants as K
-from loadlens.functions.features import create_features, refined_features
+from loadlens.functions.features import (
+    BASE_NUMERIC,
+    REFINED_CATEGORICAL,
+    REFINED_NUMERIC,
+    create_features,
+    refined_features,
+)
 from loadlens.operators import audit, buckets, evaluate, gates, rows, strategy, summary
+from loadlens.plans import models, scoring, validation
 from loadlens.sources import domains, star
+from loadlens.sources.shared import shared_dir
+from loadlens.sources.tables import parse_dates, parse_numeric
+from loadlens.streaming import requests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,8 +118,6 @@ on_loads("feature_quality", lambda d: audit.feature_quality(create_features(d)))
 @query("lenient_parsing")
 def lenient_parsing(spark: SparkSession, sf: str) -> DataFrame:
     """Dates and numbers from text with faults in it: what cannot be parsed is missing, not an error."""
-    from loadlens.sources.tables import parse_dates, parse_numeric
-
     n = F.col("l_partkey") % 7
     text = star.table(spark, sf, "lineitem").select(
         "l_orderkey",
@@ -425,5 +436,189 @@ def scenario_series(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(buckets.scenario_series(_scenario(spark, sf)))
 
 
-def names(prefix: Sequence[str] = ()) -> list[str]:
-    return [n for n in QUERIES if not prefix or n.startswith(tuple(prefix))]
+# ---------------------------------------------------------------- models
+
+# Settings of the registered model queries: whole tables, few trees. The library's defaults are full size.
+TRIAL_GBT = {"trees": 5, "rate": 0.3, "depth": 4}
+
+
+def _split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return rows.time_split(create_features(star.loads(spark, sf)), SPLIT)
+
+
+@query("impute_median")
+def impute_median(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians learned before the split date."""
+    return rounded(models.medians(_split(spark, sf)[0], BASE_NUMERIC))
+
+
+@query("impute_mode")
+def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
+    return models.modes(_split(spark, sf)[0], ["pickup", "delivery", "equipment", "route"])
+
+
+@query("filled_rows")
+def filled_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Validation rows with their gaps filled from the training rows."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    filler = models.MissingFiller(["weight", "market_index"], ["equipment"]).fit(train)
+    return rounded(filler.transform(valid).select("load_id", "date", "distance", "weight", "market_index", "equipment"))
+
+
+@query("onehot_unknown")
+def onehot_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    """Levels learned without reefers; the unknown level then codes to zeros."""
+    d = star.loads(spark, sf).select("equipment")
+    stages, (coded,) = models.category_stages(["equipment"], onehot=True)
+    coder = Pipeline(stages=stages).fit(d.where(F.col("equipment") != "Reefer"))
+    attrs = coder.transform(d.limit(0)).schema[coded].metadata["ml_attr"]["attrs"]
+    slots = {a["name"]: a["idx"] for group in attrs.values() for a in group}
+    hot = vector_to_array(coded)
+    return (
+        coder.transform(d)
+        .groupBy("equipment")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(hot[slots["Dry Van"]]).cast("long").alias("hot_dry_van"),
+            F.sum(hot[slots["Flatbed"]]).cast("long").alias("hot_flatbed"),
+        )
+    )
+
+
+def _fitted(name: str, fit: Callable[[DataFrame], PipelineModel], random: bool = False) -> None:
+    """Register the validation metrics of a model; ``random`` splits by key hash instead of by time."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        train, valid = rows.random_split(create_features(star.loads(spark, sf))) if random else _split(spark, sf)
+        return evaluate.regression_metrics(fit(train).transform(valid))
+
+    QUERIES[name] = run
+
+
+_fitted("ridge_random_split", lambda t: models.fit_rate_model(t, alpha=10.0, onehot=True), random=True)
+_fitted("ridge_metrics", lambda t: models.fit_rate_model(t, alpha=10.0, onehot=True))
+_fitted("rf_random_split", lambda t: models.fit_rate_model(t, models.rf_regressor(trees=5, depth=8)), random=True)
+_fitted("rf_metrics", lambda t: models.fit_rate_model(t, models.rf_regressor(trees=5, depth=8)))
+_fitted("gbt_raw", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT)))
+_fitted("gbt_log", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT), log_target=True))
+_fitted("gbt_onehot", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT), log_target=True, onehot=True))
+_fitted("gbt_robust", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT, loss="absolute")))
+
+
+@query("refined_model")
+def refined_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Base features against refined features, same learner."""
+    d = star.loads(spark, sf)
+    base_train, base_valid = rows.time_split(create_features(d), SPLIT)
+    fine_train, fine_valid = rows.time_split(refined_features(d), SPLIT)
+    base = models.fit_rate_model(base_train, models.gbt(**TRIAL_GBT), log_target=True)
+    fine = models.fit_rate_model(
+        fine_train, models.gbt(**TRIAL_GBT), REFINED_NUMERIC, REFINED_CATEGORICAL, log_target=True
+    )
+    return evaluate.compare_metrics(
+        evaluate.regression_metrics(base.transform(base_valid)), evaluate.regression_metrics(fine.transform(fine_valid))
+    )
+
+
+def _two_stage(spark: SparkSession, sf: str) -> DataFrame:
+    train, valid = _split(spark, sf)
+    rate = models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True)
+    high = models.fit_high_rate_classifier(train, models.rf_classifier(trees=10, depth=6))
+    return strategy.two_stage(high.transform(rate.transform(valid)))
+
+
+@query("two_stage_model")
+def two_stage_model(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluate.metrics_of(_two_stage(spark, sf), {"Base": K.PREDICTION, "Two Stage": "two_stage_prediction"})
+
+
+@query("high_rate_classifier")
+def high_rate_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Area under the curve of the high-rate probability on the validation rows."""
+    train, valid = _split(spark, sf)
+    model = models.fit_high_rate_classifier(train, models.rf_classifier(trees=10, depth=6))
+    label = C.flag(F.col(K.TARGET) >= K.HIGH_RATE).alias("label")
+    return evaluate.roc_auc(model.transform(valid).select(label, F.col("high_probability").alias("score")))
+
+
+@query("feature_importance")
+def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = _split(spark, sf)
+    model = models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True, onehot=True)
+    return models.feature_importance(model, train)
+
+
+@query("aggregated_importance")
+def aggregated_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return models.aggregate_importance(feature_importance(spark, sf))
+
+
+@query("permutation_importance")
+def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    train, valid = _split(spark, sf)
+    model = models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True)
+    return models.permutation_importance(model, valid, key=SAMPLE_KEY)
+
+
+@query("tuning")
+def tuning(spark: SparkSession, sf: str) -> DataFrame:
+    """All tuning configurations with a few trees each."""
+    return validation.tune(*_split(spark, sf), tree_share=0.003)
+
+
+@query("rolling_validate")
+def rolling_validate(spark: SparkSession, sf: str) -> DataFrame:
+    features = create_features(star.loads(spark, sf))
+    fit = lambda train: models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True)
+    return validation.rolling_validate(features, fit, WINDOWS)[1]
+
+
+# ---------------------------------------------------------------- scoring, batch and stream
+
+
+def _request_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads whose fact rows arrive as a file stream."""
+    schema = star.table(spark, sf, "lineitem").schema
+    # as a glob, the path may be one file or a folder of files
+    return star.loads_from(spark, sf, requests.request_stream(spark, f"{sf}/lineitem.parque[t]", schema))
+
+
+def _drain(spark: SparkSession, frame: DataFrame) -> DataFrame:
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    requests.run_to_end(frame, f"{folder}/out", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query("score_batch")
+def score_batch(spark: SparkSession, sf: str) -> DataFrame:
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    return scoring.score(valid.drop(K.TARGET), scoring.train_final(train, learner=models.gbt(**TRIAL_GBT)))
+
+
+@query("score_saved_model")
+def score_saved_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit, store, load again, score."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    scoring.save_model(scoring.train_final(train, learner=models.gbt(**TRIAL_GBT)), path)
+    return scoring.score(valid.drop(K.TARGET), scoring.load_model(path))
+
+
+@query("score_scenario")
+def score_scenario(spark: SparkSession, sf: str) -> DataFrame:
+    """The December lane priced by a model of all loads."""
+    model = scoring.train_final(star.loads(spark, sf), learner=models.gbt(**TRIAL_GBT))
+    return scoring.score_scenario(domains.scenario_frame(spark), model)
+
+
+@query("score_stream")
+def score_stream(spark: SparkSession, sf: str) -> DataFrame:
+    model = scoring.train_final(star.loads(spark, sf), learner=models.gbt(**TRIAL_GBT))
+    live = requests.score_requests(_request_stream(spark, sf).drop(K.TARGET), model)
+    return _drain(spark, requests.accepted(live))
+
+
+@query("stream_features")
+def stream_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The base features computed on a stream."""
+    return rounded(_drain(spark, create_features(_request_stream(spark, sf))))

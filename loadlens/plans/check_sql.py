@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from loadlens.functions import constants as K
+from loadlens.functions.features import BASE_NUMERIC
 from loadlens.plans.catalog import LOAD_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
 
 LOADS = """loads AS (
@@ -773,3 +774,29 @@ SQL["scenario_series"] = (
     f"{_SCENARIO}\nSELECT date, round(predicted_rate, 6) AS predicted_rate, "
     "round((SELECT min(predicted_rate) - greatest(10.0, 0.02 * min(predicted_rate)) FROM scenario), 6) AS floor FROM scenario"
 )
+
+# ---------------------------------------------------------------- filling, coding, streaming
+
+_FEATURES = (
+    f"WITH {LOADS},\nfeatures AS (SELECT loads.*, "
+    + ", ".join(f"{e} AS {n}" for n, e in BASE.items())
+    + f" FROM loads),\ntrain AS (SELECT * FROM features WHERE date < DATE '{SPLIT}')\n"
+)
+SQL["impute_median"] = _FEATURES + union(
+    [f"SELECT '{c}' AS \"column\", round(median(CAST({c} AS DOUBLE)), 6) AS fill FROM train" for c in BASE_NUMERIC]
+)
+SQL["impute_mode"] = _FEATURES + union(
+    [
+        f"SELECT * FROM (SELECT '{c}' AS \"column\", {c} AS fill FROM train GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+        for c in ("pickup", "delivery", "equipment", "route")
+    ]
+)
+SQL["filled_rows"] = f"""WITH {LOADS},
+train AS (SELECT median(weight) AS w, median(market_index) AS m FROM loads WHERE date < DATE '{SPLIT}')
+SELECT load_id, date, distance, round(coalesce(weight, w), 6) AS weight, round(coalesce(market_index, m), 6) AS market_index,
+  equipment FROM loads, train WHERE date >= DATE '{SPLIT}'"""
+SQL["onehot_unknown"] = loads(
+    "SELECT equipment, count(*) AS rows, count(*) FILTER (equipment = 'Dry Van') AS hot_dry_van, "
+    "count(*) FILTER (equipment = 'Flatbed') AS hot_flatbed FROM loads GROUP BY 1"
+)
+SQL["stream_features"] = SQL["features_base"]
