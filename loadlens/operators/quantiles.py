@@ -83,6 +83,10 @@ def group_stats(
     empty = F.col("_total") == 0
     level1, local = settle(placed.where((F.col("_all") == 1) | wanted | empty), max_local_rows)
 
+    if not keys and local is not None and local.num_rows == 0:  # an empty table
+        return df.agg(*counts, *aggs).select("*", *[F.lit(None).cast("double").alias(q) for q in quantiles]).drop(
+            "_n", "_min", "_max"
+        )
     if aggs:
         stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_min", "_max", "_all", "_total", "_first", "_last")
     else:

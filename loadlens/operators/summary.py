@@ -172,12 +172,20 @@ def quantile_summary(df: DataFrame, column: str, q: int = 10, target: str = K.TA
     return found.orderBy("_idx").select(label, "count", "mean_rate", "median_rate", "max_rate")
 
 
+def _correlation(x: Column, y: Column) -> Column:
+    """Correlation over the pairs that have both values; NULL when one side does not vary."""
+    pair_x, pair_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(pair_x) * F.stddev_pop(pair_y))
+
+
 def correlations(df: DataFrame, target: str = K.TARGET, cols: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete correlation of every numeric column with the target, largest first."""
     cols = list(cols or numeric_cols(df))
     y = C.null_if_nan(target)
-    wide = df.agg(*[F.corr(C.null_if_nan(F.col(c).cast("double")), y).alias(f"c{i}") for i, c in enumerate(cols)])
-    rows = [F.struct(F.lit(c).alias("feature"), C.null_if_nan(f"c{i}").alias("correlation")) for i, c in enumerate(cols)]
+    wide = df.agg(
+        *[_correlation(C.null_if_nan(F.col(c).cast("double")), y).alias(f"c{i}") for i, c in enumerate(cols)]
+    )
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation")) for i, c in enumerate(cols)]
     return wide.select(F.inline(F.array(*rows))).orderBy(F.desc_nulls_last("correlation"), "feature")
 
 

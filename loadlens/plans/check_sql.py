@@ -395,13 +395,15 @@ SELECT '('""",
 
 SQL["quantile_quote_signal"] = quantile_buckets("quote_signal")
 SQL["quantile_market_index"] = quantile_buckets("market_index")
-SQL["correlations"] = loads(
-    union([f"SELECT '{c}' AS feature, {r(f'corr({c}, posted_rate)', 'correlation')} FROM loads" for c in NUMERIC])
-)
+def corr(x: str) -> str:
+    return r(f"CASE WHEN NOT isnan(corr({x}, posted_rate)) THEN corr({x}, posted_rate) END", "correlation")
+
+
+SQL["correlations"] = loads(union([f"SELECT '{c}' AS feature, {corr(c)} FROM loads" for c in NUMERIC]))
 SQL["high_correlations"] = loads(
     union(
         [
-            f"SELECT '{c}' AS feature, {r(f'corr({e}, posted_rate)', 'correlation')} FROM loads WHERE posted_rate >= 7500"
+            f"SELECT '{c}' AS feature, {corr(e)} FROM loads WHERE posted_rate >= 7500"
             for c, e in [*((c, c) for c in NUMERIC), ("rate_per_mile", PER_MILE)]
         ]
     )
