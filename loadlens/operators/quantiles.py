@@ -112,7 +112,9 @@ def group_stats(
     if not keys and not aggs:
         return found
     if not keys:
-        return stats.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        # one row each, with different columns: fold them into one
+        both = stats.unionByName(found, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
     return stats.join(found, keys, "left")
 
 

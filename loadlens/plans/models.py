@@ -106,7 +106,8 @@ def category_stages(categorical: Sequence[str], onehot: bool) -> tuple[list, lis
     if not onehot:
         return stages, index
     level = [c + LEVEL for c in categorical]
-    stages.append(OneHotEncoder(inputCols=index, outputCols=level, dropLast=True, handleInvalid="keep"))
+    # the last slot, dropped here, is the one the indexer added for unknown levels
+    stages.append(OneHotEncoder(inputCols=index, outputCols=level, dropLast=True))
     return stages, level
 
 
@@ -152,16 +153,23 @@ class ProbabilityOutput(Transformer, DefaultParamsReadable, DefaultParamsWritabl
 # ---------------------------------------------------------------- learners
 
 
-def ridge(train: DataFrame, alpha: float = 10.0, label: str = LABEL) -> LinearRegression:
-    """Least squares with the penalty ``alpha * |w|²``; Spark's own parameter is relative to the label's spread.
+ONE_PASS_COLUMNS = 4096
 
-    Up to 4,096 coded columns this is one pass over the data (normal equations), beyond that L-BFGS.
+
+def ridge(prepared: DataFrame, alpha: float = 10.0, label: str = LABEL) -> LinearRegression:
+    """Least squares with the penalty ``alpha * |w|²`` for prepared rows.
+
+    Up to 4,096 coded columns it is one pass over the data (normal equations), beyond that L-BFGS. Spark's
+    own penalty is relative to the number of rows and the label's spread, which the two solvers measure
+    with the population and the sample deviation.
     """
-    row = train.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
+    one_pass = prepared.schema[FEATURES].metadata["ml_attr"]["num_attrs"] <= ONE_PASS_COLUMNS
+    spread_of = F.stddev_pop if one_pass else F.stddev_samp
+    row = prepared.agg(F.count(label).alias("n"), spread_of(label).alias("s")).first()
     scale = (row["s"] or 1.0) / max(row["n"], 1)
     return LinearRegression(
         featuresCol=FEATURES, labelCol=label, elasticNetParam=0.0, standardization=False,
-        regParam=alpha * scale, solver="auto", maxIter=500, tol=1e-9,
+        regParam=alpha * scale, solver="normal" if one_pass else "l-bfgs", maxIter=500, tol=1e-9,
     )
 
 
@@ -245,9 +253,8 @@ def fit_rate_model(
     """Fit a rate model on engineered rows (M6-M11). ``alpha`` asks for ridge instead of a learner."""
     rows = labeled(train, target, log_target).select(*numeric, *categorical, LABEL)
     prep = preparation(numeric, categorical, onehot).fit(rows)
-    if learner is None:
-        learner = ridge(rows, 10.0 if alpha is None else alpha)
-    model = fit_learner(prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL), learner)
+    prepared = prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL)
+    model = fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha))
     return PipelineModel([*prep.stages, model, RateOutput(log_target)])
 
 
