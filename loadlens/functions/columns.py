@@ -137,18 +137,18 @@ def cut(
     x: Column | str,
     edges: Sequence[Number],
     include_lowest: bool = False,
+    labels: Sequence[str] | None = None,
 ) -> Column:
-    """0-based number of the right-closed bucket ``(edges[i], edges[i+1]]`` that holds ``x``.
+    """The right-closed bucket ``(edges[i], edges[i+1]]`` that holds ``x``: its 0-based number or its label.
 
-    Values outside all buckets, NaN and NULL give NULL. ``include_lowest`` closes the first bucket
-    on the left as well.
+    Values outside all buckets, NaN and NULL give NULL (NaN compares above every edge, so it passes them
+    all). ``include_lowest`` closes the first bucket on the left as well.
     """
-    x = null_if_nan(col(x).cast("double"))
-    first = float(edges[0])
-    below = x < F.lit(first) if include_lowest else x <= F.lit(first)
-    out = F.when(below, F.lit(None).cast("int"))
+    x = col(x).cast("double")
+    first = F.lit(float(edges[0]))
+    out = F.when(x < first if include_lowest else x <= first, F.lit(None))
     for i, edge in enumerate(edges[1:]):
-        out = out.when(x <= F.lit(float(edge)), F.lit(i))
+        out = out.when(x <= F.lit(float(edge)), F.lit(i if labels is None else labels[i]))
     return out
 
 

@@ -96,7 +96,7 @@ def create_features(df: DataFrame, same_city: bool = False, buckets: bool = Fals
         lane["same_city"] = C.same_city()
     miles = {"distance_log": C.log1p0(x), "distance_squared": x * x}
     if buckets:
-        miles["distance_bucket"] = C.label_of(C.cut(x, K.DISTANCE_EDGES_8), K.DISTANCE_LABELS_8)
+        miles["distance_bucket"] = C.cut(x, K.DISTANCE_EDGES_8, labels=K.DISTANCE_LABELS_8)
     groups = [
         (["date"], _date_features()),
         (["pickup", "delivery"], lane),
@@ -128,7 +128,7 @@ def refined_features(df: DataFrame) -> DataFrame:
     new["distance_cubed"] = x * x * x
     for miles in K.LONG_HAUL_MILES:
         new[f"long_haul_{miles}"] = C.flag(x >= miles)
-    new["distance_bucket"] = C.label_of(C.cut(x, K.DISTANCE_EDGES_10), K.DISTANCE_LABELS_10)
+    new["distance_bucket"] = C.cut(x, K.DISTANCE_EDGES_10, labels=K.DISTANCE_LABELS_10)
     new["weight_log"] = C.log1p0(w)
     new["weight_squared"] = w * w
     new["heavy_load"] = C.flag(w >= K.HEAVY_LB)

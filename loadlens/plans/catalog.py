@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -38,10 +38,10 @@ WINDOWS = [
     ("October", "2001-09-30", "2001-10-01", "2001-10-31"),
 ]
 
-# products of whole numbers, compared as they are
-UNROUNDED = {
-    "distance_squared", "distance_cubed", "weight_squared", "distance_weight", "distance_weight_interaction",
-}
+# features whose last digit depends on the engine's mathematics library
+INEXACT = [
+    "month_sin", "month_cos", "weekday_sin", "weekday_cos", "distance_log", "weight_log", "market_index_log",
+]
 
 QUERIES: dict[str, Query] = {}
 
@@ -54,16 +54,14 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of decimals: engines add them up in different orders."""
-    return df.select(
-        *[
-            F.round(f.name, digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType) and f.name not in UNROUNDED
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def rounded(df: DataFrame, digits: int = 6, only: Sequence[str] | None = None) -> DataFrame:
+    """Doubles to a fixed number of decimals: engines add them up in different orders.
+
+    Row-level results need none of this, as both engines follow the same floating-point rules there.
+    """
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    chosen = doubles if only is None else [c for c in doubles if c in only]
+    return df.withColumns({c: F.round(c, digits) for c in chosen})
 
 
 def on_loads(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
@@ -74,10 +72,22 @@ def on_scored(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf: rounded(fn(star.scored(spark, sf)))
 
 
+def rows_of_loads(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf: rounded(fn(star.loads(spark, sf)), only=INEXACT)
+
+
+def rows_of_scored(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf: fn(star.scored(spark, sf))
+
+
 def on_submission(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf: rounded(fn(star.submission(spark, sf)))
 
 
+def rows_of_submission(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf: fn(star.submission(spark, sf))
+
+
 # ---------------------------------------------------------------- the view and its audit
 
 LOAD_COLUMNS = [
@@ -85,11 +95,11 @@ LOAD_COLUMNS = [
     "distance", "equipment", "weight", "date", "market_index", "quote_signal", "posted_rate",
 ]
 
-on_loads("loads", lambda d: d)
+rows_of_loads("loads", lambda d: d)
 on_loads("profile_shape", audit.profile_shape)
 on_loads("profile_columns", audit.profile_columns)
-on_loads("head_rows", lambda d: rows.head(d, 5, *LOAD_COLUMNS))
-on_loads("tail_rows", lambda d: rows.tail(d, 5, *LOAD_COLUMNS))
+rows_of_loads("head_rows", lambda d: rows.head(d, 5, *LOAD_COLUMNS))
+rows_of_loads("tail_rows", lambda d: rows.tail(d, 5, *LOAD_COLUMNS))
 on_loads("missing_report", audit.missing_report)
 on_loads("missing_nonzero", lambda d: audit.missing_report(d, only_nonzero=True))
 on_loads("duplicate_rows", audit.duplicate_rows)
@@ -108,10 +118,10 @@ on_loads("leakage_report", audit.leakage_report)
 
 # ---------------------------------------------------------------- features
 
-on_loads("features_base", create_features)
-on_loads("features_guarded", lambda d: create_features(d, same_city=True, buckets=True))
-on_loads("features_refined", refined_features)
-on_loads("features_refined_no_leakage", lambda d: rows.drop_leakage(refined_features(d)).drop("load_id", "date"))
+rows_of_loads("features_base", create_features)
+rows_of_loads("features_guarded", lambda d: create_features(d, same_city=True, buckets=True))
+rows_of_loads("features_refined", refined_features)
+rows_of_loads("features_refined_no_leakage", lambda d: rows.drop_leakage(refined_features(d)).drop("load_id", "date"))
 on_loads("feature_quality", lambda d: audit.feature_quality(create_features(d)))
 
 
@@ -178,7 +188,7 @@ on_loads("boxplot_rate", lambda d: buckets.boxplot_stats(d, K.TARGET))
 
 SAMPLE_KEY = ["load_id", "pickup", "delivery", "equipment", "date"]
 
-on_loads("scatter_points", lambda d: buckets.scatter_points(d, "distance", K.TARGET))
+rows_of_loads("scatter_points", lambda d: buckets.scatter_points(d, "distance", K.TARGET))
 on_scored("scatter_diagonal", buckets.diagonal)
 
 # ---------------------------------------------------------------- filters, splits, samples, top-k
@@ -193,7 +203,7 @@ def time_split_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("between_dates")
 def between_dates(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(rows.between_dates(star.loads(spark, sf), "2001-07-01", "2001-07-31"))
+    return rows.between_dates(star.loads(spark, sf), "2001-07-01", "2001-07-31")
 
 
 @query("split_by_threshold")
@@ -204,10 +214,9 @@ def split_by_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 on_loads("drop_missing", lambda d: rows.drop_missing(d, "weight").groupBy("equipment").agg(F.count(F.lit(1)).alias("rows")))
-on_loads("hash_split", lambda d: rows.random_split(d)[1].select("load_id", K.TARGET))
+rows_of_loads("hash_split", lambda d: rows.random_split(d)[1].select("load_id", K.TARGET))
 on_loads("sample_n", lambda d: rows.sample_n(d, 2500, SAMPLE_KEY).select(*SAMPLE_KEY))
-on_loads(
-    "top_rates",
+rows_of_loads("top_rates",
     lambda d: rows.top_k(
         d.withColumn("rate_per_mile", C.rate_per_mile()).select(
             "date", "pickup", "delivery", "equipment", "distance", "weight",
@@ -221,16 +230,15 @@ on_loads(
 
 _ERROR_ROW = ["load_id", "date", "pickup", "delivery", "equipment", "distance", K.TARGET, K.PREDICTION]
 
-on_scored("row_errors", lambda d: evaluate.add_errors(d.select(*_ERROR_ROW)))
-on_scored(
-    "top_errors",
+rows_of_scored("row_errors", lambda d: evaluate.add_errors(d.select(*_ERROR_ROW)))
+rows_of_scored("top_errors",
     lambda d: rows.top_k(
         evaluate.add_errors(d.select(*_ERROR_ROW)), "absolute_error", 20,
         ties=["load_id", "date", "pickup", "delivery", "equipment", "distance", K.TARGET],
     ),
 )
-on_submission("lowest_predictions", lambda d: rows.top_k(d, K.PREDICTION, 20, ascending=True, ties=[K.KEY]))
-on_submission("highest_predictions", lambda d: rows.top_k(d, K.PREDICTION, 30, ties=[K.KEY]))
+rows_of_submission("lowest_predictions", lambda d: rows.top_k(d, K.PREDICTION, 20, ascending=True, ties=[K.KEY]))
+rows_of_submission("highest_predictions", lambda d: rows.top_k(d, K.PREDICTION, 30, ties=[K.KEY]))
 
 # ---------------------------------------------------------------- strategies and windows
 
@@ -252,8 +260,7 @@ on_scored(
 on_loads("rolling_windows", lambda d: strategy.window_counts(d, WINDOWS))
 on_scored("rolling_metrics", lambda d: strategy.window_metrics(d, WINDOWS))
 on_scored("fold_summary", lambda d: evaluate.fold_summary(strategy.window_metrics(d, WINDOWS)))
-on_scored(
-    "window_rows",
+rows_of_scored("window_rows",
     lambda d: strategy.in_windows(d, WINDOWS).select("window", "load_id", "date", K.TARGET, K.PREDICTION),
 )
 
@@ -262,15 +269,13 @@ on_scored(
 def union_tagged(spark: SparkSession, sf: str) -> DataFrame:
     scored = star.scored(spark, sf).select("load_id", "date", K.TARGET, K.PREDICTION)
     folds = {name: rows.between_dates(scored, start, end) for name, _, start, end in WINDOWS}
-    return rounded(rows.union_tagged(folds, "window"))
+    return rows.union_tagged(folds, "window")
 
 
-on_scored(
-    "two_stage",
+rows_of_scored("two_stage",
     lambda d: strategy.two_stage(d).select("load_id", "date", "distance", K.PREDICTION, "two_stage_prediction"),
 )
-on_scored(
-    "adjust_where",
+rows_of_scored("adjust_where",
     lambda d: d.select(
         "load_id",
         "date",
@@ -376,7 +381,7 @@ def key_order_check(spark: SparkSession, sf: str) -> DataFrame:
 def attach_predictions(spark: SparkSession, sf: str) -> DataFrame:
     orders = star.table(spark, sf, "orders")
     keyed = orders.select(F.format_string("TE-%06d", F.col("o_orderkey") + 1).alias("load_id"), "o_orderpriority")
-    return rounded(rows.attach_predictions(keyed, star.submission(spark, sf)))
+    return rows.attach_predictions(keyed, star.submission(spark, sf))
 
 
 on_submission("prediction_buckets", buckets.bucket_counts)
@@ -621,4 +626,4 @@ def score_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("stream_features")
 def stream_features(spark: SparkSession, sf: str) -> DataFrame:
     """The base features computed on a stream."""
-    return rounded(_drain(spark, create_features(_request_stream(spark, sf))))
+    return rounded(_drain(spark, create_features(_request_stream(spark, sf))), only=INEXACT)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from loadlens.functions import constants as K
 from loadlens.functions.features import BASE_NUMERIC
-from loadlens.plans.catalog import LOAD_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
+from loadlens.plans.catalog import INEXACT, LOAD_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
 
 LOADS = """loads AS (
 SELECT concat('TR-', lpad(CAST(l.l_orderkey AS VARCHAR), 7, '0'), '-', CAST(l.l_linenumber AS VARCHAR)) AS load_id,
@@ -87,9 +87,9 @@ def case_cut(x: str, edges: list[float], labels: list[str] | None, include_lowes
     return "CASE " + " ".join(whens) + " END"
 
 
-def all_loads(derived: dict[str, str], exact: set[str] = frozenset(), drop: set[str] = frozenset()) -> str:
-    cols = [r(c, c) if c in NUMERIC else c for c in LOAD_COLUMNS if c not in drop]
-    cols += [f"{e} AS {n}" if n in exact else r(e, n) for n, e in derived.items()]
+def all_loads(derived: dict[str, str], drop: set[str] = frozenset()) -> str:
+    cols = [c for c in LOAD_COLUMNS if c not in drop]
+    cols += [r(e, n) if n in INEXACT else f"{e} AS {n}" for n, e in derived.items()]
     return loads(f"SELECT {', '.join(cols)} FROM loads")
 
 
@@ -129,10 +129,6 @@ BASE = {
     "quote_signal_abs": "abs(quote_signal)",
     **GEO,
 }
-_EXACT = {
-    *DATE_PARTS, "route", "distance_squared", "weight_squared", "distance_weight_interaction",
-    "same_city", "distance_bucket",
-}
 FLAG = "CASE WHEN {} THEN 1 ELSE 0 END"
 REFINED = {
     **DATE_PARTS,
@@ -167,12 +163,6 @@ REFINED = {
     **GEO,
     "geo_distance_per_mile": f"{GEO['geo_distance']} / nullif(distance, 0)",
 }
-_EXACT_REFINED = {
-    *DATE_PARTS, "route", "route_equipment", "distance_squared", "distance_cubed", "weight_squared",
-    "distance_weight", "distance_bucket", "heavy_load", "very_heavy_load",
-    "market_index_high", "market_index_very_high", "quote_signal_low", "quote_signal_high", "quote_signal_mid",
-    *[f"long_haul_{m}" for m in (500, 1000, 1500, 2000, 2500)],
-}
 
 SQL: dict[str, str] = {}
 
@@ -188,12 +178,12 @@ SQL["profile_columns"] = loads(
         ]
     )
 )
-_rounded_cols = ", ".join(r(c, c) if c in NUMERIC else c for c in LOAD_COLUMNS)
+_cols = ", ".join(LOAD_COLUMNS)
 SQL["head_rows"] = loads(
-    f"SELECT {_rounded_cols} FROM (SELECT * FROM loads ORDER BY {', '.join(f'{c} ASC NULLS LAST' for c in LOAD_COLUMNS)} LIMIT 5)"
+    f"SELECT {_cols} FROM (SELECT * FROM loads ORDER BY {', '.join(f'{c} ASC NULLS LAST' for c in LOAD_COLUMNS)} LIMIT 5)"
 )
 SQL["tail_rows"] = loads(
-    f"SELECT {_rounded_cols} FROM (SELECT * FROM loads ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in LOAD_COLUMNS)} LIMIT 5)"
+    f"SELECT {_cols} FROM (SELECT * FROM loads ORDER BY {', '.join(f'{c} DESC NULLS LAST' for c in LOAD_COLUMNS)} LIMIT 5)"
 )
 _missing = union(
     [
@@ -277,17 +267,16 @@ SQL["leakage_report"] = loads(
 
 # ---------------------------------------------------------------- features
 
-SQL["features_base"] = all_loads(BASE, _EXACT)
+SQL["features_base"] = all_loads(BASE)
 SQL["features_guarded"] = all_loads(
     {
         **BASE,
         "same_city": FLAG.format("pickup = delivery"),
         "distance_bucket": case_cut("distance", K.DISTANCE_EDGES_8, K.DISTANCE_LABELS_8),
-    },
-    _EXACT,
+    }
 )
-SQL["features_refined"] = all_loads(REFINED, _EXACT_REFINED)
-SQL["features_refined_no_leakage"] = all_loads(REFINED, _EXACT_REFINED, {"load_id", "date", "posted_rate"})
+SQL["features_refined"] = all_loads(REFINED)
+SQL["features_refined_no_leakage"] = all_loads(REFINED, {"load_id", "date", "posted_rate"})
 _numeric_features = {*NUMERIC, *DATE_PARTS, *BASE} - {"route"}
 SQL["feature_quality"] = loads(
     ", features AS (SELECT loads.*, "
@@ -433,7 +422,7 @@ SELECT round(any_value(q1), 6) AS q1, round(any_value(m), 6) AS median, round(an
   round(max(posted_rate) FILTER (posted_rate <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
   count(*) FILTER (posted_rate < q1 - 1.5 * (q3 - q1) OR posted_rate > q3 + 1.5 * (q3 - q1)) AS fliers
 FROM loads, q"""
-SQL["scatter_points"] = loads(f"SELECT {r('distance', 'distance')}, {r('posted_rate', 'posted_rate')} FROM loads")
+SQL["scatter_points"] = loads(f"SELECT distance, posted_rate FROM loads")
 SQL["scatter_diagonal"] = scored(
     "SELECT round(least(min(posted_rate), min(predicted_rate)), 6) AS low, "
     "round(greatest(max(posted_rate), max(predicted_rate)), 6) AS high FROM scored"
@@ -453,7 +442,7 @@ SQL["split_by_threshold"] = loads(
 )
 SQL["drop_missing"] = loads("SELECT equipment, count(*) AS rows FROM loads WHERE weight IS NOT NULL GROUP BY 1")
 SQL["hash_split"] = loads(
-    "SELECT load_id, round(posted_rate, 6) AS posted_rate FROM loads "
+    "SELECT load_id, posted_rate FROM loads "
     "WHERE ('0x' || substr(md5('42|' || load_id), 1, 8))::BIGINT % 100 < 20"
 )
 _sample_text = " || '|' || ".join(["'42'", *[f"CAST({c} AS VARCHAR)" for c in SAMPLE_KEY]])
@@ -461,23 +450,20 @@ SQL["sample_n"] = loads(
     f"SELECT {', '.join(SAMPLE_KEY)} FROM loads ORDER BY md5({_sample_text}), {', '.join(SAMPLE_KEY)} LIMIT 2500"
 )
 SQL["top_rates"] = loads(
-    "SELECT date, pickup, delivery, equipment, round(distance, 6) AS distance, round(weight, 6) AS weight, "
-    "round(market_index, 6) AS market_index, round(quote_signal, 6) AS quote_signal, round(posted_rate, 6) AS posted_rate, "
-    "round(rate_per_mile, 6) AS rate_per_mile "
+    "SELECT date, pickup, delivery, equipment, distance, weight, market_index, quote_signal, posted_rate, rate_per_mile "
     f"FROM (SELECT *, {PER_MILE} AS rate_per_mile FROM loads ORDER BY posted_rate DESC, date, pickup, delivery, equipment, "
     "distance, weight NULLS LAST, market_index NULLS LAST, quote_signal LIMIT 30)"
 )
 _error_cols = (
-    "load_id, date, pickup, delivery, equipment, round(distance, 6) AS distance, round(posted_rate, 6) AS posted_rate, "
-    "round(predicted_rate, 6) AS predicted_rate, round(error, 6) AS error, round(absolute_error, 6) AS absolute_error, "
-    "round(absolute_error * 100 / nullif(posted_rate, 0), 6) AS percentage_error, error < 0 AS underpredicted"
+    "load_id, date, pickup, delivery, equipment, distance, posted_rate, predicted_rate, error, absolute_error, "
+    "absolute_error * 100 / nullif(posted_rate, 0) AS percentage_error, error < 0 AS underpredicted"
 )
 SQL["row_errors"] = scored(f"SELECT {_error_cols} FROM scored2")
 SQL["top_errors"] = scored(
     f"SELECT {_error_cols} FROM (SELECT * FROM scored2 ORDER BY abs(predicted_rate - posted_rate) DESC, load_id, date, pickup, "
     "delivery, equipment, distance, posted_rate LIMIT 20)"
 )
-_pred = "SELECT load_id, round(predicted_rate, 6) AS predicted_rate FROM"
+_pred = "SELECT load_id, predicted_rate FROM"
 SQL["lowest_predictions"] = sub(f"{_pred} (SELECT * FROM submission ORDER BY predicted_rate, load_id LIMIT 20) t")
 SQL["highest_predictions"] = sub(f"{_pred} (SELECT * FROM submission ORDER BY predicted_rate DESC, load_id LIMIT 30) t")
 
@@ -549,16 +535,15 @@ SQL["fold_summary"] = (
     )
 )
 SQL["window_rows"] = scored(
-    f'SELECT "window", load_id, date, round(posted_rate, 6) AS posted_rate, round(predicted_rate, 6) AS predicted_rate {_window_join}'
+    f'SELECT "window", load_id, date, posted_rate, predicted_rate {_window_join}'
 )
 SQL["union_tagged"] = SQL["window_rows"]
 SQL["two_stage"] = scored(
-    "SELECT load_id, date, round(distance, 6) AS distance, round(predicted_rate, 6) AS predicted_rate, "
-    "round(two_stage_prediction, 6) AS two_stage_prediction FROM scored2"
+    "SELECT load_id, date, distance, predicted_rate, two_stage_prediction FROM scored2"
 )
 SQL["adjust_where"] = scored(
-    "SELECT load_id, date, round(distance, 6) AS distance, "
-    "round(CASE WHEN high_probability >= 0.5 THEN predicted_rate * 1.2::DOUBLE ELSE predicted_rate END, 6) AS adjusted FROM scored"
+    "SELECT load_id, date, distance, "
+    "CASE WHEN high_probability >= 0.5 THEN predicted_rate * 1.2::DOUBLE ELSE predicted_rate END AS adjusted FROM scored"
 )
 
 # ---------------------------------------------------------------- evaluation
@@ -673,7 +658,7 @@ SQL["key_order_check"] = (
     "SELECT count(*) AS positions, count(*) FILTER (o_orderkey >= 500) AS mismatches FROM orders"
 )
 SQL["attach_predictions"] = sub(
-    "SELECT s.load_id, o.o_orderpriority, round(s.predicted_rate, 6) AS predicted_rate "
+    "SELECT s.load_id, o.o_orderpriority, s.predicted_rate "
     "FROM orders o JOIN submission s ON s.load_id = format('TE-{:06d}', o.o_orderkey + 1)"
 )
 _bucket = case_cut("predicted_rate", K.PREDICTION_EDGES, K.PREDICTION_LABELS, include_lowest=True)

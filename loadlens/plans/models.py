@@ -215,22 +215,23 @@ def _arity(df: DataFrame) -> int:
     return max(sizes, default=0)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over as many partitions as there are cores, if the input has fewer (a small or filtered table).
+def settled_rows(prepared: DataFrame) -> DataFrame:
+    """Prepared rows, written once to the session's checkpoint folder.
 
-    A learner passes over its rows many times, so one shuffle of them pays; larger inputs stay as they are.
+    A learner passes over its rows many times; joins, features and coding are then done once, and a lost
+    executor costs a re-read. A table with fewer partitions than cores is spread over all of them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.select(F.spark_partition_id().alias("part")).distinct().count()
-    return df.repartition(cores) if parts < cores else df
+    ensure_checkpoints(prepared.sparkSession)
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    written = prepared.checkpoint()
+    parts = written.select(F.spark_partition_id().alias("part")).distinct().count()
+    return written.repartition(cores) if parts < cores else written
 
 
 def fit_learner(prepared: DataFrame, learner: Estimator, bins: int = 256) -> Model:
     """Fit on prepared rows; trees get enough bins to hold the widest category."""
-    ensure_checkpoints(prepared.sparkSession)
     if learner.hasParam("maxBins"):
         learner = learner.copy({learner.getParam("maxBins"): max(bins, _arity(prepared))})
-        prepared = spread(prepared)
     return learner.fit(prepared)
 
 
@@ -253,7 +254,7 @@ def fit_rate_model(
     """Fit a rate model on engineered rows (M6-M11). ``alpha`` asks for ridge instead of a learner."""
     rows = labeled(train, target, log_target).select(*numeric, *categorical, LABEL)
     prep = preparation(numeric, categorical, onehot).fit(rows)
-    prepared = prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL)
+    prepared = settled_rows(prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL))
     model = fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha))
     return PipelineModel([*prep.stages, model, RateOutput(log_target)])
 
@@ -286,9 +287,8 @@ def fit_high_rate_classifier(
     rows = train.where(F.col(target).isNotNull()).withColumn(LABEL, C.flag(F.col(target) >= threshold).cast("double"))
     rows = with_balanced_weights(rows).select(*numeric, *categorical, LABEL, WEIGHT)
     prep = preparation(numeric, categorical, onehot).fit(rows)
-    model = fit_learner(
-        prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL, WEIGHT), learner or rf_classifier()
-    )
+    prepared = settled_rows(prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL, WEIGHT))
+    model = fit_learner(prepared, learner or rf_classifier())
     return PipelineModel([*prep.stages, model, ProbabilityOutput()])
 
 
