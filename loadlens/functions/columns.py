@@ -21,8 +21,7 @@ def col(c: Column | str) -> Column:
 
 def null_if_nan(c: Column | str) -> Column:
     """NaN counts as missing everywhere in this library."""
-    c = col(c)
-    return F.when(F.isnan(c), None).otherwise(c)
+    return F.nanvl(col(c), F.lit(None).cast("double"))
 
 
 def flag(condition: Column) -> Column:

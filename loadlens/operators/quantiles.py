@@ -23,12 +23,14 @@ BUCKETS_PER_DOUBLING = 1024
 _SHIFT = 1100 * BUCKETS_PER_DOUBLING
 
 MAX_LOCAL_ROWS = 50_000
+MAX_LITERALS = 2_000
 
 
 def order_bucket(v: Column) -> Column:
-    """A bucket number that never decreases with the value; about 0.07 % wide relative to it."""
+    """A bucket number that never decreases with the value; about 0.07 % wide relative to it. NULL is in 0."""
     size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * BUCKETS_PER_DOUBLING) + _SHIFT
-    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size)
+    # the logarithm of zero is NULL
+    return F.coalesce((F.signum(v) * size).cast("long"), F.lit(0).cast("long"))
 
 
 def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> tuple[DataFrame, pa.Table | None]:
@@ -94,9 +96,9 @@ def group_stats(
     chosen = level1.where((F.col("_all") == 0) & ~empty)
     shape = [*keys, "_total", "_first", "_last", "_v"]
     ranked = chosen.where("_min = _max").withColumn("_v", F.col("_min")).select(*shape)
-    if local is None or _any_mixed(local):
+    if local is None or _mixed_buckets(local):
         mixed = chosen.where("_min < _max")
-        ranked = ranked.unionByName(_rank_within(df, mixed, keys, local is not None).select(*shape))
+        ranked = ranked.unionByName(_rank_within(df, mixed, keys, local).select(*shape))
 
     ends = []
     for i, p in enumerate(quantiles.values()):
@@ -132,18 +134,24 @@ def _holds_rank(probs: Iterable[float]) -> Column:
     return holds
 
 
-def _any_mixed(level1: pa.Table) -> bool:
-    """Whether some chosen bucket holds more than one distinct value."""
-    buckets = level1.filter(pc.equal(level1["_all"], 0))
-    return bool(pc.any(pc.less(buckets["_min"], buckets["_max"])).as_py())
+def _mixed_buckets(level1: pa.Table) -> list[int]:
+    """Numbers of the chosen buckets that hold more than one distinct value."""
+    several = pc.and_(pc.equal(level1["_all"], 0), pc.less(level1["_min"], level1["_max"]))
+    return pc.unique(level1.filter(several)["_b"]).to_pylist()
 
 
-def _rank_within(df: DataFrame, buckets: DataFrame, keys: list[str], is_local: bool) -> DataFrame:
+def _rank_within(df: DataFrame, buckets: DataFrame, keys: list[str], local: pa.Table | None) -> DataFrame:
     """First and last rank of every value in the given buckets (second scan)."""
+    df = df.where(F.col("_v").isNotNull())
     buckets = buckets.select(*keys, "_b", "_total", F.col("_first").alias("_start"))
+    if local is not None:
+        numbers = _mixed_buckets(local)
+        if len(numbers) <= MAX_LITERALS:
+            df = df.where(F.col("_b").isin(numbers))  # drops nearly all rows before they are matched by key
+        buckets = F.broadcast(buckets)
     counted = (
         df.select(*keys, "_b", "_v")
-        .join(F.broadcast(buckets) if is_local else buckets, [*keys, "_b"])
+        .join(buckets, [*keys, "_b"])
         .groupBy(*keys, "_b", "_total", "_start", "_v")
         .agg(F.count(F.lit(1)).alias("_m"))
     )
