@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import columns as C
 from loadlens.functions import constants as K
-from loadlens.operators.quantiles import exact_quantiles, group_stats
+from loadlens.operators.quantiles import exact_quantiles
 from loadlens.operators.rows import sample_n
 
 
@@ -116,15 +116,3 @@ def scenario_series(df: DataFrame, column: str = K.PREDICTION) -> DataFrame:
     """A scenario by date with the floor of its shaded area, min - max(10, 2 % of min)."""
     low = df.agg(F.min(column).alias("m")).select(F.col("m") - F.greatest(F.lit(10.0), F.col("m") * 0.02)).scalar()
     return df.select("date", column, low.alias("floor")).orderBy("date")
-
-
-def distribution(df: DataFrame, column: str, quantiles: dict[str, float]) -> DataFrame:
-    """Count, range, mean and quantiles of one column as a single row."""
-    c = F.col(column)
-    return group_stats(
-        df,
-        [],
-        [F.count(c).alias("count"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean")],
-        of=c,
-        quantiles=quantiles,
-    )

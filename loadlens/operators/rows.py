@@ -11,15 +11,7 @@ from pyspark.sql import types as T
 from loadlens.functions import constants as K
 from loadlens.functions.columns import col
 
-# ---------------------------------------------------------------- columns
-
-
-def select_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)
-
-
-def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.drop(*cols)
+# ---------------------------------------------------------------- columns
 
 
 def leakage_columns(df: DataFrame, patterns: Sequence[str] = K.LEAKAGE_PATTERNS) -> list[str]:
@@ -39,14 +31,6 @@ def categorical_cols(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def with_columns(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(new))
-
-
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(names))
-
-
 # ---------------------------------------------------------------- filters
 
 

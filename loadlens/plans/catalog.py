@@ -144,6 +144,13 @@ def lenient_parsing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+on_loads(
+    "calendar_names",
+    lambda d: d.groupBy(C.month_period("date").alias("month"), C.weekday_name("date").alias("weekday")).agg(
+        F.count(F.lit(1)).alias("rows"), F.avg(K.TARGET).alias("mean_rate")
+    ),
+)
+
 # ---------------------------------------------------------------- grouped summaries
 
 on_loads(
@@ -214,6 +221,7 @@ def split_by_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 on_loads("drop_missing", lambda d: rows.drop_missing(d, "weight").groupBy("equipment").agg(F.count(F.lit(1)).alias("rows")))
+rows_of_loads("chronological", lambda d: rows.sort_by_date(d.select("date", "load_id", K.TARGET), "load_id", K.TARGET))
 rows_of_loads("hash_split", lambda d: rows.random_split(d)[1].select("load_id", K.TARGET))
 on_loads("sample_n", lambda d: rows.sample_n(d, 2500, SAMPLE_KEY).select(*SAMPLE_KEY))
 rows_of_loads("top_rates",

@@ -297,6 +297,11 @@ SQL["lenient_parsing"] = """SELECT CAST(CASE WHEN l_partkey % 7 = 1 THEN NULL EL
   max(CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_shipdate AS DATE) END) AS last_date
 FROM lineitem GROUP BY 1"""
 
+SQL["calendar_names"] = loads(
+    "SELECT strftime(date, '%Y-%m') AS month, dayname(date) AS weekday, count(*) AS rows, "
+    "round(avg(posted_rate), 6) AS mean_rate FROM loads GROUP BY 1, 2"
+)
+
 # ---------------------------------------------------------------- grouped summaries
 
 MEAN, MEDIAN = r("avg(posted_rate)", "mean"), r("median(posted_rate)", "median")
@@ -441,6 +446,7 @@ SQL["split_by_threshold"] = loads(
     "UNION ALL SELECT 'normal', count(*), round(avg(posted_rate), 6) FROM loads WHERE posted_rate < 7500"
 )
 SQL["drop_missing"] = loads("SELECT equipment, count(*) AS rows FROM loads WHERE weight IS NOT NULL GROUP BY 1")
+SQL["chronological"] = loads("SELECT date, load_id, posted_rate FROM loads ORDER BY ALL")
 SQL["hash_split"] = loads(
     "SELECT load_id, posted_rate FROM loads "
     "WHERE ('0x' || substr(md5('42|' || load_id), 1, 8))::BIGINT % 100 < 20"
