@@ -1,10 +1,83 @@
-"""Cleaning of the document table, stage by stage."""
+"""Cleaning of the document table, stage by stage.
+
+Each stage takes all documents that the one before kept, and all but the last return the columns of documents. The
+result of a stage is written as Parquet and read again. SQL cannot express the classifier, fingerprints, repeats and
+tokens, so there is no ORACLE_SQL; the tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loadlens.llm import bpe, mixing, quality, repeats, simhash
+from loadlens.llm.catalog import RANKS
+from loadlens.llm.shared import find_package, stored
+
+#: Documents below this quality score go.
+LEAST_SCORE = 0.3
+#: Near duplicates: shingles of five words, and so many differing bits of their fingerprints.
+WORDS, ERRORS = 5, 3
+
+
+def _as_read(frame: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of ``documents``; its count of characters is brought up to date."""
+    if "n_chars" in frame.columns:
+        frame = frame.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return frame.select(*(F.col(f"`{c}`") for c in documents.columns))
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    find_package(spark)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model).where(F.col("score") >= LEAST_SCORE).select("row.*")
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one of smallest id."""
+    find_package(spark)
+    return simhash.one_of_each(docs, ERRORS, WORDS)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of repeated passages; characters stay whole."""
+    find_package(spark)
+    spans = "".join(docs.columns) + "_spans"  # no column has this name
+    marked = repeats.mark(docs, into=spans)
+    return _as_read(marked.withColumn("text", repeats.kept_text("text", spans)), docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; the one that a source's target cuts stays if half of it is taken."""
+    find_package(spark)
+    return mixing.repeated(docs)
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document and the digest of the bytes that they decode to."""
+    find_package(spark)
+    ids = docs.select("doc_id", "source", bpe.encode(F.col("text"), RANKS).alias("ids"))
+    raw = ids.withColumn("raw", bpe.decode(F.col("ids"), RANKS))
+    return raw.select("doc_id", "source", "ids", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("raw", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_classifier),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("mixing sources to target weights", source_mixing),
+    ("byte-level BPE encoding and decoding", byte_bpe),
+]
+
+ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after another, over the whole document table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stored(stage(spark, docs, sf_dir), f"stage{i}")
+    return docs

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, mixing, simhash, url_rules
+from loadlens.llm import bpe, cover_tree, extraction, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
 from loadlens.llm.shared import find_package
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +24,15 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def unigram_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = _table(spark, sf_dir, "documents").select("doc_id", token_counts.count(F.col("text"), RANKS).alias("c"))
+    return counted.select("doc_id", "c.n_tokens", "c.n_pretokens")
+
+
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = _table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), RANKS).alias("ids"))
     raw = ids.withColumn("raw", bpe.decode(F.col("ids"), RANKS))
@@ -35,6 +44,22 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(documents, _table(spark, sf_dir, "labels"))
+    return quality.score(documents, model).select(
+        "row.doc_id",
+        quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.taken(pieces).select("doc_id", "size", "source_size", "target", "taken")
@@ -45,11 +70,37 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = repeats.mark(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    ends = F.filter("spans", lambda _, i: i % 2 == 1)
+    begins = F.filter("spans", lambda _, i: i % 2 == 0)
+    total = lambda places: F.aggregate(places, F.lit(0).cast("long"), lambda n, x: n + x)
+    removed = total(ends) - total(begins)
+    return marked.select(
+        "doc_id",
+        size.alias("n_bytes"),
+        removed.alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2(repeats.kept_bytes("text", "spans"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
+    "op2_unigram_token_counts": unigram_token_counts,
+    "op3_exact_top_k": exact_top_k,
     "op4_byte_bpe": byte_bpe,
+    "op5_quality_classifier": quality_classifier,
+    "op6_html_extraction": html_extraction,
     "op7_source_mixing": source_mixing,
     "op8_url_filter": url_filter,
+    "op9_embedding_near_dedup": embedding_near_dedup,
+    "op10_repeated_bytes": repeated_bytes,
 }
 
 SQL: dict[str, str] = {

@@ -176,3 +176,19 @@ def taken(pieces: DataFrame) -> DataFrame:
     whole = pieces.where("size > 0").groupBy(*rows).agg(F.sum("words").alias("taken"))
     empty = pieces.where("size = 0").select(*rows, F.lit(0).cast("long").alias("taken"))
     return whole.unionByName(empty)
+
+
+def repeated(documents: DataFrame, shards: int = SHARDS, per_shard: int = BLOCKS, seed: int = SEED) -> DataFrame:
+    """``documents``, each row as often as the mix takes it: words taken by size, rounded."""
+    times = taken(mix(documents, shards, per_shard, seed)).where("taken > 0")
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")
+    rows = documents.select(row, words(F.col("text")).alias("size"))
+    same = ["doc_id", "source", "size"]
+    # repeated rows: the sums of their stretches, dealt out evenly
+    times = times.groupBy(*same).agg(F.sum("taken").alias("taken"), F.count("*").alias("rows"))
+    found = rows.join(
+        times.select(*(F.col(c).alias(f"t_{c}") for c in times.columns)),
+        F.col("row.doc_id").eqNullSafe(F.col("t_doc_id")) & F.col("row.source").eqNullSafe(F.col("t_source")) & (F.col("size") == F.col("t_size")),
+    )
+    copies = F.round(F.col("t_taken") / (F.col("size") * F.col("t_rows"))).cast("int")
+    return found.select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("row.*")

@@ -219,12 +219,33 @@ def near_duplicates(documents: DataFrame, errors: int = 2, words: int = 3, seed:
     """From documents (doc_id, text): doc_id, fp long, component_id (the smallest doc_id reachable by links)."""
     printed = stored(documents.select("doc_id", fingerprint(F.col("text"), words, seed).alias("fp")), "fingerprints")
     named = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    linked = components(links(printed.select("fp").distinct(), errors))
-    own = named.join(linked, named["fp"] == linked["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    classes = _classes(named, links(named.select("fp"), errors))
+    return printed.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def _classes(named: DataFrame, linked: DataFrame) -> DataFrame:
+    """From (fp, first) and links of fingerprints: fp, component, component_id (the smallest first)."""
+    joined = components(linked)
+    own = named.join(joined, named["fp"] == joined["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     own = stored(own, "components")
     smallest = own.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = own.join(smallest, "component").select("fp", "component_id")
-    return printed.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return own.join(smallest, "component").select("fp", "component", "component_id")
+
+
+def one_of_each(documents: DataFrame, errors: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
+    """``documents`` (doc_id, text and any others): the row of smallest doc_id of each component, one if ids repeat.
+
+    Rows are told apart by id and fingerprint; fully or partly repeated ones by the order of all their columns.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
+    printed = stored(documents.select(row.alias("row"), fingerprint(F.col("text"), words, seed).alias("fp")), "fingerprints")
+    named = printed.select(F.col("row.doc_id").alias("doc_id"), "fp").groupBy("fp").agg(F.min("doc_id").alias("first"))
+    classes = _classes(named, links(named.select("fp"), errors))
+    kept = named.join(classes, "fp").where(F.col("first").eqNullSafe(F.col("component_id")))
+    # two fingerprints of a component can share the smallest id
+    kept = kept.groupBy("component").agg(F.min("fp").alias("fp"), F.first("component_id").alias("component_id"))
+    found = printed.join(kept, "fp").where(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
+    return found.groupBy("fp").agg(F.min("row").alias("row")).select("row.*")
 
 
 def as_hex(fp: Column) -> Column:
