@@ -18,8 +18,8 @@ from loadlens.llm.shared import find_package, stored
 
 #: Documents below this quality score go.
 LEAST_SCORE = 0.3
-#: Near duplicates: shingles of five words, and so many differing bits of their fingerprints.
-WORDS, ERRORS = 5, 3
+#: Near duplicates: similarity of their sets of shingles of so many words.
+SIMILARITY, WORDS = 0.8, 5
 
 
 def _as_read(frame: DataFrame, documents: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of smallest id."""
     find_package(spark)
-    return simhash.one_of_each(docs, ERRORS, WORDS)
+    return simhash.one_of_each(docs, SIMILARITY, WORDS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

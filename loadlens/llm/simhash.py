@@ -35,8 +35,9 @@ from loadlens.llm.shared import stored
 BITS = 64
 #: Fingerprints below one trie node that a task joins at once; larger nodes are split into bands again.
 NODE_ROWS = 20_000
-#: Node pairs that are expanded together.
-FRONTIER = 200_000
+#: Node pairs that are expanded together, and row pairs of two leaves from which they are compared as a block.
+FRONTIER = 100_000
+BLOCK_PAIRS = 2_048
 
 
 def hashes(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -77,7 +78,10 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) ->
 
     ``group`` and ``bits`` are sorted together and (group, bits) is unique; the rows of a group are the leaves of a trie.
     A node is a range of rows; a pair is a row range, another one that is the same or follows, and the differing bits.
+    Leaves hold few rows, more of them the larger the budget, as nothing is pruned near the root. Rows of two leaves are
+    compared by all bits.
     """
+    rows = min(2048, 8 << errors)
     begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
     ends = np.r_[begins[1:], len(group)]
     found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -89,9 +93,10 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) ->
             half = len(a0) // 2
             todo += [(level, *(x[:half] for x in (a0, a1, b0, b1, differ))), (level, *(x[half:] for x in (a0, a1, b0, b1, differ)))]
             continue
-        if level == 0:
-            other = a0 < b0
-            found.append((a0[other], b0[other]))
+        leaf = (a1 - a0 <= rows) & (b1 - b0 <= rows) | (level == 0)
+        found.append(_leaf_pairs(bits, a0[leaf], a1[leaf], b0[leaf], b1[leaf], errors))
+        a0, a1, b0, b1, differ = (x[~leaf] for x in (a0, a1, b0, b1, differ))
+        if not len(a0):
             continue
         mask = np.uint64(1 << (level - 1))
         ma, mb = _split(bits, a0, a1, mask), _split(bits, b0, b1, mask)
@@ -102,15 +107,32 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) ->
                 keep = (x0 < x1) & (y0 < y1) & (count <= errors)
                 if xs > ys:  # a node joined with itself meets its two halves once
                     keep &= a0 != b0
-                keep &= (x0 != y0) | (x1 - x0 > 1)  # a leaf is not joined with itself
                 below.append([v[keep] for v in (x0, x1, y0, y1, count)])
-        a0, a1, b0, b1, differ = (np.concatenate(v) for v in zip(*below, strict=True))
-        if len(a0):
-            todo.append((level - 1, a0, a1, b0, b1, differ))
+        todo.append((level - 1, *(np.concatenate(v) for v in zip(*below, strict=True))))
     empty = np.empty(0, np.int64)
     return tuple(np.concatenate([empty, *x]) for x in zip(*found, strict=True)) if found else (empty, empty)
 
 
+def _leaf_pairs(bits: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, errors: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of small node pairs, by all their bits at once."""
+    out = []
+    large = (a1 - a0) * (b1 - b0) > BLOCK_PAIRS
+    for x0, x1, y0, y1 in zip(*(x[large].tolist() for x in (a0, a1, b0, b1)), strict=True):
+        for x in range(x0, x1, 256):
+            near = np.bitwise_count(bits[x : min(x + 256, x1), None] ^ bits[None, y0:y1]) <= errors
+            i, j = np.nonzero(near)
+            out.append((i + x, j + y0))
+    a0, a1, b0, b1 = (x[~large] for x in (a0, a1, b0, b1))
+    width = b1 - b0
+    counts = (a1 - a0) * width
+    pair = np.repeat(np.arange(len(a0)), counts)
+    place = np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts)
+    i, j = a0[pair] + place // width[pair], b0[pair] + place % width[pair]
+    near = np.bitwise_count(bits[i] ^ bits[j]) <= errors
+    i, j = (np.concatenate(x) for x in zip(*out, (i[near], j[near]), strict=True))
+    return i[i < j], j[i < j]
+
+
 def _split(bits: np.ndarray, begin: np.ndarray, end: np.ndarray, mask: np.uint64) -> np.ndarray:
     """For each range of rows with equal higher bits: where the rows with the masked bit begin (a binary search)."""
     low, high = begin.copy(), end.copy()
@@ -232,20 +254,84 @@ def _classes(named: DataFrame, linked: DataFrame) -> DataFrame:
     return own.join(smallest, "component").select("fp", "component", "component_id")
 
 
-def one_of_each(documents: DataFrame, errors: int = 2, words: int = 3, seed: int = 42) -> DataFrame:
-    """``documents`` (doc_id, text and any others): the row of smallest doc_id of each component, one if ids repeat.
+def _remixed(values: np.ndarray, i: int) -> np.ndarray:
+    """Other hashes of the same shingles; the first are the hashes themselves."""
+    if i == 0:
+        return values
+    out = values + np.uint64(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(31))
+
+
+def _fingerprints(words: int, seed: int, count: int):
+    @F.arrow_udf("array<long>")
+    def several(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for x in batch:
+                own = np.unique(hashes(x.as_py(), words, seed))
+                out.append(np.array([majority(_remixed(own, i)) for i in range(count)], np.uint64).view(np.int64))
+            yield pa.array(out, pa.list_(pa.int64()))
+
+    return several
+
+
+def _jaccard(words: int, seed: int):
+    @F.arrow_udf("double")
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            left, right = (np.unique(hashes(t.as_py(), words, seed)) for t in (x, y))
+            both = len(np.intersect1d(left, right, assume_unique=True))
+            out.append(both / max(1, len(left) + len(right) - both) if len(left) + len(right) else 1.0)
+        return pa.array(out, pa.float64())
+
+    return similar
 
-    Rows are told apart by id and fingerprint; fully or partly repeated ones by the order of all their columns.
+
+def one_of_each(
+    documents: DataFrame, similarity: float = 0.8, words: int = 5, errors: int = 8, prints: int = 4, seed: int = 42
+) -> DataFrame:
+    """``documents`` (doc_id, text and any others): one row of each group of near duplicates, that of smallest doc_id.
+
+    Near duplicates have a Jaccard similarity of ``similarity`` or more by their sets of word shingles; a text without a
+    word is like any other such text. Candidates differ in at most ``errors`` bits of one of ``prints`` fingerprints,
+    and each is verified. Texts in one group may be linked through others. Of rows that agree in id the first by all
+    columns stays.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
-    printed = stored(documents.select(row.alias("row"), fingerprint(F.col("text"), words, seed).alias("fp")), "fingerprints")
-    named = printed.select(F.col("row.doc_id").alias("doc_id"), "fp").groupBy("fp").agg(F.min("doc_id").alias("first"))
-    classes = _classes(named, links(named.select("fp"), errors))
-    kept = named.join(classes, "fp").where(F.col("first").eqNullSafe(F.col("component_id")))
-    # two fingerprints of a component can share the smallest id
-    kept = kept.groupBy("component").agg(F.min("fp").alias("fp"), F.first("component_id").alias("component_id"))
-    found = printed.join(kept, "fp").where(F.col("row.doc_id").eqNullSafe(F.col("component_id")))
-    return found.groupBy("fp").agg(F.min("row").alias("row")).select("row.*")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    made = _fingerprints(words, seed, prints)("text")
+    printed = stored(documents.select(row.alias("row"), F.xxhash64(text).alias("node"), made.alias("prints")), "fingerprints")
+    texts = printed.select("node", "prints").distinct()
+    pairs = None
+    for i in range(prints):
+        own = texts.select("node", F.col("prints")[i].alias("fp"))
+        least = stored(own.groupBy("fp").agg(F.min("node").alias("least")), "least")
+        met = links(least.select("fp"), errors)
+        far = met.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
+        far = far.join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select("x", "y")
+        same = own.join(least, "fp").where("node <> least").select(F.col("least").alias("x"), F.col("node").alias("y"))
+        found = far.unionByName(same)
+        pairs = found if pairs is None else pairs.unionByName(found)
+    pairs = stored(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+    members = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    read = printed.join(members, "node", "left_semi").groupBy("node").agg(F.min("row.text").alias("text"))
+    read = stored(read, "candidates")
+    both = pairs.join(read.select(F.col("node").alias("x"), F.col("text").alias("tx")), "x")
+    both = both.join(read.select(F.col("node").alias("y"), F.col("text").alias("ty")), "y")
+    linked = both.where(_jaccard(words, seed)("tx", "ty") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    grouped = components(linked)
+    keyed = printed.select("node", "row").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    keyed = keyed.select("component", "node", "row", F.col("row.doc_id").alias("id"))
+    # the smallest row of a group, found without moving texts: ids first, then the texts of that id
+    smallest = keyed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("s"))
+    smallest = smallest.select("component", F.col("s.id").alias("least_id"), F.col("s.node").alias("least_node"))
+    kept = keyed.join(
+        smallest.select("least_id", "least_node"), (F.col("node") == F.col("least_node")) & F.col("id").eqNullSafe(F.col("least_id"))
+    )
+    return kept.groupBy("component").agg(F.min("row").alias("row")).select("row.*")
 
 
 def as_hex(fp: Column) -> Column:
