@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Number = int | float
@@ -24,6 +24,16 @@ def null_if_nan(c: Column | str) -> Column:
     return F.nanvl(col(c), F.lit(None).cast("double"))
 
 
+def without_nan(df: DataFrame, *cols: str) -> DataFrame:
+    """The frame with NaN turned into NULL in the given columns, or in all floating-point columns.
+
+    Spark orders NaN above every number, so a comparison would count it as a high value.
+    """
+    kinds = dict(df.dtypes)
+    wanted = [c for c in cols or df.columns if kinds.get(c) in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in wanted}) if wanted else df
+
+
 def flag(condition: Column) -> Column:
     """0/1 indicator; an unknown condition is 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")

@@ -47,7 +47,7 @@ REFINED_CATEGORICAL = [*BASE_CATEGORICAL, "route_equipment", "distance_bucket"]
 
 
 def _num(name: str) -> Column:
-    return F.col(name).try_cast("double")
+    return C.null_if_nan(F.col(name).try_cast("double"))
 
 
 def _date_features() -> dict[str, Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens.functions import constants as K
-from loadlens.functions.columns import is_infinite, null_if_nan
+from loadlens.functions.columns import is_infinite, null_if_nan, without_nan
 from loadlens.operators.quantiles import exact_quantiles, group_stats
 from loadlens.operators.rows import categorical_cols, leakage_columns, numeric_cols
 
@@ -80,13 +80,29 @@ def duplicate_keys(df: DataFrame, key: str = K.KEY) -> DataFrame:
 
 def distinct_report(df: DataFrame, approx: bool = False) -> DataFrame:
     """Distinct values per column, a missing value counting as one more."""
-    count = F.approx_count_distinct if approx else F.count_distinct
-    distinct = [
-        count(null_if_nan(c) if isinstance(df.schema[c].dataType, _FLOATING) else F.col(c))
-        + F.coalesce(F.max(_missing(df, c).cast("int")), F.lit(0))
-        for c in df.columns
+    cleaned = {c: null_if_nan(c) if isinstance(df.schema[c].dataType, _FLOATING) else F.col(c) for c in df.columns}
+    if approx:
+        distinct = [
+            F.approx_count_distinct(v) + F.coalesce(F.max(_missing(df, c).cast("int")), F.lit(0)) for c, v in cleaned.items()
+        ]
+        return per_column(df, df.columns, {"unique_values": distinct}).orderBy("position").drop("position")
+    # 128 bits of each value instead of the rows: equal ones are combined before the shuffle; a missing value has its own mark
+    hashed = [
+        F.struct(
+            F.lit(i).alias("position"),
+            v.isNull().alias("missing"),
+            F.xxhash64(v).alias("h1"),
+            F.xxhash64(F.lit(1), v).alias("h2"),
+        )
+        for i, v in enumerate(cleaned.values())
     ]
-    return per_column(df, df.columns, {"unique_values": distinct}).orderBy("position").drop("position")
+    if not hashed:
+        return per_column(df, df.columns, {"unique_values": []}).drop("position")
+    each = df.select(F.inline(F.array(*hashed))).distinct().groupBy("position").agg(F.count("*").alias("n"))
+    names = [F.struct(F.lit(i).alias("p"), F.lit(c).alias("column")) for i, c in enumerate(df.columns)]
+    listed = df.sparkSession.range(1).select(F.inline(F.array(*names)))
+    found = listed.join(F.broadcast(each), F.col("p") == F.col("position"), "left")  # a row per column
+    return found.orderBy("p").select("column", F.coalesce("n", F.lit(0)).alias("unique_values"))
 
 
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -165,6 +181,7 @@ def iqr_outliers(df: DataFrame, column: str = K.TARGET, k: float = 1.5) -> DataF
     upper = None if iqr is None else q3 + k * iqr
     values = {"q1": q1, "q3": q3, "iqr": iqr, "lower_bound": lower, "upper_bound": upper}
     fences = {n: F.lit(v).cast("double") for n, v in values.items()}
+    df = without_nan(df, column)
     c = F.col(column)
     outside = (c < fences["lower_bound"]) | (c > fences["upper_bound"])
     counted = df.agg(F.count(F.when(outside, 1)).alias("outlier_count"), F.count(F.lit(1)).alias("_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadlens.functions import columns as C
 from loadlens.functions import constants as K
-from loadlens.operators.quantiles import group_stats, order_bucket
+from loadlens.operators.quantiles import group_stats, pairs_below
 from loadlens.operators.rows import best_by
 
 
@@ -116,6 +116,7 @@ def bias(df: DataFrame, y: str = K.TARGET, p: str = K.PREDICTION) -> DataFrame:
 
 def subset_mae(df: DataFrame, predictions: Mapping[str, str], threshold: float = K.HIGH_RATE) -> DataFrame:
     """MAE on high-rate rows per prediction column."""
+    df = C.without_nan(df, K.TARGET, *predictions.values())
     high = F.col(K.TARGET) >= threshold
     wide = df.agg(
         F.count(F.when(high, 1)).alias("_n"),
@@ -137,35 +138,21 @@ def subset_mae(df: DataFrame, predictions: Mapping[str, str], threshold: float =
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve, ties counted half.
 
-    Rows are first counted per distinct score. Scores are then ranked inside order-preserving buckets,
-    and only the bucket totals are cumulated over the whole range, so no task sees all scores.
+    Rows are first counted per distinct score; negatives below are then cumulated along order-preserving paths of the
+    scores, so no task sees all scores, or all scores of a narrow range.
     """
-    part = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    per_score = (
-        part.groupBy(F.col(score).cast("double").alias("_s"))
-        .agg(
-            F.count(F.when(F.col(label) == 1, 1)).alias("_pos"),
-            F.count(F.when(F.col(label) == 0, 1)).alias("_neg"),
-        )
-        .withColumn("_b", order_bucket(F.col("_s")))
-    )
-    below = Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # negatives below a score in its own bucket, those of the same score counted half
-    per_score = per_score.withColumn("_under", F.sum("_neg").over(below) - F.col("_neg") / 2)
-    per_bucket = per_score.groupBy("_b").agg(
-        F.sum("_pos").alias("_pos"),
-        F.sum("_neg").alias("_neg"),
-        F.sum(F.col("_pos") * F.col("_under")).alias("_inside"),
+    part = df.where(F.col(label).isNotNull() & C.null_if_nan(F.col(score).cast("double")).isNotNull())
+    per_score = part.groupBy(F.col(score).cast("double").alias("_s")).agg(
+        F.count(F.when(F.col(label) == 1, 1)).alias("_pos"), F.count(F.when(F.col(label) == 0, 1)).alias("_neg")
     )
-    # the number of buckets is bounded by the width of a double, not by the data
-    earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_bucket = per_bucket.withColumn("_earlier", F.sum("_neg").over(earlier) - F.col("_neg"))
-    pairs = F.sum(F.col("_inside") + F.col("_pos").cast("double") * F.col("_earlier"))
-    pos, neg = F.sum("_pos"), F.sum("_neg")
-    return per_bucket.agg(
+    both = per_score.agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    # one row each
+    wide = both.unionByName(pairs_below(per_score, "_s", "_pos", "_neg"), allowMissingColumns=True)
+    pos, neg = F.max("_pos"), F.max("_neg")
+    return wide.agg(
         F.coalesce(pos, F.lit(0)).alias("positives"),
         F.coalesce(neg, F.lit(0)).alias("negatives"),
-        F.try_divide(pairs, pos.cast("double") * neg).alias("roc_auc"),
+        F.try_divide(F.max("pairs"), pos.cast("double") * neg).alias("roc_auc"),
     )
 
 
@@ -221,6 +208,7 @@ def classification_report(df: DataFrame, label: str = "label", predicted: str =
 
 def class_balance(df: DataFrame, target: str = K.TARGET, threshold: float = K.HIGH_RATE) -> DataFrame:
     """Rows, high-rate rows and their share."""
+    df = C.without_nan(df, target)
     positive = F.col(target) >= threshold
     return df.agg(
         F.count(F.lit(1)).alias("rows"),

@@ -1,18 +1,17 @@
 """Exact quantiles that never gather a group in one place, and grouped statistics built on them.
 
-Spark's own exact ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here a
-first pass only counts values per order-preserving bucket (a few thousand buckets per group, whatever the
-size of the data, combined on the map side); the cumulative counts tell which buckets hold the wanted
-ranks, and a second pass ranks the values of those buckets alone, or is left out when each of them holds
-a single distinct value. The result is the same number as the exact percentile with linear interpolation.
+Spark's own exact ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here the values are
+counted once, combined on the map side, under an order-preserving path: a bucket (a few thousand per group), 2^14 parts
+of a bucket, 2^14 parts of a part, and the value. Going down the path, the counts of a level tell which child holds the
+wanted rank, and only its children are looked at next. Windows run over the children of one node, at most 2^14 below
+the first level, so a group whose values all lie close together is not gathered either. The result is the same number
+as the exact percentile with linear interpolation, and building the frame runs nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,28 +20,34 @@ from loadlens.functions.columns import col, null_if_nan
 BUCKETS_PER_DOUBLING = 1024
 # covers the exponents of all doubles, so that bucket numbers of positive values are positive
 _SHIFT = 1100 * BUCKETS_PER_DOUBLING
+PARTS = 1 << 14
 
-MAX_LOCAL_ROWS = 50_000
-MAX_LITERALS = 2_000
+#: Columns of a value's path, from the bucket down; the value itself is the last step.
+PATH = ["_b1", "_b2", "_b3"]
 
 
 def order_bucket(v: Column) -> Column:
     """A bucket number that never decreases with the value; about 0.07 % wide relative to it. NULL is in 0."""
-    size = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * BUCKETS_PER_DOUBLING) + _SHIFT
+    size = _exponent(v) + _SHIFT
     # the logarithm of zero is NULL
     return F.coalesce((F.signum(v) * size).cast("long"), F.lit(0).cast("long"))
 
 
-def settle(df: DataFrame, max_rows: int = MAX_LOCAL_ROWS) -> tuple[DataFrame, pa.Table | None]:
-    """Run a frame that is expected to be small and return it as a local table of known size.
+def _exponent(v: Column) -> Column:
+    return F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * BUCKETS_PER_DOUBLING)
 
-    At most ``max_rows + 1`` rows are fetched. When there are more, the frame itself comes back without a
-    local copy, and joins with it shuffle as usual.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df, None
-    return df.sparkSession.createDataFrame(head, df.schema), head
+
+def order_path(v: Column) -> dict[str, Column]:
+    """Bucket, part and part of the part of a value: in this order they never decrease with the value."""
+    low = F.pow(F.lit(2.0), _exponent(v) / BUCKETS_PER_DOUBLING)
+    width = 2.0 ** (1 / BUCKETS_PER_DOUBLING) - 1
+    place = (F.try_divide(F.abs(v), low) - 1) / width * PARTS  # where in its bucket, 0 to PARTS
+    place = F.when(F.abs(v) < float("inf"), F.least(F.greatest(place, F.lit(0.0)), F.lit(PARTS - 1e-6)))
+    sign = F.signum(v)
+    second = F.floor(place)
+    third = F.floor((place - second) * PARTS)
+    whole = lambda c: F.coalesce((sign * c).cast("long"), F.lit(0).cast("long"))
+    return {"_b1": order_bucket(v), "_b2": whole(second), "_b3": whole(third)}
 
 
 def group_stats(
@@ -51,12 +56,11 @@ def group_stats(
     aggs: Sequence[Column],
     of: Column | str | None = None,
     quantiles: Mapping[str, float] | None = None,
-    max_local_rows: int = MAX_LOCAL_ROWS,
 ) -> DataFrame:
     """``groupBy(keys).agg(aggs)`` plus exact quantiles of the column ``of`` under the given names.
 
-    Rows with a missing key are left out. One scan computes the plain aggregates and the bucket counts
-    (grouping sets), a second one ranks the few buckets that hold the quantiles.
+    Rows with a missing key are left out. With keys, one scan computes the plain aggregates and the counts per value
+    (grouping sets); without keys the plain aggregates are a scan of their own, so that an empty table gives a row.
     """
     for k in keys:
         df = df.where(F.col(k).isNotNull())
@@ -64,60 +68,55 @@ def group_stats(
         return df.groupBy(*keys).agg(*aggs)
 
     keys = list(keys)
-    value = null_if_nan(col(of).cast("double"))
-    df = df.withColumn("_v", value).withColumn("_b", order_bucket(F.col("_v")))
-    counts = [F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
-    if aggs:
-        counted = df.groupingSets([[*keys, "_b"], list(keys)], *keys, "_b").agg(
-            *aggs, *counts, F.grouping("_b").alias("_all")
-        )
+    df = df.withColumn("_v", null_if_nan(col(of).cast("double")))
+    df = df.withColumns(order_path(F.col("_v")))
+    steps = [*PATH, "_v"]
+    counted_n = F.count("_v").alias("_n")
+    if keys and aggs:
+        both = df.groupingSets([[*keys, *steps], keys], *keys, *steps).agg(*aggs, counted_n, F.grouping("_b1").alias("_all"))
+        values = both.where("_all = 0").select(*keys, *steps, "_n")
+        stats = both.where("_all = 1").drop(*steps, "_n", "_all")
     else:
-        counted = df.groupBy(*keys, "_b").agg(*counts).withColumn("_all", F.lit(0))
-
-    # bucket rows of a group in value order; the row of the whole group counts nothing
-    bucket_n = F.when(F.col("_all") == 0, F.col("_n")).otherwise(0)
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_all", "_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counted.withColumns(
-        {"_total": F.sum(bucket_n).over(group), "_last": F.sum(bucket_n).over(upto) - 1}
-    ).withColumn("_first", F.col("_last") - F.col("_n") + 1)
-    wanted = (F.col("_all") == 0) & (F.col("_n") > 0) & _holds_rank(quantiles.values())
-    empty = F.col("_total") == 0
-    level1, local = settle(placed.where((F.col("_all") == 1) | wanted | empty), max_local_rows)
-
-    if not keys and local is not None and local.num_rows == 0:  # an empty table
-        return df.agg(*counts, *aggs).select("*", *[F.lit(None).cast("double").alias(q) for q in quantiles]).drop(
-            "_n", "_min", "_max"
-        )
-    if aggs:
-        stats = level1.where(F.col("_all") == 1).drop("_b", "_n", "_min", "_max", "_all", "_total", "_first", "_last")
-    else:
-        stats = level1.select(*keys).distinct()
-    chosen = level1.where((F.col("_all") == 0) & ~empty)
-    shape = [*keys, "_total", "_first", "_last", "_v"]
-    ranked = chosen.where("_min = _max").withColumn("_v", F.col("_min")).select(*shape)
-    if local is None or _mixed_buckets(local):
-        mixed = chosen.where("_min < _max")
-        ranked = ranked.unionByName(_rank_within(df, mixed, keys, local).select(*shape))
-
+        values = df.groupBy(*keys, *steps).agg(counted_n)
+        stats = df.agg(*aggs) if aggs else values.select(*keys).distinct()
+    found = _at_ranks(values.where("_v IS NOT NULL"), keys, quantiles)
+    if keys:
+        return stats.join(found, keys, "left")
+    if not aggs:
+        return found
+    # one row each, with different columns: fold them into one
+    both = stats.unionByName(found, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+
+def _at_ranks(values: DataFrame, keys: list[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """The quantiles of each group from the counts of its values along their paths."""
+    steps = [*PATH, "_v"]
+    chosen = None
+    for depth, step in enumerate(steps, start=1):
+        node = [*keys, *steps[: depth - 1]]
+        level = values if step == "_v" else values.groupBy(*node, step).agg(F.sum("_n").alias("_n"))
+        children = Window.partitionBy(*node)
+        upto = F.sum("_n").over(children.orderBy(step).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        if chosen is None:
+            level = level.withColumns({"_total": F.sum("_n").over(children), "_start": F.lit(0).cast("long")})
+        else:
+            level = level.join(chosen, node)
+        placed = level.withColumn("_last", F.col("_start") + upto - 1).withColumn("_first", F.col("_last") - F.col("_n") + 1)
+        held = placed.where(_holds_rank(quantiles.values()))
+        chosen = held.select(*node, step, "_total", F.col("_first").alias("_start"))
     ends = []
     for i, p in enumerate(quantiles.values()):
         for end, rank in (("lo", F.floor(_rank(p))), ("hi", F.ceil(_rank(p)))):
             hit = rank.between(F.col("_first"), F.col("_last"))
             ends.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{end}{i}"))
-    found = ranked.groupBy(*keys).agg(*ends, F.max("_total").alias("_total"))
+    found = held.groupBy(*keys).agg(*ends, F.max("_total").alias("_total"))
     result = []
     for i, (name, p) in enumerate(quantiles.items()):
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        result.append((lo + (hi - lo) * (_rank(p) - F.floor(_rank(p)))).alias(name))
-    found = found.select(*keys, *result)
-    if not keys and not aggs:
-        return found
-    if not keys:
-        # one row each, with different columns: fold them into one
-        both = stats.unionByName(found, allowMissingColumns=True)
-        return both.agg(*[F.max(c).alias(c) for c in both.columns])
-    return stats.join(found, keys, "left")
+        between = lo + (hi - lo) * (_rank(p) - F.floor(_rank(p)))
+        result.append(F.when(lo == hi, lo).otherwise(between).alias(name))
+    return found.select(*keys, *result)
 
 
 def _rank(p: float) -> Column:
@@ -134,37 +133,31 @@ def _holds_rank(probs: Iterable[float]) -> Column:
     return holds
 
 
-def _mixed_buckets(level1: pa.Table) -> list[int]:
-    """Numbers of the chosen buckets that hold more than one distinct value."""
-    several = pc.and_(pc.equal(level1["_all"], 0), pc.less(level1["_min"], level1["_max"]))
-    return pc.unique(level1.filter(several)["_b"]).to_pylist()
-
-
-def _rank_within(df: DataFrame, buckets: DataFrame, keys: list[str], local: pa.Table | None) -> DataFrame:
-    """First and last rank of every value in the given buckets (second scan)."""
-    df = df.where(F.col("_v").isNotNull())
-    buckets = buckets.select(*keys, "_b", "_total", F.col("_first").alias("_start"))
-    if local is not None:
-        numbers = _mixed_buckets(local)
-        if len(numbers) <= MAX_LITERALS:
-            df = df.where(F.col("_b").isin(numbers))  # drops nearly all rows before they are matched by key
-        buckets = F.broadcast(buckets)
-    counted = (
-        df.select(*keys, "_b", "_v")
-        .join(buckets, [*keys, "_b"])
-        .groupBy(*keys, "_b", "_total", "_start", "_v")
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    upto = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counted.withColumn("_last", F.col("_start") + F.sum("_m").over(upto) - 1).withColumn(
-        "_first", F.col("_last") - F.col("_m") + 1
-    )
+def pairs_below(counts: DataFrame, value: str, high: str, low: str) -> DataFrame:
+    """One row: how many (high, low) pairs have the smaller value on the low side, those of equal value counted half.
+
+    ``counts`` has one row per value with the counts ``high`` and ``low``. Along the paths of the values, the low
+    counts of earlier children of the same node are cumulated at each level.
+    """
+    steps = [*PATH, "_v"]
+    values = counts.withColumn("_v", F.col(value)).withColumns(order_path(F.col(value)))
+    parts = None
+    for depth, step in enumerate(steps, start=1):
+        node = steps[: depth - 1]
+        level = values.groupBy(*node, step).agg(F.sum(high).alias("_high"), F.sum(low).alias("_low"))
+        earlier = Window.partitionBy(*node).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        below = F.coalesce(F.sum("_low").over(earlier), F.lit(0)).cast("double")
+        if step == "_v":
+            below = below + F.col("_low") / 2
+        part = level.select((F.col("_high") * below).alias("_pairs"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.agg(F.sum("_pairs").alias("pairs"))
 
 
 def exact_quantiles(df: DataFrame, column: Column | str, probs: Sequence[float]) -> list[float | None]:
     """Quantiles of one column as plain numbers (a handful of values, for bucket edges and fences)."""
     names = {f"q{i}": float(p) for i, p in enumerate(probs)}
-    row = group_stats(df, [], [], column, names).first()
+    row = group_stats(df, [], [], column, names).first()  # the only job here: a few plain numbers are asked for
     return [None if row is None else row[n] for n in names]
 
 

@@ -46,7 +46,8 @@ def between_dates(df: DataFrame, start: str, end: str, date: str = "date") -> Da
 
 def split_by_threshold(df: DataFrame, column: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Rows at or above the threshold, and rows below it."""
-    return df.where(F.col(column) >= threshold), df.where(F.col(column) < threshold)
+    known = ~F.isnan(F.col(column).cast("double"))  # Spark orders NaN above every number
+    return df.where(known & (F.col(column) >= threshold)), df.where(F.col(column) < threshold)
 
 
 def drop_missing(df: DataFrame, *cols: str) -> DataFrame:

@@ -31,6 +31,7 @@ def group_summary(
     min_count: int | None = None,
 ) -> DataFrame:
     """Target statistics per group, largest ``order_by`` first."""
+    df = C.without_nan(df, target)
     aggs = [_STATS[s](target).alias(s) for s in stats if s != "median"]
     median = {"median": 0.5} if "median" in stats else None
     out = group_stats(df, keys, aggs, of=target, quantiles=median).select(*keys, *stats)
@@ -108,6 +109,7 @@ def compare_segments(
 ) -> DataFrame:
     """Feature means on both sides of a condition and their difference in percent (G10), in one pass."""
     off, on = names
+    df = C.without_nan(df, *features)
     wide = df.agg(
         *[F.avg(F.when(~condition, F.col(f))).alias(f"{f}_off") for f in features],
         *[F.avg(F.when(condition, F.col(f))).alias(f"{f}_on") for f in features],
@@ -129,6 +131,7 @@ def high_rate_by(
     having: int = 0,
 ) -> DataFrame:
     """Loads, high-rate loads and their share per group."""
+    df = C.without_nan(df, target)
     high = F.count(F.when(F.col(target) >= threshold, 1))
     aggs = [F.count(target).alias("total_loads"), high.alias("high_rate_loads")]
     aggs += [_STATS[s](target).alias(f"{s}_rate") for s in stats if s != "median"]
@@ -150,7 +153,7 @@ def high_rate_by_distance(df: DataFrame, threshold: float = K.HIGH_RATE) -> Data
 
 def high_rate_only_by(df: DataFrame, key: str, threshold: float = K.HIGH_RATE, target: str = K.TARGET) -> DataFrame:
     """Count, mean and maximum of the high-rate loads alone."""
-    high = df.where(F.col(target) >= threshold)
+    high = C.without_nan(df, target).where(F.col(target) >= threshold)
     return group_summary(high, [key], target, ("count", "mean", "max")).withColumnsRenamed(
         {"count": "high_rate_loads", "mean": "mean_rate", "max": "max_rate"}
     )

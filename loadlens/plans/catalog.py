@@ -21,10 +21,10 @@ from loadlens.functions.features import (
     refined_features,
 )
 from loadlens.operators import audit, buckets, evaluate, gates, rows, strategy, summary
-from loadlens.plans import models, scoring, validation
+from loadlens.plans import history, models, scoring, validation
 from loadlens.sources import domains, star
 from loadlens.sources.shared import shared_dir
-from loadlens.sources.tables import parse_dates, parse_numeric
+from loadlens.sources.tables import InputError, parse_dates, parse_numeric, read_checked, read_loads, write_table
 from loadlens.streaming import requests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,6 +261,13 @@ def best_config(spark: SparkSession, sf: str) -> DataFrame:
     return rows.union_tagged(best, "metric")
 
 
+@query("top_strategies")
+def top_strategies(spark: SparkSession, sf: str) -> DataFrame:
+    """The fifteen best strategies by each of the three metrics."""
+    grid = rounded(strategy.strategy_grid(star.scored(spark, sf)))
+    return history.top_by_each(grid, ("MAE", "RMSE", "high_rate_MAE"), 15, ["threshold", "boost"])
+
+
 on_scored("extreme_metrics", strategy.extreme_metrics)
 on_scored(
     "threshold_join", lambda d: strategy.extreme_metrics(d, [*K.EXTREME_RATES, 1_000_000], keep_empty=True)
@@ -316,6 +323,17 @@ on_scored("subset_mae", lambda d: evaluate.subset_mae(_models(d), MODELS))
 on_scored("leaderboard", lambda d: evaluate.leaderboard(evaluate.metrics_of(_models(d), MODELS)))
 
 
+@query("final_comparison")
+def final_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics appended to a history in two runs, and the best run of each model."""
+    board = rounded(evaluate.metrics_of(_models(star.scored(spark, sf)), MODELS))
+    path = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    history.append_metrics(board, path)
+    worse = board.withColumn("MAE", F.col("MAE") + 1)
+    history.append_metrics(worse, path)
+    return history.final_comparison(history.read_history(spark, path))
+
+
 @query("best_model")
 def best_model(spark: SparkSession, sf: str) -> DataFrame:
     """Errors of the model with the smaller RMSE."""
@@ -449,6 +467,93 @@ def scenario_series(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(buckets.scenario_series(_scenario(spark, sf)))
 
 
+# ---------------------------------------------------------------- sources, sinks and requests
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads written as CSV with a header and read back by the lenient rules."""
+    path = f"{shared_dir(spark)}/loads-{uuid.uuid4().hex}.csv"
+    write_table(star.loads(spark, sf), path, fmt="csv")
+    return read_loads(spark, path)
+
+
+@query("checked_scan")
+def checked_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A checked scan of the orders, and the labelled message for a table that is not there."""
+    orders = read_checked(spark, f"{sf}/orders.parquet", "orders")
+    try:
+        read_checked(spark, f"{sf}/no_orders.parquet", "orders")
+        message = ""
+    except InputError as err:
+        message = str(err).split(":")[0]
+    found = orders.agg(F.count(F.lit(1)).alias("rows"), F.sum("o_totalprice").alias("total"))
+    return rounded(found.withColumn("absent", F.lit(message)), 2)
+
+
+def _fails(check: Callable[[], None]) -> bool:
+    try:
+        check()
+    except InputError:
+        return True
+    return False
+
+
+@query("contract_checks")
+def contract_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Column order and target rules on tables that keep and break them, with the rows of each table (V1, V9)."""
+    d, s = star.loads(spark, sf), star.submission(spark, sf)
+    swapped = s.select(K.PREDICTION, K.KEY)
+    cases = {
+        "columns": (s, lambda: gates.check_columns(s, gates.PREDICTION_COLUMNS)),
+        "columns swapped": (swapped, lambda: gates.check_columns(swapped, gates.PREDICTION_COLUMNS)),
+        "contract": (d, lambda: gates.check_contract(d, d.drop(K.TARGET))),
+        "target to score": (d, lambda: gates.check_contract(d, d)),
+        "no target": (d, lambda: gates.check_contract(d.drop(K.TARGET), d.drop(K.TARGET))),
+    }
+    counted = {
+        name: df.agg(F.count(F.lit(1)).alias("rows")).withColumn("rejected", F.lit(_fails(check))) for name, (df, check) in cases.items()
+    }
+    return rows.union_tagged(counted, "case")
+
+
+@query("clean_requests")
+def clean_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads with blanks around their texts, as people type them, cleaned."""
+    typed = star.loads(spark, sf).withColumns(
+        {c: F.concat(F.lit(" "), F.col(c), F.lit("\t ")) for c in ("pickup", "delivery", "equipment")}
+    )
+    return requests.clean_requests(typed)
+
+
+def with_nan(d: DataFrame) -> DataFrame:
+    """NaN planted by order key in the target, the weight and the index."""
+    number = F.substring("load_id", 4, 7).cast("int")
+    nan = F.lit(float("nan"))
+    planted = {K.TARGET: 17, "weight": 19, "market_index": 23}
+    return d.withColumns({c: F.when(number % m == 0, nan).otherwise(F.col(c)) for c, m in planted.items()})
+
+
+@query("nan_audit")
+def nan_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports on a Parquet table that holds NaN: the same as if the values were missing."""
+    path = f"{shared_dir(spark)}/nan-{uuid.uuid4().hex}"
+    write_table(with_nan(star.loads(spark, sf)), path)
+    d = read_loads(spark, path)
+    tall = lambda df, *cols: df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in cols])))
+    fine = refined_features(d).agg(F.sum("heavy_load").alias("heavy_load"), F.sum("market_index_high").alias("market_index_high"))
+    parts = {
+        "balance": tall(evaluate.class_balance(d), "rows", "positives", "positive_pct"),
+        "outliers": tall(audit.iqr_outliers(d), "upper_bound", "outlier_count"),
+        "flags": tall(fine, "heavy_load", "market_index_high"),
+        "equipment": summary.group_summary(d, ["equipment"]).select(F.col("equipment").alias("measure"), F.col("mean").alias("value")),
+        "high": summary.high_rate_by(d, ["equipment"]).select(
+            F.col("equipment").alias("measure"), F.col("high_rate_loads").cast("double").alias("value")
+        ),
+    }
+    return rounded(rows.union_tagged(parts, "report"))
+
+
 # ---------------------------------------------------------------- models
 
 # Settings of the registered model queries: whole tables, few trees. The library's defaults are full size.

@@ -7,7 +7,7 @@ from loadlens.functions.features import BASE_NUMERIC
 from loadlens.plans.catalog import INEXACT, LOAD_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
 
 LOADS = """loads AS (
-SELECT concat('TR-', lpad(CAST(l.l_orderkey AS VARCHAR), 7, '0'), '-', CAST(l.l_linenumber AS VARCHAR)) AS load_id,
+SELECT concat('TR-', format('{:07d}', l.l_orderkey), '-', CAST(l.l_linenumber AS VARCHAR)) AS load_id,
        pn.n_name AS pickup, dn.n_name AS delivery,
        CAST(25 + (s.s_nationkey * 7) % 24 AS DOUBLE)    AS pickup_lat,
        CAST(-120 + (s.s_nationkey * 11) % 45 AS DOUBLE) AS pickup_lon,
@@ -42,7 +42,7 @@ scored2 AS (SELECT *, predicted_rate - posted_rate AS error, abs(predicted_rate
 )
 
 SUBMISSION = """submission AS (
-SELECT concat('TE-', lpad(CAST(o_orderkey + 1 AS VARCHAR), 6, '0')) AS load_id, o_totalprice / 50 AS predicted_rate
+SELECT concat('TE-', format('{:06d}', o_orderkey + 1)) AS load_id, o_totalprice / 50 AS predicted_rate
 FROM orders)"""
 
 NUMERIC = [
@@ -486,6 +486,15 @@ _grid_rounded = (
     f'round("high_rate_MAE", 6) AS "high_rate_MAE", triggered FROM ({_grid})'
 )
 SQL["strategy_grid"] = scored(_grid_rounded)
+SQL["top_strategies"] = (
+    f"WITH {SCORED},\ngrid AS ({_grid_rounded})\n"
+    + union(
+        [
+            f"SELECT * FROM (SELECT '{m}' AS metric, * FROM grid ORDER BY \"{m}\", threshold, boost LIMIT 15)"
+            for m in ("MAE", "RMSE", "high_rate_MAE")
+        ]
+    )
+)
 SQL["best_config"] = (
     f"WITH {SCORED},\ngrid AS ({_grid_rounded})\n"
     + union(
@@ -598,6 +607,7 @@ SQL["subset_mae"] = scored(
 )
 _board = union([f"SELECT '{n}' AS model, {metrics(p)} FROM scored2" for n, p in _MODELS.items()])
 SQL["leaderboard"] = scored(f"SELECT model, {_metrics_rounded} FROM ({_board})")
+SQL["final_comparison"] = SQL["leaderboard"]
 SQL["champion_comparison"] = SQL["leaderboard"]
 SQL["best_model"] = (
     f"WITH {SCORED},\nboard AS ({_board}),\nbest AS (SELECT model FROM board ORDER BY \"RMSE\", model LIMIT 1),\n"
@@ -647,6 +657,48 @@ SQL["class_balance"] = loads(
     "round(count(*) FILTER (posted_rate >= 7500) * 100.0::DOUBLE / count(*), 6) AS positive_pct FROM loads"
 )
 
+# ---------------------------------------------------------------- sources, sinks and requests
+
+SQL["csv_round_trip"] = SQL["loads"]
+SQL["clean_requests"] = SQL["loads"]
+SQL["checked_scan"] = (
+    "SELECT count(*) AS rows, round(sum(o_totalprice), 2) AS total, 'orders file not found' AS absent FROM orders"
+)
+SQL["contract_checks"] = union(
+    [
+        f"SELECT '{case}' AS \"case\", count(*) AS rows, {rejected} AS rejected FROM {table}"
+        for case, rejected, table in (
+            ("columns", "false", "orders"),
+            ("columns swapped", "true", "orders"),
+            ("contract", "false", "lineitem"),
+            ("target to score", "true", "lineitem"),
+            ("no target", "true", "lineitem"),
+        )
+    ]
+)
+_holes = "CASE WHEN substr(load_id, 4, 7)::INT % {} = 0 THEN NULL ELSE {} END"
+SQL["nan_audit"] = (
+    f"WITH {LOADS},\nholed AS (SELECT equipment, {_holes.format(17, 'posted_rate')} AS y, {_holes.format(19, 'weight')} AS w, "
+    f"{_holes.format(23, 'market_index')} AS m FROM loads),\n"
+    "q AS (SELECT quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3 FROM holed),\n"
+    "f AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)\n"
+    "SELECT report, measure, round(value, 6) AS value FROM ("
+    + union(
+        [
+            "SELECT 'balance' AS report, 'rows' AS measure, count(*)::DOUBLE AS value FROM holed",
+            "SELECT 'balance', 'positives', count(*) FILTER (y >= 7500) FROM holed",
+            "SELECT 'balance', 'positive_pct', count(*) FILTER (y >= 7500) * 100.0::DOUBLE / count(*) FROM holed",
+            "SELECT 'outliers', 'upper_bound', hi FROM f",
+            "SELECT 'outliers', 'outlier_count', (SELECT count(*) FROM holed WHERE y < lo OR y > hi) FROM f",
+            f"SELECT 'flags', 'heavy_load', count(*) FILTER (w >= {K.HEAVY_LB}) FROM holed",
+            f"SELECT 'flags', 'market_index_high', count(*) FILTER (m >= {K.INDEX_HIGH}::DOUBLE) FROM holed",
+            "SELECT 'equipment', equipment, avg(y) FROM holed GROUP BY equipment",
+            "SELECT 'high', equipment, count(*) FILTER (y >= 7500) FROM holed GROUP BY equipment",
+        ]
+    )
+    + ")"
+)
+
 # ---------------------------------------------------------------- gates and scenario
 
 _EXPECTED = "SELECT format('TE-{:06d}', i) AS load_id FROM range(101, (SELECT count(*) FROM orders) + 101) AS t(i)"

@@ -23,12 +23,13 @@ from loadlens.functions import columns as C
 from loadlens.functions import constants as K
 from loadlens.functions.features import BASE_CATEGORICAL, BASE_NUMERIC
 from loadlens.operators.audit import long_values
-from loadlens.operators.quantiles import group_stats, settle
-from loadlens.operators.rows import numbered, sample_n
-from loadlens.sources.shared import ensure_checkpoints
+from loadlens.operators.quantiles import group_stats
+from loadlens.operators.rows import sample_n
+from loadlens.sources.shared import ensure_checkpoints, written_once
 
 LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
-INDEX, LEVEL = "__index", "__level"
+PLACE, INDEX, LEVEL = "__place", "__index", "__level"
+PRIOR_ROWS = 10
 
 # ---------------------------------------------------------------- filling missing values (M3, M4)
 
@@ -95,22 +96,69 @@ class MissingFiller(Estimator, _FillParams, DefaultParamsReadable, DefaultParams
 def category_stages(categorical: Sequence[str], onehot: bool) -> tuple[list, list[str]]:
     """Stages that code text columns, and the names of the coded columns.
 
-    One-hot keeps a slot for every level seen in training; an unknown level is the zero vector. Index
-    codes are what tree learners split natively: one column per category however many levels it has.
-    An unknown level has its own index there.
+    One-hot keeps a slot for every level seen in training; an unknown level is the zero vector. For tree learners a
+    level is coded by the mean label of its training rows: one number per category however many levels it has, so the
+    bins of a split do not grow with the levels. An unknown level has the overall mean.
     """
     if not categorical:
         return [], []
-    index = [c + INDEX for c in categorical]
-    stages: list = [StringIndexer(inputCols=list(categorical), outputCols=index, handleInvalid="keep")]
+    place = [c + PLACE for c in categorical]
+    stages: list = [StringIndexer(inputCols=list(categorical), outputCols=place, handleInvalid="keep")]
     if not onehot:
-        return stages, index
+        index = [c + INDEX for c in categorical]
+        return [*stages, LevelMeans(place, index)], index
     level = [c + LEVEL for c in categorical]
     # the last slot, dropped here, is the one the indexer added for unknown levels
-    stages.append(OneHotEncoder(inputCols=index, outputCols=level, dropLast=True))
+    stages.append(OneHotEncoder(inputCols=place, outputCols=level, dropLast=True))
     return stages, level
 
 
+class _LevelParams(Params):
+    inputCols = Param(Params._dummy(), "inputCols", "places of levels", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "coded columns", TypeConverters.toListString)
+
+
+class LevelMeansModel(Model, _LevelParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Replaces the place of a level by the mean label learned for it."""
+
+    means = Param(Params._dummy(), "means", "mean label per place and column, as JSON", TypeConverters.toString)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        means = json.loads(self.getOrDefault(self.means))
+        new = {}
+        for place, coded in zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols), strict=True):
+            known = F.array(*[F.lit(float(m)) for m in means[place]])
+            overall = F.lit(float(means[""]))
+            new[coded] = F.coalesce(F.get(known, F.col(place).cast("int")), overall)
+        return df.withColumns(new)
+
+
+class LevelMeans(Estimator, _LevelParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns the mean label of every level, drawn towards the overall mean by ``PRIOR_ROWS`` rows."""
+
+    def __init__(self, places: Sequence[str] = (), coded: Sequence[str] = ()):
+        super().__init__()
+        self._set(inputCols=list(places), outputCols=list(coded))
+
+    def _fit(self, df: DataFrame) -> LevelMeansModel:
+        places = self.getOrDefault(self.inputCols)
+        overall = df.agg(F.avg(LABEL)).first()[0] or 0.0
+        level = (
+            df.select(*places, LABEL)
+            .unpivot([LABEL], places, "column", "place")
+            .groupBy("column", "place")
+            .agg(((F.sum(LABEL) + PRIOR_ROWS * overall) / (F.count(LABEL) + PRIOR_ROWS)).alias("mean"))
+        )
+        means: dict = {"": overall, **{p: [] for p in places}}
+        # the levels are on the driver anyway, in the indexer
+        for r in level.orderBy("column", "place").collect():
+            own = means[r["column"]]
+            own.extend([overall] * (int(r["place"]) - len(own)))
+            own.append(r["mean"])
+        model = LevelMeansModel()
+        return model._set(inputCols=places, outputCols=self.getOrDefault(self.outputCols), means=json.dumps(means))
+
+
 def preparation(numeric: Sequence[str], categorical: Sequence[str], onehot: bool) -> Pipeline:
     stages, coded = category_stages(categorical, onehot)
     assembler = VectorAssembler(inputCols=[*numeric, *coded], outputCol=FEATURES)
@@ -130,7 +178,7 @@ class RateOutput(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, df: DataFrame) -> DataFrame:
         raw = F.col("prediction")
         rate = C.from_log_target(raw) if self.getOrDefault(self.logTarget) else C.clip0(raw)
-        helpers = [c for c in df.columns if c.endswith((INDEX, LEVEL)) or c in (FEATURES, "prediction")]
+        helpers = [c for c in df.columns if c.endswith((PLACE, INDEX, LEVEL)) or c in (FEATURES, "prediction")]
         return df.withColumn(self.getOrDefault(self.outputCol), rate).drop(*helpers)
 
 
@@ -144,7 +192,7 @@ class ProbabilityOutput(Transformer, DefaultParamsReadable, DefaultParamsWritabl
         self._set(outputCol=output)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        helpers = [c for c in df.columns if c.endswith((INDEX, LEVEL))]
+        helpers = [c for c in df.columns if c.endswith((PLACE, INDEX, LEVEL))]
         helpers += [FEATURES, "prediction", "rawPrediction", "probability"]
         chance = vector_to_array("probability")[1]
         return df.withColumn(self.getOrDefault(self.outputCol), chance).drop(*helpers)
@@ -153,30 +201,22 @@ class ProbabilityOutput(Transformer, DefaultParamsReadable, DefaultParamsWritabl
 # ---------------------------------------------------------------- learners
 
 
-ONE_PASS_COLUMNS = 4096
-
-
-def ridge(prepared: DataFrame, alpha: float = 10.0, label: str = LABEL) -> LinearRegression:
+def ridge(prepared: DataFrame, alpha: float = 10.0, label: str = LABEL, solver: str = "normal") -> LinearRegression:
     """Least squares with the penalty ``alpha * |w|²`` for prepared rows.
 
-    Up to 4,096 coded columns it is one pass over the data (normal equations), beyond that L-BFGS. Spark's
-    own penalty is relative to the number of rows and the label's spread, which the two solvers measure
-    with the population and the sample deviation.
+    ``solver="normal"`` is one pass over the data (normal equations; Spark takes up to 4,096 coded columns),
+    ``"l-bfgs"`` serves any number. Spark's own penalty is relative to the number of rows and the label's spread, which
+    the two solvers measure with the population and the sample deviation.
     """
-    one_pass = prepared.schema[FEATURES].metadata["ml_attr"]["num_attrs"] <= ONE_PASS_COLUMNS
-    spread_of = F.stddev_pop if one_pass else F.stddev_samp
+    spread_of = F.stddev_pop if solver == "normal" else F.stddev_samp
     row = prepared.agg(F.count(label).alias("n"), spread_of(label).alias("s")).first()
     scale = (row["s"] or 1.0) / max(row["n"], 1)
     return LinearRegression(
         featuresCol=FEATURES, labelCol=label, elasticNetParam=0.0, standardization=False,
-        regParam=alpha * scale, solver="normal" if one_pass else "l-bfgs", maxIter=500, tol=1e-9,
+        regParam=alpha * scale, solver=solver, maxIter=500, tol=1e-9,
     )
 
 
-def huber(label: str = LABEL) -> LinearRegression:
-    return LinearRegression(featuresCol=FEATURES, labelCol=label, loss="huber", maxIter=200)
-
-
 def rf_regressor(trees: int = 200, depth: int = 20, min_leaf: int = 2, seed: int = 42) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth,
@@ -209,35 +249,34 @@ def gbt(
     )
 
 
-def _arity(df: DataFrame) -> int:
-    """Largest number of levels among the index-coded columns."""
-    sizes = [len(df.schema[c].metadata["ml_attr"].get("vals", [])) for c in df.columns if c.endswith(INDEX)]
-    return max(sizes, default=0)
+#: Training rows per partition; the number of partitions follows from the table, not from the machine.
+ROWS_PER_PART = 100_000
 
 
-def settled_rows(prepared: DataFrame) -> DataFrame:
-    """Prepared rows, written once to the session's checkpoint folder.
+def settled_rows(rows: DataFrame) -> DataFrame:
+    """Engineered rows, written once to the shared folder and dealt out by a hash of their content.
 
-    A learner passes over its rows many times; joins, features and coding are then done once, and a lost
-    executor costs a re-read. A table with fewer partitions than cores is spread over all of them.
+    Fills, levels and learners pass over the rows many times; joins and features are then done once, and a lost executor
+    costs a re-read. Learners draw rows by partition and order, which are the same on any number of cores.
     """
-    ensure_checkpoints(prepared.sparkSession)
-    cores = prepared.sparkSession.sparkContext.defaultParallelism
-    written = prepared.checkpoint()
-    parts = written.select(F.spark_partition_id().alias("part")).distinct().count()
-    return written.repartition(cores) if parts < cores else written
+    ensure_checkpoints(rows.sparkSession)
+    written = written_once(rows, "training")
+    parts = max(8, -(-written.count() // ROWS_PER_PART))
+    key = F.xxhash64(*written.columns)
+    return written.repartition(parts, key).sortWithinPartitions(key, *written.columns)
 
 
 def fit_learner(prepared: DataFrame, learner: Estimator, bins: int = 256) -> Model:
-    """Fit on prepared rows; trees get enough bins to hold the widest category."""
+    """Fit on prepared rows."""
     if learner.hasParam("maxBins"):
-        learner = learner.copy({learner.getParam("maxBins"): max(bins, _arity(prepared))})
+        learner = learner.copy({learner.getParam("maxBins"): bins})
     return learner.fit(prepared)
 
 
 def labeled(df: DataFrame, target: str = K.TARGET, log_target: bool = False) -> DataFrame:
     """Training rows with their label; rows without a target teach nothing."""
     y = C.to_log_target(target) if log_target else F.col(target)
+    df = C.without_nan(df, target)
     return df.where(F.col(target).isNotNull()).withColumn(LABEL, y.cast("double"))
 
 
@@ -250,20 +289,16 @@ def fit_rate_model(
     onehot: bool = False,
     target: str = K.TARGET,
     alpha: float | None = None,
+    solver: str = "normal",
 ) -> PipelineModel:
-    """Fit a rate model on engineered rows (M6-M11). ``alpha`` asks for ridge instead of a learner."""
-    rows = labeled(train, target, log_target).select(*numeric, *categorical, LABEL)
+    """Fit a rate model on engineered rows (M6-M11). ``alpha`` and ``solver`` ask for ridge instead of a learner."""
+    rows = settled_rows(labeled(train, target, log_target).select(*numeric, *categorical, LABEL))
     prep = preparation(numeric, categorical, onehot).fit(rows)
-    prepared = settled_rows(prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL))
-    model = fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha))
+    prepared = prep.transform(rows).select(FEATURES, LABEL)
+    model = fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha, solver=solver))
     return PipelineModel([*prep.stages, model, RateOutput(log_target)])
 
 
-def prep_outputs(categorical: Sequence[str], onehot: bool) -> list[str]:
-    """Columns a learner needs besides its label; the index columns carry the number of levels."""
-    return [FEATURES, *([] if onehot else [c + INDEX for c in categorical])]
-
-
 def with_balanced_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Weight ``n / (2 n_class)``: both classes weigh the same in total."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("pos")).first()
@@ -284,10 +319,10 @@ def fit_high_rate_classifier(
     threshold: float = K.HIGH_RATE,
 ) -> PipelineModel:
     """Probability that a load is high-rate, classes balanced."""
-    rows = train.where(F.col(target).isNotNull()).withColumn(LABEL, C.flag(F.col(target) >= threshold).cast("double"))
-    rows = with_balanced_weights(rows).select(*numeric, *categorical, LABEL, WEIGHT)
+    rows = C.without_nan(train, target).where(F.col(target).isNotNull()).withColumn(LABEL, C.flag(F.col(target) >= threshold).cast("double"))
+    rows = with_balanced_weights(settled_rows(rows.select(*numeric, *categorical, LABEL)))
     prep = preparation(numeric, categorical, onehot).fit(rows)
-    prepared = settled_rows(prep.transform(rows).select(*prep_outputs(categorical, onehot), LABEL, WEIGHT))
+    prepared = prep.transform(rows).select(FEATURES, LABEL, WEIGHT)
     model = fit_learner(prepared, learner or rf_classifier())
     return PipelineModel([*prep.stages, model, ProbabilityOutput()])
 
@@ -335,19 +370,21 @@ def permutation_importance(
     df: DataFrame,
     cols: Sequence[str] = (*BASE_NUMERIC, *BASE_CATEGORICAL),
     key: Sequence[str] = (K.KEY,),
-    n: int = 2500,
+    n: int | None = None,
     repeats: int = 5,
     seed: int = 42,
     target: str = K.TARGET,
     scale: str = "rate",
+    groups: int = 256,
 ) -> DataFrame:
     """Rise of the MAE when one column is shuffled, mean and deviation over repeats.
 
-    The sample is drawn exactly and is the only bounded part; all columns and repeats are scored in one
-    frame. ``scale='log'`` measures the error between logarithms.
+    All rows are scored, or an exact sample of ``n``. In each trial the rows fall into ``groups`` random groups by a hash
+    of their key, and within a group every row gets the value of the next one in a random order. So a trial is shuffled
+    by many tasks and no value stays where it was. ``scale='log'`` measures the error between logarithms.
     """
-    chosen = sample_n(df.where(F.col(target).isNotNull()), n, key, seed).select(*key, *cols, target)
-    sample, _ = settle(numbered(chosen, *key, *cols, target, name="_row").select("_row", *cols, target), n)
+    chosen = C.without_nan(df, target).where(F.col(target).isNotNull())
+    chosen = (chosen if n is None else sample_n(chosen, n, key, seed)).select(*dict.fromkeys([*key, *cols, target]))
     trials = F.array(
         F.struct(F.lit(None).cast("string").alias("feature"), F.lit(0).alias("repeat")),
         *[
@@ -356,17 +393,18 @@ def permutation_importance(
             for r in range(1, repeats + 1)
         ],
     )
-    spread = sample.select("*", F.inline(trials))
-    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), "feature", F.col("repeat").cast("string"), F.col("_row").cast("string")))
-    # within one trial: at most n rows
-    order = F.row_number().over(Window.partitionBy("feature", "repeat").orderBy(draw)) - 1
-    donors = sample.select(F.col("_row").alias("_donor"), *[F.col(c).alias(f"_d_{c}") for c in cols])
-    shuffled = spread.withColumn("_donor", order).join(F.broadcast(donors), "_donor")
+    text = F.concat_ws("|", F.lit(str(seed)), "feature", F.col("repeat").cast("string"), *[F.col(k).cast("string") for k in key])
+    spread = chosen.select("*", F.inline(trials)).withColumn("_draw", F.md5(text.cast("binary")))
+    spread = spread.withColumn("_group", F.conv(F.substring("_draw", 1, 8), 16, 10).cast("long") % groups)
+    around = Window.partitionBy("feature", "repeat", "_group").orderBy("_draw", *key)
+    values = F.struct(*[F.col(c).alias(c) for c in cols])
+    first = F.first(values).over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    shuffled = spread.withColumn("_donor", F.coalesce(F.lead(values).over(around), first))
     mixed = shuffled.select(
         "feature",
         "repeat",
         target,
-        *[F.when(F.col("feature") == c, F.col(f"_d_{c}")).otherwise(F.col(c)).alias(c) for c in cols],
+        *[F.when(F.col("feature") == c, F.col("_donor")[c]).otherwise(F.col(c)).alias(c) for c in cols],
     )
     y, p = F.col(target), F.col(K.PREDICTION)
     error = F.abs(F.log1p(p) - F.log1p(y)) if scale == "log" else F.abs(p - y)

@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+@functools.lru_cache(maxsize=1)
+def _own_folder() -> str:
+    """A temporary folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="loadlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -15,7 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="loadlens-")
+    return _own_folder()
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back; the files go when the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.parquet(path)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

@@ -49,7 +49,7 @@ def loads_from(spark: SparkSession, sf_dir: str, lineitem: DataFrame) -> DataFra
         .select(
             F.concat(
                 F.lit("TR-"),
-                F.lpad(F.col("l_orderkey").cast("string"), 7, "0"),
+                F.format_string("%07d", F.col("l_orderkey").cast("long")),
                 F.lit("-"),
                 F.col("l_linenumber").cast("string"),
             ).alias("load_id"),
@@ -101,7 +101,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction file over the orders: unique keys, positive values."""
-    key = F.lpad((F.col("o_orderkey") + 1).cast("string"), 6, "0")
+    key = F.format_string("%06d", (F.col("o_orderkey") + 1).cast("long"))
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("TE-"), key).alias("load_id"),
         (F.col("o_totalprice") / 50).alias("predicted_rate"),

@@ -5,7 +5,7 @@ Every step is a projection, so append mode needs no watermark and no state.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,22 @@ def request_stream(
         reader = reader.option("header", True)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.format(fmt).load(path)
+    return C.without_nan(reader.format(fmt).load(path))
+
+
+def clean_requests(requests: DataFrame, texts: Sequence[str] = ("pickup", "delivery", "equipment")) -> DataFrame:
+    """Requests without blanks around their texts; an empty text is missing, and so is NaN.
+
+    A category with a blank would be an unknown one and get another rate without a word.
+    """
+    blanks = F.lit(" \t\r\n\u00a0")
+    found = {c: F.nullif(F.trim(F.col(c), blanks), F.lit("")) for c in texts if c in requests.columns}
+    return C.without_nan(requests.withColumns(found) if found else requests)
 
 
 def score_requests(requests: DataFrame, model: PipelineModel) -> DataFrame:
-    """Predictions for a batch or stream of shipments."""
-    return score(requests, model)
+    """Predictions for a batch or stream of shipments, cleaned first."""
+    return score(clean_requests(requests), model)
 
 
 def accepted(predictions: DataFrame) -> DataFrame:

@@ -30,14 +30,13 @@ def model(parts):
     return models.fit_rate_model(parts[0], models.gbt(**FAST), log_target=True)
 
 
-@pytest.mark.parametrize("columns", [4096, 0])
-def test_ridge_is_the_closed_form(spark, columns, monkeypatch):
+@pytest.mark.parametrize("solver", ["normal", "l-bfgs"])
+def test_ridge_is_the_closed_form(spark, solver):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(200, 3)) * [1, 10, 100]
     y = x @ [3.0, -2.0, 0.5] + 7 + rng.normal(size=200)
     df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, posted_rate double")
-    monkeypatch.setattr(models, "ONE_PASS_COLUMNS", columns)
-    fitted = models.fit_rate_model(df, numeric=["a", "b", "c"], categorical=[], alpha=10.0).stages[-2]
+    fitted = models.fit_rate_model(df, numeric=["a", "b", "c"], categorical=[], alpha=10.0, solver=solver).stages[-2]
     centred = x - x.mean(0)
     want = np.linalg.solve(centred.T @ centred + 10.0 * np.eye(3), centred.T @ (y - y.mean()))
     assert fitted.coefficients.toArray() == pytest.approx(want, rel=1e-6)
@@ -62,6 +61,26 @@ def test_same_seed_same_model(parts, model):
     assert a == pytest.approx(b, rel=1e-9)
 
 
+def test_training_rows_do_not_depend_on_the_machine(parts):
+    """The same rows in another order and partitioning are dealt out in the same way."""
+    rows_ = parts[0].select(*BASE_NUMERIC, "route")
+    dealt = [
+        models.settled_rows(r).select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"), F.xxhash64("*").alias("h"))
+        for r in (rows_, rows_.repartition(3, "distance"))
+    ]
+    a, b = (sorted(map(tuple, d.collect())) for d in dealt)
+    assert a == b and len({x[0] for x in a}) == 8
+
+
+def test_levels_are_coded_by_their_mean_label(spark):
+    from pyspark.ml import Pipeline
+
+    train = spark.createDataFrame([("a", 10.0)] * 10 + [("b", 0.0)] * 10, f"c string, {models.LABEL} double")
+    stages, (coded,) = models.category_stages(["c"], onehot=False)
+    got = Pipeline(stages=stages).fit(train).transform(spark.createDataFrame([("a",), ("b",), ("z",)], "c string"))
+    assert [r[coded] for r in got.orderBy("c").collect()] == [7.5, 2.5, 5.0]
+
+
 def test_importance(parts, model):
     native = models.feature_importance(model, parts[0])
     total = native.agg(F.sum("importance")).first()[0]

@@ -1,4 +1,4 @@
-"""Exact quantiles against NumPy, with hot values, all signs, extremes, and both join paths."""
+"""Exact quantiles against NumPy, with hot values, all signs, extremes and values that lie close together."""
 
 import math
 
@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loadlens.operators.quantiles import approx_quantiles, exact_quantiles, group_stats, order_bucket
+from loadlens.operators.quantiles import PARTS, approx_quantiles, exact_quantiles, group_stats, order_bucket, order_path
 
 PROBS = {"q0": 0.0, "q1": 0.01, "q25": 0.25, "q50": 0.5, "q90": 0.9, "q100": 1.0}
 
@@ -43,10 +43,30 @@ def groups_of(rng):
     }
 
 
-@pytest.mark.parametrize("max_local_rows", [50_000, 0])
-def test_groups(spark, max_local_rows):
+def test_groups(spark):
     groups = groups_of(np.random.default_rng(1))
-    check(frame(spark, groups), groups, max_local_rows=max_local_rows)
+    check(frame(spark, groups), groups)
+
+
+def test_a_million_values_of_one_bucket_are_spread(spark):
+    """All values share the first step of their path; no window runs over more than the parts of one node."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("a").alias("k"), (F.lit(1.7e9) + F.col("id") / 10).alias("v"))
+    paths = df.select(*[c.alias(name) for name, c in order_path(F.col("v")).items()])
+    first = paths.groupBy("_b1").count().agg(F.max("count")).first()[0]
+    second = paths.distinct().groupBy("_b1").agg(F.countDistinct("_b2").alias("n")).agg(F.max("n")).first()[0]
+    third = paths.groupBy("_b1", "_b2", "_b3").count().agg(F.max("count")).first()[0]
+    assert first > n / 2 and second <= PARTS and third < 100
+    (row,) = group_stats(df, ["k"], [], "v", {"m": 0.5}).collect()
+    assert row["m"] == pytest.approx(1.7e9 + (n - 1) / 20, rel=1e-15)
+
+
+def test_building_the_frame_runs_nothing(spark):
+    @F.udf("double")
+    def fails(v):
+        raise AssertionError("the frame was executed")
+
+    group_stats(spark.range(3).select(fails("id").alias("v")), [], [], "v", {"m": 0.5})
 
 
 def test_without_plain_aggregates(spark):
@@ -90,3 +110,6 @@ def test_bucket_keeps_order(spark, values):
     got = sorted((r["v"], r["b"]) for r in df.select("v", order_bucket(F.col("v")).alias("b")).collect())
     numbers = [b for _, b in got]
     assert numbers == sorted(numbers)
+    path = [c.alias(name) for name, c in order_path(F.col("v")).items()]
+    steps = sorted((r["v"], r["_b1"], r["_b2"], r["_b3"]) for r in df.select("v", *path).collect())
+    assert [x[1:] for x in steps] == sorted(x[1:] for x in steps)
