@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadlens.sources.shared import shared_dir
+from loadlens.sources.shared import written_once
 
 
 def find_package(spark: SparkSession) -> None:
@@ -20,13 +19,5 @@ def find_package(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back: what follows neither repeats its work nor loses it with an executor.
-
-    The folder goes when the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/lens-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.parquet(path)
+    """Write ``df`` once as Parquet and read it back: what follows neither repeats its work nor loses it with an executor."""
+    return written_once(df, f"lens-{name}")
