@@ -14,7 +14,8 @@ The best k of each group meet in a window over ``k * blocks`` rows a query. Scor
 * vectors of different lengths are not compared
 * a query is compared with every row but those of its own id; fully repeated rows count once
 * fewer than k other rows: all of them; an empty table gives an empty result
-* components are whole numbers of 64 bits; beyond ``EXACT`` the products are added as Python integers
+* components are whole numbers of 64 bits, larger ones the largest such; beyond ``EXACT`` the products are added as Python
+  integers, and a score beyond 64 bits ranks by its value but is returned as the largest or smallest long
 """
 
 from __future__ import annotations
@@ -149,7 +150,7 @@ def _grouped(k: int):
         if size >= EXACT:
             whole = [[[int(x) for x in row] for row in frame["v"]] for frame in (asked, offered)]
             found = _plain(whole[0], query_ids, whole[1], ids, k)
-            return pd.DataFrame(found, columns=columns).astype(np.int64)
+            return pd.DataFrame([(q, i, min(max(x, -(2**63)), 2**63 - 1)) for q, i, x in found], columns=columns, dtype=np.int64)
         scores, best = search(queries, query_ids, points, ids, k)
         there = scores > -np.inf
         return pd.DataFrame({"query_id": np.repeat(query_ids, k)[there.ravel()], "vec_id": best[there], "score": scores[there].astype(np.int64)})
