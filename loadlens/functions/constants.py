@@ -81,3 +81,9 @@ TUNING_CONFIGS = [
     (700, 0.05, 8, 5, 0.85, 0.70),
     (700, 0.05, 8, 5, 0.85, 1.00),
 ]
+
+# columns of the correlations among high-rate loads
+HIGH_RATE_FEATURES = [
+    "distance", "weight", "market_index", "quote_signal",
+    "pickup_lat", "pickup_lon", "delivery_lat", "delivery_lon", "rate_per_mile", TARGET,
+]

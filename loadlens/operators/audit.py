@@ -12,6 +12,7 @@ from loadlens.functions import constants as K
 from loadlens.functions.columns import is_infinite, null_if_nan, without_nan
 from loadlens.operators.quantiles import exact_quantiles, group_stats
 from loadlens.operators.rows import categorical_cols, leakage_columns, numeric_cols
+from loadlens.sources.shared import written_once
 
 _FLOATING = (T.DoubleType, T.FloatType)
 
@@ -216,6 +217,48 @@ def sign_report(df: DataFrame, only_negative: bool = False) -> DataFrame:
     return out.orderBy("position").drop("position")
 
 
+def one_scan(df: DataFrame, date: str = "date") -> dict[str, DataFrame]:
+    """Shape, columns, missing, infinite, signs and dates of a table from a single pass over it.
+
+    The pass is one aggregate; its result, a row per column, is stored in the shared folder and read by each report.
+    """
+    numbers = set(numeric_cols(df))
+    number = lambda c: F.col(c).cast("double")
+    counted = lambda test: [F.count(F.when(test(c), 1)) if c in numbers else F.max(F.lit(None).cast("long")) for c in df.columns]
+    day = lambda best: [best(c) if c == date else F.max(F.lit(None).cast("date")) for c in df.columns]
+    facts = per_column(
+        df,
+        df.columns,
+        {
+            "rows": [F.count(F.lit(1))] * len(df.columns),
+            "missing_count": [F.count(F.when(_missing(df, c), 1)) for c in df.columns],
+            "missing_percentage": [F.avg(F.when(_missing(df, c), 100.0).otherwise(0.0)) for c in df.columns],
+            "infinite_count": counted(lambda c: is_infinite(number(c))),
+            "negative_count": counted(lambda c: number(c) < 0),
+            "zero_count": counted(lambda c: number(c) == 0),
+            "first_date": day(F.min),
+            "last_date": day(F.max),
+        },
+    )
+    facts = written_once(facts, "profile")
+    kind = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+    numeric = facts.where(F.col("column").isin(sorted(numbers)))
+    out = {
+        "shape": facts.agg(F.max("rows").alias("rows"), F.count(F.lit(1)).cast("int").alias("columns")),
+        "columns": facts.select(
+            "position", "column", kind[F.col("column")].alias("type"), (F.col("rows") - F.col("missing_count")).alias("non_null")
+        ).orderBy("position"),
+        "missing": facts.orderBy(F.desc("missing_count"), "position").select("column", "missing_count", "missing_percentage"),
+        "infinite": numeric.orderBy("position").select("column", "infinite_count"),
+        "signs": numeric.orderBy("position").select("column", "negative_count", "zero_count"),
+    }
+    if date in df.columns:
+        out["dates"] = facts.where(F.col("column") == date).select(
+            "first_date", "last_date", F.col("missing_count").alias("invalid_dates")
+        )
+    return out
+
+
 def feature_quality(df: DataFrame) -> DataFrame:
     """Missing and infinite values per column after feature engineering (X4), in one scan."""
     numbers = set(numeric_cols(df))

@@ -91,9 +91,12 @@ def best_by(df: DataFrame, metric: str, ascending: bool = True, ties: Sequence[s
 # ---------------------------------------------------------------- keys and unions
 
 
-def attach_predictions(df: DataFrame, predictions: DataFrame, key: str = K.KEY) -> DataFrame:
-    """Rows with their predictions from another table, matched by key."""
-    return df.join(predictions, key)
+def attach_predictions(df: DataFrame, predictions: DataFrame, key: str = K.KEY, how: str = "inner") -> DataFrame:
+    """Rows with their predictions from another table, matched by key; ``how="left"`` keeps rows without one.
+
+    ``key_diff_counts(df, predictions)`` tells how many keys have no partner on either side.
+    """
+    return df.join(predictions, key, how)
 
 
 def key_diff(df: DataFrame, expected: DataFrame, key: str = K.KEY) -> DataFrame:

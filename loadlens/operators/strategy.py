@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from loadlens.functions import columns as C
 from loadlens.functions import constants as K
+from loadlens.operators.rows import adjust_where
 
 Window4 = tuple[str, str, str, str]
 
@@ -32,7 +33,7 @@ def boosted(
     p: str, probability: str, threshold: float, boost: float
 ) -> Column:
     """The prediction raised by ``boost`` where the probability reaches the threshold."""
-    return F.when(F.col(probability) >= threshold, F.col(p) * (1 + boost)).otherwise(F.col(p))
+    return adjust_where(F.col(probability) >= threshold, p, F.col(p) * (1 + boost))
 
 
 def _reached(value: Column, thresholds: Sequence[float]) -> Column:
@@ -43,6 +44,15 @@ def _reached(value: Column, thresholds: Sequence[float]) -> Column:
     return F.when(value.isNull() | F.isnan(value), 0).otherwise(out.otherwise(len(thresholds)))
 
 
+def _with_scatter(parts: DataFrame, whole: WindowSpec) -> DataFrame:
+    """Parts (n, mean, var; a few rows) with their share of the squared deviations from the mean of the whole.
+
+    Central moments are merged, as sums of squares lose all digits where the mean is large against the spread.
+    """
+    mean = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    return parts.withColumn("scatter", F.col("n") * (F.col("var") + F.pow(F.col("mean") - mean, F.lit(2.0))))
+
+
 def strategy_grid(
     df: DataFrame,
     thresholds: Sequence[float] = K.STRATEGY_THRESHOLDS,
@@ -73,8 +83,8 @@ def strategy_grid(
     aggs = [
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(is_high, 1)).alias("n_high"),
-        F.sum(actual).alias("sum_y"),
-        F.sum(actual * actual).alias("sum_y2"),
+        F.avg(actual).alias("mean"),
+        F.var_pop(actual).alias("var"),
         *sums(F.col(p), "base"),
     ]
     for j, b in enumerate(boosts):
@@ -93,9 +103,9 @@ def strategy_grid(
                     F.when(on, F.col("n")).otherwise(0).alias("hit"),
                 )
             )
-    spread = levels.select("n", "n_high", "sum_y", "sum_y2", F.inline(F.array(*cells)))
+    spread = _with_scatter(levels, Window.partitionBy()).select("n", "n_high", "scatter", F.inline(F.array(*cells)))
     n = F.sum("n")
-    total_spread = F.sum("sum_y2") - F.sum("sum_y") * F.sum("sum_y") / n
+    total_spread = F.sum("scatter")
     return (
         spread.groupBy("threshold", "boost")
         .agg(
@@ -208,19 +218,19 @@ def window_metrics(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.abs(e)).alias("abs"),
             F.sum(e * e).alias("sq"),
-            F.sum(y).alias("y"),
-            F.sum(F.col(y) * F.col(y)).alias("y2"),
+            F.avg(y).alias("mean"),
+            F.var_pop(y).alias("var"),
         )
     )
     n = F.sum("n")
     return (
-        in_windows(daily, windows, "_d")
+        _with_scatter(in_windows(daily, windows, "_d"), Window.partitionBy("window"))
         .groupBy("window")
         .agg(
             n.alias("valid_rows"),
             (F.sum("abs") / n).alias("MAE"),
             F.sqrt(F.sum("sq") / n).alias("RMSE"),
-            (F.lit(1.0) - F.try_divide(F.sum("sq"), F.sum("y2") - F.sum("y") * F.sum("y") / n)).alias("R2"),
+            (F.lit(1.0) - F.try_divide(F.sum("sq"), F.sum("scatter"))).alias("R2"),
         )
         .orderBy("window")
     )

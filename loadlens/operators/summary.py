@@ -192,12 +192,6 @@ def correlations(df: DataFrame, target: str = K.TARGET, cols: Sequence[str] | No
     return wide.select(F.inline(F.array(*rows))).orderBy(F.desc_nulls_last("correlation"), "feature")
 
 
-HIGH_RATE_FEATURES = [
-    "distance", "weight", "market_index", "quote_signal",
-    "pickup_lat", "pickup_lon", "delivery_lat", "delivery_lon", "rate_per_mile", K.TARGET,
-]
-
-
 def high_rate_correlations(df: DataFrame, threshold: float = K.HIGH_RATE) -> DataFrame:
-    high = df.where(F.col(K.TARGET) >= threshold).withColumn("rate_per_mile", C.rate_per_mile())
-    return correlations(high, cols=HIGH_RATE_FEATURES)
+    high = C.without_nan(df, K.TARGET).where(F.col(K.TARGET) >= threshold).withColumn("rate_per_mile", C.rate_per_mile())
+    return correlations(high, cols=K.HIGH_RATE_FEATURES)

@@ -19,17 +19,11 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, fmt: str = "par
 
 
 def audit_reports(df: DataFrame, key: str = K.KEY, target: str = K.TARGET) -> dict[str, DataFrame]:
-    out = {
-        "shape": audit.profile_shape(df),
-        "columns": audit.profile_columns(df),
-        "missing": audit.missing_report(df),
+    out = audit.one_scan(df) | {
         "duplicate_rows": audit.duplicate_rows(df),
         "duplicate_keys": audit.duplicate_keys(df, key),
         "distinct": audit.distinct_report(df),
         "describe": audit.describe_numeric(df),
-        "dates": audit.date_range(df),
-        "infinite": audit.infinite_report(df),
-        "signs": audit.sign_report(df),
     }
     out |= {f"values_{c}": v for c, v in audit.value_counts_all(df).items() if c != key}
     if target in df.columns:

@@ -1,25 +1,5 @@
-"""One local session for the tests and the benchmark."""
+"""The session of the tests."""
 
-from __future__ import annotations
+from loadlens.sources.session import local_session
 
-import os
-import tempfile
-
-from pyspark.sql import SparkSession
-
-
-def local_session(cpus: str = "8", app: str = "loadlens-tests") -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LOADLENS_MEMORY", "12g"))
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="loadlens-"))
-    return spark
+__all__ = ["local_session"]

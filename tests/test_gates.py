@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadlens.functions import constants as K
-from loadlens.operators import buckets, gates
+from loadlens.operators import buckets, gates, rows
 from loadlens.sources import domains
 from loadlens.sources.tables import InputError
 
@@ -146,3 +146,15 @@ def test_scenario_floor(spark):
     assert {r["floor"] for r in got} == {801 - 801 * 0.02}
     low = buckets.scenario_series(scenario(spark).withColumn("predicted_rate", F.lit(100.0))).first()
     assert low["floor"] == 90.0
+
+
+def test_keys_beyond_the_padding_stay_apart(spark, tmp_path):
+    """Order keys of more digits than the padding keep all of them, on both sides of the key check."""
+    from loadlens.sources import star
+
+    rows_ = [(k, 50.0) for k in (999_998, 999_999, 1_000_000, 9_999_999, 10_000_000)]
+    spark.createDataFrame(rows_, "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    made = star.submission(spark, str(tmp_path))
+    assert {r["load_id"] for r in made.collect()} == {f"TE-{k + 1:06d}" for k, _ in rows_}
+    want = spark.createDataFrame([(f"TE-{k + 1:06d}",) for k, _ in rows_], "load_id string")
+    assert rows.key_diff(made, want).collect() == []

@@ -18,10 +18,11 @@ def test_every_sql_has_a_query():
 
 
 def test_comparison_notices_a_difference(spark, sf_dir, duck):
-    other = SQL["rate_segments"].replace("posted_rate <= 7500", "posted_rate < 7500").replace("<= 1000 ", "<= 1001 ")
+    segments = SQL["rate_segments"].replace("<= 1000", "<= 1100")
+    assert segments != SQL["rate_segments"]
+    assert differences(QUERIES["rate_segments"](spark, sf_dir), duck, segments) != []
     changed = SQL["class_balance"].replace(">= 7500", "> 7000")
     assert differences(QUERIES["class_balance"](spark, sf_dir), duck, changed) != []
-    assert other != SQL["rate_segments"]
 
 
 def test_entry_runs(spark):

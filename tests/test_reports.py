@@ -2,6 +2,7 @@
 
 import pytest
 
+from loadlens.operators import audit
 from loadlens.plans import reports
 from loadlens.sources import star
 
@@ -40,6 +41,17 @@ def test_error_reports_agree(spark, scored, tmp_path):
         assert sum(r["count"] * r["MAE"] for r in frames[n]) / total == pytest.approx(mae)
 
 
+def test_one_scan_equals_the_single_reports(scored):
+    got = audit.one_scan(scored)
+    single = {
+        "shape": audit.profile_shape, "columns": audit.profile_columns, "missing": audit.missing_report,
+        "infinite": audit.infinite_report, "signs": audit.sign_report, "dates": audit.date_range,
+    }
+    for name, report in single.items():
+        want = report(scored)
+        assert got[name].columns == want.columns and got[name].collect() == want.collect(), name
+
+
 def test_every_report_runs(scored, spark, sf_dir):
     from loadlens.sources.star import submission
 

@@ -305,3 +305,52 @@ def test_splits_replay(spark, sf_dir):
 def test_union_needs_frames():
     with pytest.raises(ValueError):
         rows.union_tagged({}, "tag")
+
+
+def test_nan_is_missing_in_every_comparison(spark):
+    nan = float("nan")
+    d = loads(spark, dict(posted_rate=8000.0), dict(posted_rate=500.0), dict(posted_rate=nan, weight=nan, market_index=nan, quote_signal=nan))
+    assert one(evaluate.class_balance(d))["positives"] == 1
+    (high,) = summary.high_rate_by(d, ["equipment"]).collect()
+    assert (high["total_loads"], high["high_rate_loads"], high["mean_rate"]) == (2, 1, 4250.0)
+    (group,) = summary.group_summary(d, ["equipment"]).collect()
+    assert (group["count"], group["mean"], group["median"]) == (2, 4250.0, 4250.0)
+    assert one(audit.iqr_outliers(d))["outlier_count"] == 0
+    assert one(summary.high_rate_only_by(d, "equipment"))["high_rate_loads"] == 1
+    above, below = rows.split_by_threshold(d, K.TARGET, 7500)
+    assert (above.count(), below.count()) == (1, 1)
+    flags = one(refined_features(d).agg(*[F.sum(c).alias(c) for c in ("heavy_load", "market_index_high", "quote_signal_high")]))
+    assert flags == {"heavy_load": 0, "market_index_high": 0, "quote_signal_high": 0}
+    assert models.labeled(d).count() == 2
+    table = {r["feature"]: r["high_rate"] for r in summary.compare_segments(C.without_nan(d, K.TARGET), F.col(K.TARGET) >= 7500, ["weight"]).collect()}
+    assert table == {"weight": 32000.0}
+
+
+def test_central_moments_keep_their_digits(spark):
+    """The mean is large against the spread, so sums of squares would lose it."""
+    d = spark.range(100).select(
+        (F.lit(1e9) + F.col("id") % 2).alias(K.TARGET), (F.lit(1e9) + F.col("id") % 2 + 0.1).alias(K.PREDICTION),
+        F.when(F.col("id") < 50, 0.2).otherwise(0.9).alias("high_probability"), F.lit(DAY).alias("date"),
+    )
+    cells = strategy.strategy_grid(d, [0.95], [0.5]).collect()
+    assert cells[0]["R2"] == pytest.approx(1 - 0.01 / 0.25, rel=1e-6)
+    window = [("w", "2025-01-01", "2025-03-01", "2025-03-31")]
+    assert one(strategy.window_metrics(d, window))["R2"] == pytest.approx(1 - 0.01 / 0.25, rel=1e-6)
+
+
+def test_requests_are_cleaned(spark):
+    from loadlens.streaming.requests import clean_requests
+
+    (r,) = clean_requests(loads(spark, dict(equipment=" Reefer\u00a0", pickup="  ", delivery="\tFort Wayne\n", weight=float("nan")))).collect()
+    assert (r["equipment"], r["pickup"], r["delivery"], r["weight"]) == ("Reefer", None, "Fort Wayne", None)
+
+
+def test_fixed_values():
+    """Edges, labels and settings as published; written out here, so that a slip in the constants shows."""
+    assert K.CHAMPION == (700, 0.05, 6, 5, 0.85, 0.85) and len(K.TUNING_CONFIGS) == 15
+    assert K.TUNING_CONFIGS[0] == (700, 0.05, 8, 5, 0.85, 0.85) and K.TUNING_CONFIGS[-1] == (700, 0.05, 8, 5, 0.85, 1.0)
+    assert (K.HIGH_RATE, K.TWO_STAGE_FACTOR, K.SPLIT_DATE) == (7500, 1.5, "2025-09-01")
+    assert (K.HEAVY_LB, K.VERY_HEAVY_LB, K.INDEX_HIGH, K.INDEX_VERY_HIGH) == (35000, 40000, 1.2, 1.3)
+    assert (K.SIGNAL_LOW, K.SIGNAL_HIGH, K.LONG_HAUL_MILES) == (1.735, 2.403, [500, 1000, 1500, 2000, 2500])
+    assert K.RATE_LABELS[-3:] == ["7500-10000", "10000-15000", "15000+"]
+    assert K.LANE == {"pickup": "Lexington", "delivery": "Fort Wayne", "distance": 360.0, "equipment": "Dry Van", "weight": 32000.0}
