@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from loadlens.llm import bpe, mixing, quality, repeats, simhash
 from loadlens.llm.catalog import RANKS
-from loadlens.llm.shared import find_package, stored
+from loadlens.llm.shared import ready, stored
 
 #: Documents below this quality score go.
 LEAST_SCORE = 0.3
@@ -31,20 +31,20 @@ def _as_read(frame: DataFrame, documents: DataFrame) -> DataFrame:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    find_package(spark)
+    ready(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model).where(F.col("score") >= LEAST_SCORE).select("row.*")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one of smallest id."""
-    find_package(spark)
+    ready(spark)
     return simhash.one_of_each(docs, SIMILARITY, WORDS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes of repeated passages; characters stay whole."""
-    find_package(spark)
+    ready(spark)
     spans = "".join(docs.columns) + "_spans"  # no column has this name
     marked = repeats.mark(docs, into=spans)
     return _as_read(marked.withColumn("text", repeats.kept_text("text", spans)), docs)
@@ -52,13 +52,13 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one that a source's target cuts stays if half of it is taken."""
-    find_package(spark)
+    ready(spark)
     return mixing.repeated(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document and the digest of the bytes that they decode to."""
-    find_package(spark)
+    ready(spark)
     ids = docs.select("doc_id", "source", bpe.encode(F.col("text"), RANKS).alias("ids"))
     raw = ids.withColumn("raw", bpe.decode(F.col("ids"), RANKS))
     return raw.select("doc_id", "source", "ids", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("raw", 256).alias("decoded_sha256"))

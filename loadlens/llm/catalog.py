@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens.llm import bpe, cover_tree, extraction, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
-from loadlens.llm.shared import find_package
+from loadlens.llm.shared import ready
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    find_package(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -104,6 +104,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_exact_top_k": r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.w, v.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id AND len(q.w) = len(v.w)),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5""",
     "op7_source_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
@@ -144,4 +155,46 @@ fits AS (
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY row)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (row)""",
+    "op9_embedding_near_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS e,
+         coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS good FROM embeddings),
+links AS (
+  SELECT a.row AS a, b.row AS b FROM v AS a JOIN v AS b ON a.row <> b.row AND a.good AND b.good AND len(a.e) = len(b.e)
+  WHERE CASE WHEN a.good AND b.good AND len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.9),
+reach AS (
+  SELECT row AS a, row AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+classes AS (
+  SELECT reach.a AS row, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.row GROUP BY reach.a),
+degrees AS (
+  SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN classes USING (row) LEFT JOIN degrees USING (row)""",
+    "op10_repeated_bytes": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+chunks AS (
+  SELECT row, k, n, substr(h, 512 * k + 1, 910) AS c
+  FROM (SELECT row, h, n, unnest(range((n - 200) // 256 + 1)) AS k FROM docs WHERE n >= 200)),
+starts AS (
+  SELECT row, 256 * k + j AS i, md5(substr(c, 2 * j + 1, 400)) AS w
+  FROM (SELECT row, k, c, unnest(range(least(256, n - 199 - 256 * k))) AS j FROM chunks)),
+twice AS (
+  SELECT w FROM starts GROUP BY w HAVING count(*) > 1),
+marked AS (
+  SELECT row, i, CASE WHEN i > lag(i) OVER (PARTITION BY row ORDER BY i) + 200 THEN 1 ELSE 0 END AS gap
+  FROM starts WHERE w IN (SELECT w FROM twice)),
+spans AS (
+  SELECT row, min(i) AS b, max(i) + 200 AS e
+  FROM (SELECT row, i, sum(gap) OVER (PARTITION BY row ORDER BY i) AS run FROM marked) GROUP BY row, run),
+pieces AS (
+  SELECT row, b, e, lag(e, 1, 0) OVER (PARTITION BY row ORDER BY b) AS since FROM spans),
+cut AS (
+  SELECT row, sum(e - b) AS removed, count(*) AS n_spans, max(e) AS last,
+         string_agg(substr(h, 2 * since + 1, 2 * (b - since)), '' ORDER BY b) AS head
+  FROM pieces JOIN docs USING (row) GROUP BY row)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (row)""",
 }

@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from loadlens.sources.shared import written_once
 
 
-def find_package(spark: SparkSession) -> None:
-    """Let Python workers that see this checkout import it; elsewhere it is installed or sent with ``--py-files``."""
+#: Rows of an Arrow batch at most: texts can be long, and a task holds a batch of them at a time.
+ARROW_ROWS = 1_000
+
+
+def ready(spark: SparkSession) -> None:
+    """Let Python workers that see this checkout import it, and keep their batches small.
+
+    Elsewhere the package is installed or sent with ``--py-files``.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -35,6 +35,8 @@ from loadlens.llm.shared import stored
 BITS = 64
 #: Fingerprints below one trie node that a task joins at once; larger nodes are split into bands again.
 NODE_ROWS = 20_000
+#: Rows that a task takes up before it joins their complete nodes.
+BATCH_ROWS = 50_000
 #: Node pairs that are expanded together, and row pairs of two leaves from which they are compared as a block.
 FRONTIER = 100_000
 BLOCK_PAIRS = 2_048
@@ -224,15 +226,19 @@ def _joined(errors: int):
         return pd.concat(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
+        held: list[pd.DataFrame] = []
+        count = 0
         for batch in batches:
-            frame = batch if held is None else pd.concat([held, batch])
-            open_key = frame["key"] == frame["key"].iloc[-1]  # the last key may go on in the next batch
-            held = frame[open_key]
-            if not open_key.all():
-                yield pairs(frame[~open_key])
-        if held is not None and len(held):
-            yield pairs(held)
+            held.append(batch)
+            count += len(batch)
+            if count >= BATCH_ROWS:
+                frame = pd.concat(held)
+                open_key = frame["key"] == frame["key"].iloc[-1]  # the last key may go on in the next batch
+                held, count = [frame[open_key]], int(open_key.sum())
+                if not open_key.all():
+                    yield pairs(frame[~open_key])
+        if count:
+            yield pairs(pd.concat(held))
 
     return run
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loadlens.llm import bpe, catalog, cover_tree, extraction, graphs, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
-from loadlens.llm.shared import find_package
+from loadlens.llm.shared import ready
 from tests.llm.test_methods import brute_spans, documents_with_repeats
 
 LONG = "".join(f"word{i % 977} and{i % 31}\n" for i in range(30_000))
@@ -39,7 +39,7 @@ SCHEMA = "doc_id long, text string, source string"
 @pytest.fixture(scope="module")
 def odd(spark):
     """Odd rows with extra columns whose names the operators use inside."""
-    find_package(spark)
+    ready(spark)
     d = spark.createDataFrame(TEXTS, SCHEMA)
     extra = {c: F.lit(c) for c in ("row", "size", "k1", "score", "node", "fp", "component", "spans", "t", "words", "copy", "taken")}
     return d.withColumns(extra).withColumns({"n_chars": F.length("text").cast("long"), "lang": F.lit("en")})
@@ -236,7 +236,7 @@ def test_labels_of_one_kind(spark, odd, kinds):
 def test_constant_slots_of_a_host_are_template(spark):
     page = "<body><div><p>Welcome</p></div><div><h1>Title {i}</h1><p>Text {i} &lt;here&gt;</p><p>Read more news</p></div><p>{i}"
     rows = [(i, f"http://h.example/{i}", page.format(i=i)) for i in range(8)] + [(100 + i, "http://other.example/", page.format(i=0)) for i in range(8)]
-    find_package(spark)
+    ready(spark)
     got = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Title {i}\n\nText {i} <here>\n\n{i}" for i in range(8))
     assert all(got[100 + i] == "Welcome\n\nTitle 0\n\nText 0 <here>\n\nRead more news\n\n0" for i in range(8))  # copies teach nothing
@@ -313,14 +313,14 @@ def test_mixing_replays_in_any_partitioning(spark, odd):
 @pytest.mark.parametrize("contexts", [repeats.CONTEXTS, 1])
 def test_repeats_equal_brute_force(spark, contexts):
     texts = documents_with_repeats(11) + [t.encode() for t in ("é" * 400, "aé" * 200, PASSAGE + "!", "?" + PASSAGE)]
-    find_package(spark)
+    ready(spark)
     df = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id int, text string")
     got = {r["doc_id"]: r["spans"] for r in repeats.mark(df, contexts=contexts).collect()}
     assert got == dict(enumerate(brute_spans(texts, 200)))
 
 
 def test_kept_text_keeps_characters_whole(spark):
-    find_package(spark)
+    ready(spark)
     df = spark.createDataFrame([("aéb", [2, 3]), ("aéb", [1, 3]), ("aéb", [1, 2]), (None, [])], "text string, s array<int>")
     assert [r[0] for r in df.select(repeats.kept_text("text", "s")).collect()] == ["aéb", "ab", "aéb", None]
     assert [bytes(r[0]) for r in df.select(repeats.kept_bytes("text", "s")).collect()] == [b"a\xc3b", b"ab", b"a\xa9b", b""]
@@ -341,7 +341,7 @@ def test_stages_return_columns_of_documents(spark, odd, empty, folder):
 def test_pipeline_equals_its_stages(spark, sf_dir):
     """The stages' decisions, each made again from what it got, by plain Python."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    find_package(spark)
+    ready(spark)
     stages = dict(corpus_pipeline.STAGES)
     clean = stages["quality classifier"](spark, docs, sf_dir).cache()
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
