@@ -33,7 +33,8 @@ from loadlens.llm.vectors import finite, matrix
 
 QUERY_ROWS = 2_048
 BLOCK_ROWS = 8_192
-LEAF = 32
+#: Rows of a leaf, for candidates and for queries: as many as are compared in one product.
+LEAF, QUERY_LEAF = 256, 64
 #: Ratio of the radii of successive levels.
 BASE = 1.3
 #: Sums below this are exact in double precision.
@@ -70,7 +71,8 @@ def cover_tree(points: np.ndarray, leaf: int = LEAF) -> Node:
             radius /= BASE
         owner, least, centre, n = np.zeros(len(rows), np.int64), apart, int(np.argmin(apart)), 0
         centres = [rows[centre]]
-        while least.max() > radius and n < 2 * leaf:  # the farthest point becomes the next centre
+        most = max(2, 2 * len(rows) // leaf)  # more centres would make leaves of a point or two
+        while least.max() > radius and n + 1 < most:  # the farthest point becomes the next centre
             n += 1
             far = int(np.argmax(least))
             centres.append(rows[far])
@@ -94,6 +96,11 @@ class _Best:
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.scores.shape[1]
+        better = scores >= self.scores[rows, -1][:, None]
+        row, column = better.any(axis=1), better.any(axis=0)
+        if not row.any():
+            return
+        rows, scores, ids = rows[row], scores[row][:, column], ids[column]
         all_scores = np.concatenate([self.scores[rows], scores], axis=1)
         all_ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, scores.shape)], axis=1)
         order = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
@@ -104,7 +111,7 @@ class _Best:
 def search(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Scores and ids of the k best points of each query, best first; -inf where there are fewer."""
     best = _Best(len(queries), k)
-    left, right = cover_tree(queries), cover_tree(points)
+    left, right = cover_tree(queries, QUERY_LEAF), cover_tree(points)
 
     def bound(a: Node, b: Node) -> float:
         value = float(a.centre @ b.centre) + a.radius * b.norm + b.radius * a.norm + a.radius * b.radius
