@@ -92,11 +92,10 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """From (host, html): host, reference, template (array of slot and text hash); one row per host."""
-    own = pages.withColumn("page", F.xxhash64("html"))
-    chosen = own.groupBy("host").agg(F.min("page").alias("page"))
-    reference = own.join(chosen, ["host", "page"]).groupBy("host").agg(F.min("html").alias("reference"))
+    # the page of smallest hash; combined in the tasks, so that a host with many pages sends one of each task
+    reference = pages.groupBy("host").agg(F.min_by("html", F.struct(F.xxhash64("html"), "html")).alias("reference"))
     reference = stored(reference, "references")
-    seen = own.select("host", "html").join(reference, "host").mapInArrow(_align, "host string, slot int, text long, page long")
+    seen = pages.select("host", "html").join(reference, "host").mapInArrow(_align, "host string, slot int, text long, page long")
     seen = stored(seen, "slots").distinct()
     totals = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= PAGES)
     held = seen.groupBy("host", "slot", "text").agg(F.count("*").alias("n")).join(totals, "host").where(F.col("n") >= SHARE * F.col("pages"))
