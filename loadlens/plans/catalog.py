@@ -623,6 +623,76 @@ _fitted("gbt_onehot", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT)
 _fitted("gbt_robust", lambda t: models.fit_rate_model(t, models.gbt(**TRIAL_GBT, loss="absolute")))
 
 
+RIDGE_COLUMNS = ["distance", "quote_signal", "pickup_lat"]
+
+
+@query("ridge_closed_form")
+def ridge_closed_form(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficients of ridge on three columns without gaps, and its metrics after the split date."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    model = models.fit_rate_model(train, numeric=RIDGE_COLUMNS, categorical=[], alpha=10.0)
+    fitted = model.stages[-2]
+    terms = dict(zip([*RIDGE_COLUMNS, "intercept"], [*fitted.coefficients.toArray().tolist(), fitted.intercept], strict=True))
+    metrics = evaluate.regression_metrics(model.transform(valid))
+    listed = [F.struct(F.lit(n).alias("term"), F.lit(v).alias("value")) for n, v in terms.items()]
+    listed += [F.struct(F.lit(m).alias("term"), F.col(m).cast("double").alias("value")) for m in ("MAE", "RMSE", "count")]
+    return rounded(metrics.select(F.inline(F.array(*listed))), 2)
+
+
+def _ridge(train: DataFrame) -> PipelineModel:
+    return models.fit_rate_model(create_features(train), log_target=True, onehot=True, alpha=10.0)
+
+
+def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of two prediction files, and those that only one of them holds."""
+    sides = a.select("*", F.lit(1).alias("_side")).unionByName(b.select("*", F.lit(-1).alias("_side")))
+    each = sides.groupBy(K.KEY, K.PREDICTION).agg(F.sum("_side").alias("d"), F.count(F.when(F.col("_side") == 1, 1)).alias("n"))
+    return each.agg(F.sum("n").alias("rows"), F.sum(F.abs("d")).alias("differing"))
+
+
+@query("score_contract")
+def score_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """A prediction file by a full ridge model: its rows and the violations of the file's rules."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    file = scoring.score(valid.drop(K.TARGET), _ridge(train))
+    p = F.col(K.PREDICTION)
+    return file.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct(K.KEY).alias("keys"),
+        F.count(F.when(~C.is_finite(p), 1)).alias("not_finite"),
+        F.count(F.when(p <= 0, 1)).alias("not_positive"),
+        F.count(F.when(F.abs(p * 100 - F.round(p * 100)) > 1e-6, 1)).alias("not_cents"),
+    )
+
+
+@query("saved_equals_fresh")
+def saved_equals_fresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction files of a fitted model and of the same model stored and loaded."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    model, path = _ridge(train), f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    scoring.save_model(model, path)
+    return _differing(scoring.score(valid, model), scoring.score(valid, scoring.load_model(path)))
+
+
+@query("stream_equals_batch")
+def stream_equals_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions of the request stream and of the same requests as a batch."""
+    model = _ridge(star.loads(spark, sf))
+    live = requests.accepted(requests.score_requests(_request_stream(spark, sf), model))
+    return _differing(_drain(spark, live), requests.score_requests(star.loads(spark, sf), model))
+
+
+@query("rolling_identity")
+def rolling_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of a rolling validation with ridge: rows, and whether the metrics are those of the stored predictions."""
+    fit = lambda train: models.fit_rate_model(train, log_target=True, onehot=True, alpha=10.0)
+    predictions, metrics = validation.rolling_validate(create_features(star.loads(spark, sf)), fit, WINDOWS)
+    again = predictions.groupBy("window").agg(F.avg("absolute_error").alias("again"), F.count(F.lit(1)).alias("stored"))
+    return metrics.join(again, "window").select(
+        "window", "train_rows", "valid_rows", "stored", (F.abs(F.col("MAE") - F.col("again")) < 1e-6).alias("same_MAE")
+    )
+
+
 @query("refined_model")
 def refined_model(spark: SparkSession, sf: str) -> DataFrame:
     """Base features against refined features, same learner."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from loadlens.functions import constants as K
 from loadlens.functions.features import BASE_NUMERIC
-from loadlens.plans.catalog import INEXACT, LOAD_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
+from loadlens.plans.catalog import INEXACT, LOAD_COLUMNS, RIDGE_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
 
 LOADS = """loads AS (
 SELECT concat('TR-', format('{:07d}', l.l_orderkey), '-', CAST(l.l_linenumber AS VARCHAR)) AS load_id,
@@ -657,6 +657,51 @@ SQL["class_balance"] = loads(
     "round(count(*) FILTER (posted_rate >= 7500) * 100.0::DOUBLE / count(*), 6) AS positive_pct FROM loads"
 )
 
+# ---------------------------------------------------------------- models
+
+_centred = "(count(*) * covar_pop({}, {}))"
+_pairs = {x + y: _centred.format(a, b) for x, a in zip("abc", RIDGE_COLUMNS) for y, b in zip("abcy", [*RIDGE_COLUMNS, "posted_rate"])}
+SQL["ridge_closed_form"] = (
+    f"WITH {LOADS},\nt AS (SELECT * FROM loads WHERE date < DATE '{SPLIT}'),\n"
+    "s AS (SELECT " + ", ".join(f"{e}{' + 10' if n[0] == n[1] else ''} AS s{n}" for n, e in _pairs.items())
+    + ", avg(posted_rate) AS my, " + ", ".join(f"avg({c}) AS m{x}" for x, c in zip("abc", RIDGE_COLUMNS)) + " FROM t),\n"
+    """d AS (SELECT *, saa * (sbb * scc - sbc * sbc) - sab * (sab * scc - sbc * sac) + sac * (sab * sbc - sbb * sac) AS det FROM s),
+w AS (SELECT *,
+  (say * (sbb * scc - sbc * sbc) - sab * (sby * scc - sbc * scy) + sac * (sby * sbc - sbb * scy)) / det AS wa,
+  (saa * (sby * scc - sbc * scy) - say * (sab * scc - sbc * sac) + sac * (sab * scy - sby * sac)) / det AS wb,
+  (saa * (sbb * scy - sby * sbc) - sab * (sab * scy - sby * sac) + say * (sab * sbc - sbb * sac)) / det AS wc FROM d),
+"""
+    f"e AS (SELECT greatest(my + wa * ({RIDGE_COLUMNS[0]} - ma) + wb * ({RIDGE_COLUMNS[1]} - mb) + wc * ({RIDGE_COLUMNS[2]} - mc), 0)"
+    f" - posted_rate AS e FROM loads, w WHERE date >= DATE '{SPLIT}')\n"
+    "SELECT term, round(value, 2) AS value FROM ("
+    + union(
+        [
+            *[f"SELECT '{c}' AS term, w{x} AS value FROM w" for x, c in zip("abc", RIDGE_COLUMNS)],
+            "SELECT 'intercept', my - wa * ma - wb * mb - wc * mc FROM w",
+            "SELECT 'MAE', avg(abs(e)) FROM e",
+            "SELECT 'RMSE', sqrt(avg(e * e)) FROM e",
+            "SELECT 'count', count(*) FROM e",
+        ]
+    )
+    + ")"
+)
+SQL["score_contract"] = loads(
+    "SELECT count(*) AS rows, count(DISTINCT load_id) AS keys, 0::BIGINT AS not_finite, 0::BIGINT AS not_positive, "
+    f"0::BIGINT AS not_cents FROM loads WHERE date >= DATE '{SPLIT}'"
+)
+SQL["saved_equals_fresh"] = loads(f"SELECT count(*) AS rows, 0::BIGINT AS differing FROM loads WHERE date >= DATE '{SPLIT}'")
+SQL["stream_equals_batch"] = loads("SELECT count(*) AS rows, 0::BIGINT AS differing FROM loads")
+SQL["rolling_identity"] = loads(
+    union(
+        [
+            f"SELECT '{n}' AS \"window\", count(*) FILTER (date <= DATE '{t}') AS train_rows, "
+            f"count(*) FILTER (date BETWEEN DATE '{a}' AND DATE '{b}') AS valid_rows, "
+            f"count(*) FILTER (date BETWEEN DATE '{a}' AND DATE '{b}') AS stored, true AS \"same_MAE\" FROM loads"
+            for n, t, a, b in WINDOWS
+        ]
+    )
+)
+
 # ---------------------------------------------------------------- sources, sinks and requests
 
 SQL["csv_round_trip"] = SQL["loads"]
