@@ -33,7 +33,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier does not reject."""
     ready(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).where(F.col("score") >= LEAST_SCORE).select("row.*")
+    return quality.accepted(docs, model, LEAST_SCORE)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,10 +112,25 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, trees: in
     return Model(tuple((rule, w) for rule, w in weights if w), lasso.intercept)
 
 
-def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """(row, score): the input's columns as a struct, and the probability of label 1."""
+def accepted(documents: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """``documents`` with a score of ``least`` or more.
+
+    The row number is there for the optimizer: it does not move a filter below such a column, and so does not put the
+    statistics, each of which reads the whole text, into every rule of the condition.
+    """
     stats, _ = with_statistics(documents, text)
+    numbered = stats.withColumn("number", F.monotonically_increasing_id())
+    return numbered.where((_probability(model) >= least) & (F.col("number") >= 0)).select("row.*")
+
+
+def _probability(model: Model) -> Column:
     total = F.lit(model.intercept)
     for rule, weight in model.rules:
         total = total + F.when(F.expr(rule), F.lit(weight)).otherwise(0.0)
-    return stats.select("row", (1 / (1 + F.exp(-total))).alias("score"))
+    return 1 / (1 + F.exp(-total))
+
+
+def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """(row, score): the input's columns as a struct, and the probability of label 1."""
+    stats, _ = with_statistics(documents, text)
+    return stats.select("row", _probability(model).alias("score"))
