@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +34,20 @@ def components(links: DataFrame) -> DataFrame:
         before = now
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)
+
+
+def forest(a: np.ndarray, b: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a, b) of numbers below ``count``, those that join two parts not joined before: (smallest, member)."""
+    parent = np.arange(count)
+    while True:
+        low = np.minimum(parent[a], parent[b])
+        new = parent.copy()
+        np.minimum.at(new, parent[a], low)
+        np.minimum.at(new, parent[b], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == parent).all():
+            break
+        parent = new
+    member = np.flatnonzero(parent != np.arange(count))
+    return parent[member], member

@@ -20,7 +20,7 @@ again, which is exact for the same reason. Components are found by :func:`graphs
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.graphs import components
+from loadlens.llm.graphs import components, forest
 from loadlens.llm.shared import stored
 
 BITS = 64
@@ -135,6 +135,29 @@ def _leaf_pairs(bits: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray
     return i[i < j], j[i < j]
 
 
+def spanning(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect what the given pairs connect: fewer than rows, however large a group of copies is."""
+    return forest(i, j, len(bits))
+
+
+def towards_hubs(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its pair with the neighbour of most pairs, and with the nearest one: at most two a row.
+
+    Copies of one text lie closer to it than to each other, so it has the most pairs, and the pairs with it are those
+    that a later check confirms.
+    """
+    own, other = np.r_[i, j], np.r_[j, i]
+    degree = np.bincount(own, minlength=len(bits))
+    apart = np.bitwise_count(bits[own] ^ bits[other])
+    chosen = []
+    for order in (np.lexsort((other, apart, -degree[other], own)), np.lexsort((other, -degree[other], apart, own))):
+        first = np.r_[True, own[order][1:] != own[order][:-1]] if len(order) else np.empty(0, bool)
+        best = order[first]
+        chosen.append(np.column_stack([np.minimum(own[best], other[best]), np.maximum(own[best], other[best])]))
+    kept = np.unique(np.concatenate(chosen), axis=0)
+    return kept[:, 0], kept[:, 1]
+
+
 def _split(bits: np.ndarray, begin: np.ndarray, end: np.ndarray, mask: np.uint64) -> np.ndarray:
     """For each range of rows with equal higher bits: where the rows with the masked bit begin (a binary search)."""
     low, high = begin.copy(), end.copy()
@@ -157,24 +180,30 @@ def _value(low: int, width: int) -> Column:
     return F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def links(prints: DataFrame, errors: int = 2, node_rows: int = NODE_ROWS, max_splits: int = 3) -> DataFrame:
-    """From distinct fingerprints (fp long): pairs (a long, b long) that differ in at most ``errors`` bits."""
+def links(prints: DataFrame, errors: int = 2, node_rows: int = NODE_ROWS, max_splits: int = 3, only: Callable | None = None) -> DataFrame:
+    """From distinct fingerprints (fp long): pairs (a long, b long) that differ in at most ``errors`` bits.
+
+    ``only`` (``spanning`` or ``towards_hubs``) thins out the pairs that a task has found, before they leave it.
+    Where ``prints`` has a column ``kind`` (int), only fingerprints of one kind are compared, and the pairs have it too.
+    """
+    kind = F.col("kind") if "kind" in prints.columns else F.lit(0).alias("kind")
     bands = _bands([(0, BITS)], errors + 1)
-    rows = prints.select("fp", F.explode(F.array(*(F.struct(F.lit(str(i)).alias("band"), _value(*b).alias("value")) for i, b in enumerate(bands)))).alias("k"))
-    rows = stored(rows.select("fp", F.col("k.band").alias("band"), F.array("k.value").alias("value")), "bands")
+    rows = prints.select(kind, "fp", F.explode(F.array(*(F.struct(F.lit(str(i)).alias("band"), _value(*b).alias("value")) for i, b in enumerate(bands)))).alias("k"))
+    rows = stored(rows.select("kind", "fp", F.col("k.band").alias("band"), F.array("k.value").alias("value")), "bands")
+    node = ["kind", "band", "value"]
     ready = []
     for _ in range(max_splits):
-        crowded = stored(rows.groupBy("band", "value").agg(F.count("*").alias("n")).where(F.col("n") > node_rows).drop("n"), "crowded")
+        crowded = stored(rows.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > node_rows).drop("n"), "crowded")
         if crowded.isEmpty():
             break
-        ready.append(rows.join(crowded, ["band", "value"], "left_anti"))
-        rows = stored(_deeper(rows.join(crowded, ["band", "value"], "left_semi"), errors), "bands")
+        ready.append(rows.join(crowded, node, "left_anti"))
+        rows = stored(_deeper(rows.join(crowded, node, "left_semi"), errors), "bands")
     ready.append(rows)
     every = ready[0]
     for more in ready[1:]:
         every = every.unionByName(more)
-    key = F.xxhash64("band", "value")
-    return every.withColumn("key", key).repartition("key").sortWithinPartitions("key", "band", "value").mapInPandas(_joined(errors), "a long, b long")
+    dealt = every.withColumn("key", F.xxhash64(*node)).repartition("key").sortWithinPartitions("key", *node)
+    return dealt.mapInPandas(_joined(errors, only), "kind int, a long, b long")
 
 
 def _rest(band: str, count: int) -> list[tuple[int, int]]:
@@ -193,9 +222,9 @@ def _deeper(rows: DataFrame, errors: int) -> DataFrame:
     for name in [r["band"] for r in rows.select("band").distinct().collect()]:  # at most (errors + 1) ** splits names
         cut = _bands(_rest(name, errors + 1), errors + 1)
         own = rows.where(F.col("band") == name).select(
-            "fp", "value", F.explode(F.array(*(F.struct(F.lit(f"{name}.{i}").alias("band"), _value(*b).alias("more")) for i, b in enumerate(cut)))).alias("k")
+            "kind", "fp", "value", F.explode(F.array(*(F.struct(F.lit(f"{name}.{i}").alias("band"), _value(*b).alias("more")) for i, b in enumerate(cut)))).alias("k")
         )
-        own = own.select("fp", F.col("k.band").alias("band"), F.concat("value", F.array("k.more")).alias("value"))
+        own = own.select("kind", "fp", F.col("k.band").alias("band"), F.concat("value", F.array("k.more")).alias("value"))
         out = own if out is None else out.unionByName(own)
     return out
 
@@ -212,17 +241,20 @@ def _first(band: str, a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
     return keep
 
 
-def _joined(errors: int):
+def _joined(errors: int, only: Callable | None):
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})]
-        for band, own in frame.groupby("band", sort=False):
+        out = [pd.DataFrame({"kind": np.empty(0, np.int32), "a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})]
+        for (kind, band), own in frame.groupby(["kind", "band"], sort=False):
             group = pd.factorize(own["value"].map(tuple))[0]
             bits = own["fp"].to_numpy(np.int64).view(np.uint64)
             order = np.lexsort((bits, group))
             group, bits = group[order], bits[order]
             i, j = trie_pairs(group, bits, BITS, errors)
             keep = _first(str(band), bits[i], bits[j], errors + 1)
-            out.append(pd.DataFrame({"a": bits[i][keep].view(np.int64), "b": bits[j][keep].view(np.int64)}))
+            i, j = i[keep], j[keep]
+            if only is not None:
+                i, j = only(bits, i, j)
+            out.append(pd.DataFrame({"kind": np.full(len(i), kind, np.int32), "a": bits[i].view(np.int64), "b": bits[j].view(np.int64)}))
         return pd.concat(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -247,7 +279,7 @@ def near_duplicates(documents: DataFrame, errors: int = 2, words: int = 3, seed:
     """From documents (doc_id, text): doc_id, fp long, component_id (the smallest doc_id reachable by links)."""
     printed = stored(documents.select("doc_id", fingerprint(F.col("text"), words, seed).alias("fp")), "fingerprints")
     named = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    classes = _classes(named, links(named.select("fp"), errors))
+    classes = _classes(named, links(named.select("fp"), errors, only=spanning))
     return printed.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -302,8 +334,9 @@ def one_of_each(
     """``documents`` (doc_id, text and any others): one row of each group of near duplicates, that of smallest doc_id.
 
     Near duplicates have a Jaccard similarity of ``similarity`` or more by their sets of word shingles; a text without a
-    word is like any other such text. Candidates differ in at most ``errors`` bits of one of ``prints`` fingerprints,
-    and each is verified. Texts in one group may be linked through others. Of rows that agree in id the first by all
+    word is like any other such text. Candidates differ in at most ``errors`` bits of one of ``prints`` fingerprints;
+    of those that meet in a task each text keeps its pairs with the text of most candidates and with the nearest one,
+    and each of these is verified. Texts in one group may be linked through others. Of rows that agree in id the first by all
     columns stays.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
@@ -311,16 +344,13 @@ def one_of_each(
     made = _fingerprints(words, seed, prints)("text")
     printed = stored(documents.select(row.alias("row"), F.xxhash64(text).alias("node"), made.alias("prints")), "fingerprints")
     texts = printed.select("node", "prints").distinct()
-    pairs = None
-    for i in range(prints):
-        own = texts.select("node", F.col("prints")[i].alias("fp"))
-        least = stored(own.groupBy("fp").agg(F.min("node").alias("least")), "least")
-        met = links(least.select("fp"), errors)
-        far = met.join(least.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
-        far = far.join(least.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select("x", "y")
-        same = own.join(least, "fp").where("node <> least").select(F.col("least").alias("x"), F.col("node").alias("y"))
-        found = far.unionByName(same)
-        pairs = found if pairs is None else pairs.unionByName(found)
+    own = texts.select("node", F.posexplode("prints").alias("kind", "fp"))
+    least = stored(own.groupBy("kind", "fp").agg(F.min("node").alias("least")), "least")
+    far = links(least.select("kind", "fp"), errors, only=towards_hubs)
+    for end, name in (("a", "x"), ("b", "y")):
+        far = far.join(least.select("kind", F.col("fp").alias(end), F.col("least").alias(name)), ["kind", end])
+    same = own.join(least, ["kind", "fp"]).where("node <> least").select(F.col("least").alias("x"), F.col("node").alias("y"))
+    pairs = far.select("x", "y").unionByName(same)
     pairs = stored(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
     members = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
     read = printed.join(members, "node", "left_semi").groupBy("node").agg(F.min("row.text").alias("text"))

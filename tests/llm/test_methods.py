@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from loadlens.llm import cover_tree, dom, extraction, pivots, repeats, simhash, token_counts
+from loadlens.llm import cover_tree, dom, extraction, graphs, repeats, simhash, token_counts
 
 
 def documents_with_repeats(seed, count=40):
@@ -79,6 +79,22 @@ def test_trie_join_equals_all_pairs():
     assert len(simhash.trie_pairs(np.empty(0, np.int64), np.empty(0, np.uint64), 64, 2)[0]) == 0
 
 
+def test_thinned_pairs_of_a_large_group():
+    """A text and many copies of it: every copy keeps its pair with it, and the pairs stay connected."""
+    rng = np.random.default_rng(6)
+    text = int(rng.integers(0, 1 << 63))
+    copies = {text ^ sum(1 << int(b) for b in rng.choice(64, 5, replace=False)) for _ in range(500)}
+    bits = np.sort(np.array([text, *copies], np.uint64))
+    i, j = simhash.trie_pairs(np.zeros(len(bits), np.int64), bits, 64, 8)
+    hub = int(np.searchsorted(bits, np.uint64(text)))
+    a, b = simhash.towards_hubs(bits, i, j)
+    assert len(i) > 10 * len(bits) >= 5 * len(a) and {*a[b == hub], *b[a == hub]} == set(range(len(bits))) - {hub}
+    root, member = simhash.spanning(bits, i, j)
+    assert len(member) == len(bits) - 1 and set(root) == {0}
+    none = np.empty(0, np.int64)
+    assert [len(x) for x in (*simhash.towards_hubs(bits, none, none), *simhash.spanning(bits, none, none))] == [0] * 4
+
+
 def test_majority_and_shingles():
     assert simhash.majority(np.array([0b11, 0b10], np.uint64)) == 0b10  # half is not over half
     assert simhash.majority(np.empty(0, np.uint64)) == 0
@@ -115,7 +131,7 @@ def test_cover_tree_covers_and_separates():
 
 
 def test_forest_spans_components():
-    root, member = pivots.forest(np.array([0, 1, 5, 6, 7]), np.array([1, 2, 6, 7, 5]), 9)
+    root, member = graphs.forest(np.array([0, 1, 5, 6, 7]), np.array([1, 2, 6, 7, 5]), 9)
     assert dict(zip(member.tolist(), root.tolist(), strict=True)) == {1: 0, 2: 0, 6: 5, 7: 5}
 
 
