@@ -18,7 +18,7 @@ windows hold the same anchor at the same place. All windows of an anchor lie in
 Anchors with more than ``CONTEXTS`` distinct contexts (a passage in a great many documents) are not sent to one task:
 hashes of their windows are counted instead, combined before the shuffle.
 
-Equal keys of 128 bits (text, anchor and context, window) count as equal bytes.
+Equal keys count as equal bytes: 96 bits for a text, 128 for an anchor with its context, and for a window.
 
 * null text: empty; texts shorter than ``length`` keep everything; matches never cross documents
 * a text that occurs twice (repeated rows included) goes whole when it has ``length`` bytes or more
@@ -34,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ GRAM = 64
 CONTEXTS = 50_000
 #: Bytes of text that are hashed at once, and contexts that are indexed at once (an anchor's stay together).
 BATCH_BYTES = 1 << 18
-BATCH_CONTEXTS = 20_000
+BATCH_CONTEXTS = 8_000
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -98,7 +98,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM) -
 
 
 def _find(length: int):
-    """(k1, k2, raw) to rows (anchor, ctx, k1, k2, pos)."""
+    """(k1, k2, raw) to rows (anchor, ctx, k1, at); ``at`` holds k2 and, in its lower half, the place in the text."""
     reach = length - GRAM
 
     def of(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -111,8 +111,8 @@ def _find(length: int):
         ctx = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], c) for a, b, c in zip(low.tolist(), high.tolist(), (places - low).tolist(), strict=True)), np.uint64, len(places))
         keys = np.array([(a, b) for a, b, _ in docs], np.int64)[doc]
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (hashes.view(np.int64), ctx.view(np.int64), keys[:, 0].copy(), keys[:, 1].copy(), (places - begin).astype(np.int32))],
-            names=["anchor", "ctx", "k1", "k2", "pos"],
+            [pa.array(x) for x in (hashes.view(np.int64), ctx.view(np.int64), keys[:, 0].copy(), (keys[:, 1] << 32) + places - begin)],
+            names=["anchor", "ctx", "k1", "at"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +182,9 @@ def _index(length: int):
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
         sizes = frame["raw"].map(len).to_numpy()
-        data = np.frombuffer(b"".join(frame["raw"]) + bytes(width), np.uint8)
+        data = np.frombuffer(bytes(width) + b"".join(frame["raw"]) + bytes(width), np.uint8)
         low = reach - frame["before"].to_numpy()
-        place = np.cumsum(sizes) - sizes - low
-        rows = data[np.clip(place[:, None] + np.arange(width), 0, len(data) - 1)]
+        rows = np.lib.stride_tricks.sliding_window_view(data, width)[width + np.cumsum(sizes) - sizes - low]
         marked = matches(rows, low, low + sizes, pd.factorize(frame["anchor"])[0], length)
         starts = np.arange(marked.shape[1])
         whole = (starts >= low[:, None]) & (starts + length <= (low + sizes)[:, None])
@@ -254,31 +253,38 @@ def _counted(contexts: DataFrame, length: int) -> DataFrame:
     return starts.select("anchor", "ctx", F.flatten(F.transform("at", lambda x: F.array(x, x + length))).alias("cover"))
 
 
+def _at(at: str) -> list[Column]:
+    return [F.shiftright(at, 32).alias("k2"), F.col(at).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos")]
+
+
 def covers(texts: DataFrame, length: int = LENGTH, contexts: int = CONTEXTS) -> DataFrame:
     """From (k1, k2, raw): k1, k2, marks; a mark is the place of an anchor and its covered stretches (null: all)."""
     long_texts = texts.where(F.length("raw") >= length)
-    found = stored(long_texts.mapInArrow(_find(length), "anchor long, ctx long, k1 long, k2 long, pos int"), "anchors")
+    # made twice, which costs less than keeping all anchors
+    found = long_texts.mapInArrow(_find(length), "anchor long, ctx long, k1 long, at long")
     repeated = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where("n > 1").drop("n")
-    places = stored(found.join(repeated, "anchor"), "places")
-    distinct = places.where("mixed").groupBy("anchor", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "pos")).alias("one"))
+    # stored, so that the join has both sides from a shuffle and can split the places of a hot anchor
+    places = stored(found.join(stored(repeated, "repeated"), "anchor"), "places")
+    distinct = places.where("mixed").groupBy("anchor", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "at")).alias("one"))
     distinct = stored(distinct, "contexts")
-    crowds = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > contexts).select("anchor", F.lit(True).alias("crowded"))
+    crowds = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > contexts)
+    crowds = stored(crowds.select("anchor", F.lit(True).alias("crowded")), "crowds")
     wanted = (
         distinct.join(crowds, "anchor", "left")
-        .select("one.k1", "one.k2", F.struct("anchor", "ctx", "copies", F.coalesce("crowded", F.lit(False)).alias("crowded"), "one.pos").alias("x"))
+        .select("one.k1", *_at("one.at"), "anchor", "ctx", "copies", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+        .select("k1", "k2", F.struct("anchor", "ctx", "copies", "crowded", "pos").alias("x"))
         .groupBy("k1", "k2")
         .agg(F.collect_list("x").alias("wanted"))
     )
     cut = long_texts.join(wanted, ["k1", "k2"]).select("raw", "wanted")
     cut = cut.mapInArrow(_cut_out(length), "anchor long, ctx long, copies long, crowded boolean, before int, raw binary")
-    cut = stored(cut, "cuts")
     plain = cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor", "ctx")
     settled = plain.mapInPandas(_index(length), "anchor long, ctx long, cover array<int>")
-    crowded = cut.where("crowded")
-    if not crowded.isEmpty():
-        settled = settled.unionByName(_counted(crowded, length))
-    whole = places.where("not mixed").select("k1", "k2", "pos", F.lit(None).cast("array<int>").alias("cover"))
-    part = places.where("mixed").join(settled, ["anchor", "ctx"]).select("k1", "k2", "pos", "cover")
+    if not crowds.isEmpty():
+        settled = settled.unionByName(_counted(cut.where("crowded"), length))
+    settled = stored(settled, "covers")
+    whole = places.where("not mixed").select("k1", *_at("at"), F.lit(None).cast("array<int>").alias("cover"))
+    part = places.where("mixed").join(settled, ["anchor", "ctx"]).select("k1", *_at("at"), "cover")
     return whole.unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "cover")).alias("marks"))
 
 
@@ -305,12 +311,11 @@ def _merged(length: int, size: int, marks: list[dict] | None, copied: bool) -> l
 
 def mark(documents: DataFrame, text: str = "text", into: str = "spans", length: int = LENGTH, contexts: int = CONTEXTS) -> DataFrame:
     """``documents`` with ``into``: array<int> of begin, end, begin, end ... (bytes of ``text``) that are to go."""
-    raw = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    keyed = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), raw.alias("raw")).withColumns(
-        {"k1": F.xxhash64("raw"), "k2": F.xxhash64(F.lit(7), "raw")}
-    )
+    raw = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
+    keys = [F.xxhash64(raw).alias("k1"), F.shiftright(F.xxhash64(F.lit(7), raw), 32).alias("k2")]
+    keyed = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), *keys)
     copied = keyed.groupBy("k1", "k2").agg((F.count("*") > 1).alias("copied"))
-    found = covers(keyed.select("k1", "k2", "raw"), length, contexts)
+    found = covers(documents.select(*keys, raw.alias("raw")), length, contexts)
     known = copied.where("copied").join(found, ["k1", "k2"], "full")
 
     @F.arrow_udf("array<int>")
@@ -318,7 +323,7 @@ def mark(documents: DataFrame, text: str = "text", into: str = "spans", length:
         rows = zip(sizes.to_pylist(), marks, twice.to_pylist(), strict=True)
         return pa.array((_merged(length, n, None if c else m.as_py(), bool(c)) for n, m, c in rows), pa.list_(pa.int32()))
 
-    spans = merged(F.length("raw"), "marks", "copied")
+    spans = merged(F.coalesce(F.octet_length(F.col("row")[text]), F.lit(0)), "marks", "copied")
     return keyed.join(known, ["k1", "k2"], "left").select("row.*", spans.alias(into))
 
 

@@ -30,4 +30,7 @@ def ready(spark: SparkSession) -> None:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back: what follows neither repeats its work nor loses it with an executor."""
-    return written_once(df, f"lens-{name}")
+    table = written_once(df, f"lens-{name}")
+    # Spark frees the shuffle files of a finished job when the driver collects garbage, which may be much later
+    df.sparkSession._jvm.System.gc()
+    return table
