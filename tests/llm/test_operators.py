@@ -199,6 +199,23 @@ def test_embedding_links_equal_brute_force(spark, list_rows):
     assert all(got[i]["component_id"] == c and got[i]["kept"] == (i == c) for i, c in zip(ids.tolist(), label.tolist(), strict=True))
 
 
+@pytest.mark.parametrize("list_rows", [2_000, 300])
+def test_links_of_a_dense_group_equal_brute_force(spark, monkeypatch, list_rows):
+    """A third of the rows are distinct near copies, so a third of the drawn pivots are; every link counts once."""
+    rng = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1)[..., None]
+    centre, size, width = unit(rng.normal(size=64)), 1_000, 64
+    group = unit(centre + 0.23 * unit(rng.normal(size=(size, width))))
+    loose = unit(centre + 0.5 * unit(rng.normal(size=(200, width))))  # linked with some of the group only
+    x = np.r_[group, loose, unit(rng.normal(size=(2 * size - 200, width)))]
+    close = x @ x.T >= 0.9
+    np.fill_diagonal(close, False)
+    monkeypatch.setattr(pivots, "ROWS_PER_PIVOT", 10)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in pivots.near_duplicates(df, list_rows=list_rows).collect()}
+    assert [got[i] for i in range(len(x))] == close.sum(axis=1).tolist()
+
+
 def test_vectors_that_link_with_nothing(spark, folder):
     got = {r["vec_id"]: r for r in catalog.QUERIES["op9_embedding_near_dedup"](spark, folder).collect()}
     assert [got[i]["n_links"] for i in (1, 2, 3, 4, 5, 6, 7, 8)] == [0] * 8
