@@ -40,6 +40,10 @@ BATCH_ROWS = 50_000
 #: Node pairs that are expanded together, and row pairs of two leaves from which they are compared as a block.
 FRONTIER = 100_000
 BLOCK_PAIRS = 2_048
+#: Pairs that a task holds before it takes those that span the same groups.
+HELD_PAIRS = 2_000_000
+#: Texts, and shingles of them, of a block of a component whose texts are compared.
+GROUP_ROWS, GROUP_SHINGLES = 8_000, 2_000_000
 
 
 def hashes(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -75,18 +79,24 @@ def fingerprint(text: Column, words: int = 3, seed: int = 42) -> Column:
     return bits(text)
 
 
-def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int, only: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j), i < j, of rows of one group whose lowest ``depth`` bits differ in at most ``errors``.
 
     ``group`` and ``bits`` are sorted together and (group, bits) is unique; the rows of a group are the leaves of a trie.
     A node is a range of rows; a pair is a row range, another one that is the same or follows, and the differing bits.
     Leaves hold few rows, more of them the larger the budget, as nothing is pruned near the root. Rows of two leaves are
-    compared by all bits.
+    compared by all bits. With ``only=spanning`` the pairs are thinned out whenever many are held.
     """
     rows = min(2048, 8 << errors)
     begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
     ends = np.r_[begins[1:], len(group)]
     found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def take(i: np.ndarray, j: np.ndarray) -> None:
+        found.append((i[i < j], j[i < j]))
+        if only is spanning and sum(len(x) for x, _ in found) > HELD_PAIRS:
+            found[:] = [only(bits, *(np.concatenate(x) for x in zip(*found, strict=True)))]
+
     roots = np.flatnonzero(ends - begins > 1)
     todo = [(depth, *(x[roots] for x in (begins, ends, begins, ends)), np.zeros(len(roots), np.int8))]
     while todo:
@@ -96,7 +106,7 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) ->
             todo += [(level, *(x[:half] for x in (a0, a1, b0, b1, differ))), (level, *(x[half:] for x in (a0, a1, b0, b1, differ)))]
             continue
         leaf = (a1 - a0 <= rows) & (b1 - b0 <= rows) | (level == 0)
-        found.append(_leaf_pairs(bits, a0[leaf], a1[leaf], b0[leaf], b1[leaf], errors))
+        _leaf_pairs(bits, a0[leaf], a1[leaf], b0[leaf], b1[leaf], errors, take)
         a0, a1, b0, b1, differ = (x[~leaf] for x in (a0, a1, b0, b1, differ))
         if not len(a0):
             continue
@@ -115,15 +125,14 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int) ->
     return tuple(np.concatenate([empty, *x]) for x in zip(*found, strict=True)) if found else (empty, empty)
 
 
-def _leaf_pairs(bits: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, errors: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of small node pairs, by all their bits at once."""
-    out = []
+def _leaf_pairs(bits: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray, errors: int, take: Callable) -> None:
+    """Gives ``take`` the pairs of rows of small node pairs, by all their bits at once."""
     large = (a1 - a0) * (b1 - b0) > BLOCK_PAIRS
     for x0, x1, y0, y1 in zip(*(x[large].tolist() for x in (a0, a1, b0, b1)), strict=True):
         for x in range(x0, x1, 256):
             near = np.bitwise_count(bits[x : min(x + 256, x1), None] ^ bits[None, y0:y1]) <= errors
             i, j = np.nonzero(near)
-            out.append((i + x, j + y0))
+            take(i + x, j + y0)
     a0, a1, b0, b1 = (x[~large] for x in (a0, a1, b0, b1))
     width = b1 - b0
     counts = (a1 - a0) * width
@@ -131,8 +140,7 @@ def _leaf_pairs(bits: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray
     place = np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts)
     i, j = a0[pair] + place // width[pair], b0[pair] + place % width[pair]
     near = np.bitwise_count(bits[i] ^ bits[j]) <= errors
-    i, j = (np.concatenate(x) for x in zip(*out, (i[near], j[near]), strict=True))
-    return i[i < j], j[i < j]
+    take(i[near], j[near])
 
 
 def spanning(bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +257,7 @@ def _joined(errors: int, only: Callable | None):
             bits = own["fp"].to_numpy(np.int64).view(np.uint64)
             order = np.lexsort((bits, group))
             group, bits = group[order], bits[order]
-            i, j = trie_pairs(group, bits, BITS, errors)
+            i, j = trie_pairs(group, bits, BITS, errors, only)
             keep = _first(str(band), bits[i], bits[j], errors + 1)
             i, j = i[keep], j[keep]
             if only is not None:
@@ -315,17 +323,82 @@ def _fingerprints(words: int, seed: int, count: int):
     return several
 
 
-def _jaccard(words: int, seed: int):
-    @F.arrow_udf("double")
-    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            left, right = (np.unique(hashes(t.as_py(), words, seed)) for t in (x, y))
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            out.append(both / max(1, len(left) + len(right) - both) if len(left) + len(right) else 1.0)
-        return pa.array(out, pa.float64())
+def _shingles(words: int, seed: int):
+    @F.arrow_udf("array<long>")
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([np.unique(hashes(x.as_py(), words, seed)).view(np.int64) for x in batch], pa.list_(pa.int64()))
+
+    return sets
+
+
+def similar(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect all pairs of a row of ``left`` and one of ``right`` of that Jaccard similarity or more.
 
-    return similar
+    ``sets`` are distinct hashes. Rows that are connected already are not compared again, so a group of copies takes a
+    pass or two over it.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    _, codes, times = np.unique(np.concatenate([np.empty(0, np.int64), *sets]), return_inverse=True, return_counts=True)
+    common = times[codes] > 1  # a shingle of one row is in no intersection
+    ends = np.r_[0, np.cumsum(common)][np.cumsum(sizes)]
+    begins, codes = np.r_[0, ends[:-1]], codes[common]
+    has, group = np.zeros(len(times), bool), np.arange(len(sets))
+    found: list[tuple[int, int]] = []
+
+    def compare(row: int, others: np.ndarray) -> None:
+        others = others[group[others] != group[row]]
+        low, high = np.minimum(sizes[row], sizes[others]), np.maximum(sizes[row], sizes[others])
+        others = others[low >= similarity * high]
+        if not len(others):
+            return
+        own = codes[begins[row] : ends[row]]
+        has[own] = True
+        if 4 * len(others) > len(sets):
+            both = np.r_[0, np.cumsum(has[codes])]
+            both = both[ends[others]] - both[begins[others]]
+        else:
+            both = np.array([np.count_nonzero(has[codes[begins[x] : ends[x]]]) for x in others])
+        has[own] = False
+        whole = sizes[row] + sizes[others] - both
+        for x in others[np.where(whole > 0, both / np.maximum(whole, 1), 1.0) >= similarity].tolist():
+            if group[x] != group[row]:
+                group[group == group[x]] = group[row]
+                found.append((row, x))
+
+    left, right = np.flatnonzero(left), np.flatnonzero(right)
+    one = np.array_equal(left, right)
+    for row in [] if one else left[:3]:  # connects most rows of a group of copies at once
+        compare(row, np.union1d(left, right))
+    for row in left:
+        compare(row, right[right > row] if one else right)
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _verified(similarity: float):
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        _, left, right = key
+        frame = frame.sort_values(["block", "node"], kind="stable")
+        node, block = frame["node"].to_numpy(), frame["block"].to_numpy()
+        a, b = similar([np.asarray(x, np.int64) for x in frame["shingles"]], block == left, block == right, similarity)
+        return pd.DataFrame({"a": node[a], "b": node[b]})
+
+    return run
+
+
+def verified(sets: DataFrame, similarity: float, rows: int = GROUP_ROWS, shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """From (component, node, shingles): pairs (a, b) that connect all similar texts of each component.
+
+    All texts of a component are compared with each other. One of more texts or shingles than the bounds is cut into hash
+    blocks, and each pair of blocks is a group of its own.
+    """
+    sizes = sets.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / rows), F.ceil(F.sum(F.size("shingles")) / shingles)).cast("int").alias("blocks"))
+    cut = sets.join(sizes, "component").withColumn("blocks", F.greatest("blocks", F.lit(1)))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
+    paired = cut.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = paired.select("component", F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "shingles")
+    return keyed.groupBy("component", "left", "right").applyInPandas(_verified(similarity), "a long, b long")
 
 
 def one_of_each(
@@ -334,10 +407,10 @@ def one_of_each(
     """``documents`` (doc_id, text and any others): one row of each group of near duplicates, that of smallest doc_id.
 
     Near duplicates have a Jaccard similarity of ``similarity`` or more by their sets of word shingles; a text without a
-    word is like any other such text. Candidates differ in at most ``errors`` bits of one of ``prints`` fingerprints;
-    of those that meet in a task each text keeps its pairs with the text of most candidates and with the nearest one,
-    and each of these is verified. Texts in one group may be linked through others. Of rows that agree in id the first by all
-    columns stays.
+    word is like any other such text. Candidates differ in at most ``errors`` bits of one of ``prints`` fingerprints. All
+    texts that candidates connect are compared with each other, and only links that hold are thinned out, so a template
+    or passage that many texts share hides no pair. Texts in one group may be linked through others. Of rows that agree
+    in id the first by all columns stays.
     """
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -346,18 +419,15 @@ def one_of_each(
     texts = printed.select("node", "prints").distinct()
     own = texts.select("node", F.posexplode("prints").alias("kind", "fp"))
     least = stored(own.groupBy("kind", "fp").agg(F.min("node").alias("least")), "least")
-    far = links(least.select("kind", "fp"), errors, only=towards_hubs)
+    far = links(least.select("kind", "fp"), errors, only=spanning)
     for end, name in (("a", "x"), ("b", "y")):
         far = far.join(least.select("kind", F.col("fp").alias(end), F.col("least").alias(name)), ["kind", end])
     same = own.join(least, ["kind", "fp"]).where("node <> least").select(F.col("least").alias("x"), F.col("node").alias("y"))
-    pairs = far.select("x", "y").unionByName(same)
-    pairs = stored(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
-    members = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    read = printed.join(members, "node", "left_semi").groupBy("node").agg(F.min("row.text").alias("text"))
-    read = stored(read, "candidates")
-    both = pairs.join(read.select(F.col("node").alias("x"), F.col("text").alias("tx")), "x")
-    both = both.join(read.select(F.col("node").alias("y"), F.col("text").alias("ty")), "y")
-    linked = both.where(_jaccard(words, seed)("tx", "ty") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = stored(far.select("x", "y").unionByName(same), "pairs")
+    met = components(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    read = printed.join(met, "node").groupBy("component", "node").agg(F.min(F.coalesce("row.text", F.lit(""))).alias("text"))
+    read = stored(read.select("component", "node", _shingles(words, seed)("text").alias("shingles")), "candidates")
+    linked = stored(verified(read, similarity), "similar")
     grouped = components(linked)
     keyed = printed.select("node", "row").join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keyed = keyed.select("component", "node", "row", F.col("row.doc_id").alias("id"))

@@ -116,6 +116,35 @@ def test_one_of_each_group_stays(spark, odd):
     assert simhash.one_of_each(odd).columns == odd.columns
 
 
+def test_near_copies_within_a_template_group(spark):
+    """Texts of 0.73 to each other through a shared passage; each pair above 0.8 among them is found."""
+    rng = np.random.default_rng(9)
+    passage = [f"p{i}" for i in range(240)]
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    texts = [passage + words(40) for _ in range(400)]
+    copies = [x[:-20] + words(20) for x in texts[:40]]
+    rows = [(i, " ".join(x)) for i, x in enumerate(texts + copies)]
+    sets = [set(simhash.hashes(x, 5, 42).tolist()) for _, x in rows]
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(like(i, 400 + i) > 0.8 for i in range(40)) and max(like(0, i) for i in range(1, 400)) < 0.8
+    got = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(400))
+
+
+@pytest.mark.parametrize("rows", [1_000, 20])
+def test_verified_links_connect_what_all_pairs_do(spark, rows):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 40, (12, 60))
+    sets = [np.unique(np.r_[base[i % 12][: 60 - i % 7], rng.integers(0, 1 << 40, i % 9)]) for i in range(90)] + [np.empty(0, np.int64)] * 2
+    like = lambda x, y: len(np.intersect1d(x, y)) / max(1, len(np.union1d(x, y))) if len(x) + len(y) else 1.0
+    a, b = np.array([(i, j) for i in range(92) for j in range(i) if like(sets[i], sets[j]) >= 0.8]).T
+    df = spark.createDataFrame([(0, i, x.tolist()) for i, x in enumerate(sets)], "component long, node long, shingles array<long>")
+    got = simhash.verified(df, 0.8, rows).collect()
+    assert all(like(sets[r["a"]], sets[r["b"]]) >= 0.8 for r in got)
+    whole = lambda a, b: dict(zip(*(x.tolist() for x in graphs.forest(a, b, 92)[::-1]), strict=True))
+    assert whole(np.array([r["a"] for r in got]), np.array([r["b"] for r in got])) == whole(a, b)
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 50)]
