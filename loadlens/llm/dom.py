@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections.abc import Iterator
+
+import numpy as np
+import xxhash
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -47,12 +51,13 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 class Element:
     """``items`` holds texts and elements in page order; ``number`` is the place in preorder, ``weight`` the number of
-    elements, and ``holds`` whether an article or main element is below."""
+    elements, and ``holds`` whether an article or main element is below. ``shape`` is a hash of the keys of the element and
+    all below it, for this process only; ``path`` a lasting one of the keys from the page down to it."""
 
-    __slots__ = ("tag", "key", "words", "items", "number", "weight", "holds")
+    __slots__ = ("tag", "key", "words", "items", "number", "weight", "holds", "shape", "path")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.items, self.number, self.weight, self.holds = tag, [], 0, 1, False
+        self.tag, self.items, self.number, self.weight, self.holds, self.shape, self.path = tag, [], 0, 1, False, 0, 0
         self.key, self.words = tag, ()
         if attrs and "=" in attrs:
             named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
@@ -135,70 +140,132 @@ def _number(root: Element) -> None:
         element = todo.pop()
         element.number = len(order)
         order.append(element)
-        todo += reversed(element.children)
+        children = element.children
+        for child in children:
+            child.path = xxhash.xxh3_64_intdigest(f"{element.path} {child.key}".encode("utf-8", "surrogatepass"))
+        todo += reversed(children)
     for element in reversed(order):
         children = element.children
         element.weight = 1 + sum(x.weight for x in children)
+        element.shape = hash((element.key, *(x.shape for x in children)))
         element.holds = element.tag in ("html", "body", "main") or any(x.holds or x.tag in ("article", "main") and ASIDE_WORDS.isdisjoint(x.words) for x in children)
 
 
-def match(a: Element, b: Element) -> dict[int, int]:
+#: Weight of a matched pair of elements; below it counts, among matchings of one size, that all below the two is equal too.
+PAIR = 1 << 32
+#: Cells of the dynamic program over two lists of children up to which all its rows are held.
+CELLS = 40_000
+#: Sizes of matchings that are held for the next page.
+KNOWN = 100_000
+
+Sizes = dict[tuple[int, int], int]
+
+
+def match(a: Element, b: Element, known: Sizes | None = None) -> dict[int, int]:
     """Simple tree matching: numbers of elements of ``a`` to those of ``b``.
 
-    Equal elements match, in order, below matched parents. Among the children the pairing of greatest weight is taken.
-    Where both lists are longer, their common beginning and end pair up first, as for the paragraphs of two articles.
+    Equal elements match, in order, below matched parents, so that the number of matched elements is greatest; of such
+    matchings one in which most pairs are equal in all that is below them. ``known`` has sizes by two shapes, of any pages.
     """
+    known = {} if known is None else known
+    if len(known) > KNOWN:
+        known.clear()
     pairs = {a.number: b.number}
     todo = [(a, b)]
     while todo:
         x, y = todo.pop()
-        for c, d in _paired(x.children, y.children):
+        if x.shape != y.shape:
+            _measure(x, y, known)
+        for c, d in _paired(x.children, y.children, known):
             pairs[c.number] = d.number
             todo.append((c, d))
     return pairs
 
 
-#: Cells of the dynamic program over two lists of children that are taken as they are; and at most, beyond which lists
-#: pair up greedily, in order.
-FEW_CELLS, CELLS = 300, 40_000
+def _measure(a: Element, b: Element, known: Sizes) -> None:
+    """Adds the sizes of all pairs of children that the matching of a and b weighs, deepest first."""
+    todo = [(a, b, False)]
+    while todo:
+        x, y, ready = todo.pop()
+        if (x.shape, y.shape) in known:
+            continue
+        low, xs, ys = _trimmed(x.children, y.children)
+        if not ready:
+            todo.append((x, y, True))
+            below = {(c.shape, d.shape): (c, d, False) for c in xs for d in ys if c.key == d.key and c.shape != d.shape}
+            todo += (v for k, v in below.items() if k not in known)
+            continue
+        same = sum(_size(c, c, known) for c in low)
+        known[x.shape, y.shape] = PAIR + same + (int(_last(xs, ys, known)[-1]) if xs and ys else 0)
+
+
+def _size(x: Element, y: Element, known: Sizes) -> int:
+    """Of the greatest matching of two elements; none of unlike ones."""
+    if x.shape == y.shape:
+        return x.weight * (PAIR + 1)
+    return known[x.shape, y.shape] if x.key == y.key else 0
 
 
-def _paired(xs: list[Element], ys: list[Element]) -> list[tuple[Element, Element]]:
-    few = len(xs) * len(ys) <= FEW_CELLS and [x.key for x in xs] != [y.key for y in ys]
-    low = 0
-    while not few and low < min(len(xs), len(ys)) and xs[low].key == ys[low].key:
+def _trimmed(xs: list[Element], ys: list[Element]) -> tuple[list[Element], list[Element], list[Element]]:
+    """Equal children at both ends, which a greatest matching may pair up, and what is between them of each list."""
+    low = high = 0
+    least = min(len(xs), len(ys))
+    while low < least and xs[low].shape == ys[low].shape:
         low += 1
-    high = 0
-    while not few and high < min(len(xs), len(ys)) - low and xs[-1 - high].key == ys[-1 - high].key:
+    while high < least - low and xs[-1 - high].shape == ys[-1 - high].shape:
         high += 1
-    out = list(zip(xs[:low], ys[:low], strict=True))
-    if high:
-        out += zip(xs[-high:], ys[-high:], strict=True)
-    xs, ys = xs[low : len(xs) - high], ys[low : len(ys) - high]
-    if not xs or not ys:
-        return out
-    if len(xs) * len(ys) > CELLS:
-        at = 0
-        for x in xs:
-            found = next((i for i in range(at, len(ys)) if ys[i].key == x.key), None)
-            if found is not None:
-                out.append((x, ys[found]))
-                at = found + 1
-        return out
-    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-    for i, x in enumerate(xs, 1):
-        row, above = best[i], best[i - 1]
-        for j, y in enumerate(ys, 1):
-            row[j] = max(above[j], row[j - 1], above[j - 1] + min(x.weight, y.weight) if x.key == y.key else 0)
-    i, j = len(xs), len(ys)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            out.append((xs[i - 1], ys[j - 1]))
-            i, j = i - 1, j - 1
+    return xs[:low] + xs[len(xs) - high :], xs[low : len(xs) - high], ys[low : len(ys) - high]
+
+
+def _rows(xs: list[Element], ys: list[Element], known: Sizes) -> Iterator[np.ndarray]:
+    """Rows of the dynamic program: the greatest sizes for the first children of xs and each beginning of ys."""
+    row = np.zeros(len(ys) + 1, np.int64)
+    yield row
+    weights: dict[int, np.ndarray] = {}
+    for x in xs:
+        if x.shape not in weights:
+            weights[x.shape] = np.array([_size(x, y, known) for y in ys], np.int64)
+        row = row.copy()
+        np.maximum(row[1:], row[:-1] + weights[x.shape], out=row[1:])
+        row = np.maximum.accumulate(row)
+        yield row
+
+
+def _last(xs: list[Element], ys: list[Element], known: Sizes) -> np.ndarray:
+    for row in _rows(xs, ys, known):
+        last = row
+    return last
+
+
+def _paired(xs: list[Element], ys: list[Element], known: Sizes) -> list[tuple[Element, Element]]:
+    """The pairs of a greatest matching of two lists of children, whose sizes are known."""
+    out: list[tuple[Element, Element]] = []
+    todo = [(xs, ys)]
+    while todo:
+        xs, ys = todo.pop()
+        equal, x, y = _trimmed(xs, ys)
+        low = next((i for i, (c, d) in enumerate(zip(xs, ys, strict=False)) if c.shape != d.shape), min(len(xs), len(ys)))
+        high = len(equal) - low
+        out += zip(xs[:low], ys[:low], strict=True)
+        out += zip(xs[len(xs) - high :], ys[len(ys) - high :], strict=True)
+        xs, ys = x, y
+        if not xs or not ys:
+            continue
+        if len(xs) * len(ys) > CELLS and len(xs) > 1:  # Hirschberg: where the greatest matching cuts ys below half of xs
+            half = len(xs) // 2
+            cut = int(np.argmax(_last(xs[:half], ys, known) + _last(xs[half:][::-1], ys[::-1], known)[::-1]))
+            todo += [(xs[:half], ys[:cut]), (xs[half:], ys[cut:])]
+            continue
+        best = list(_rows(xs, ys, known))
+        i, j = len(xs), len(ys)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                out.append((xs[i - 1], ys[j - 1]))
+                i, j = i - 1, j - 1
     return out
 
 

@@ -44,6 +44,7 @@ class References:
 
     def __init__(self):
         self.trees: dict[str, dom.Element] = {}
+        self.known: dom.Sizes = {}
 
     def get(self, page: str) -> dom.Element:
         if page not in self.trees:
@@ -53,10 +54,10 @@ class References:
         return self.trees[page]
 
 
-def aligned(page: str, reference: dom.Element) -> list[tuple[dom.Block, int]]:
+def aligned(page: str, reference: dom.Element, known: dom.Sizes | None = None) -> list[tuple[dom.Block, int]]:
     """The blocks of a page, each with the number of the reference's element that its element matches, or -1."""
     tree = dom.parse(page)
-    pairs = dom.match(tree, reference)
+    pairs = dom.match(tree, reference, known)
     return [(x, pairs.get(x.element.number, -1)) for x in dom.blocks(tree)]
 
 
@@ -83,7 +84,7 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (x["host"], page := _hash(x["html"])) in seen:
                 continue
             seen.add((x["host"], page))
-            for block, slot in aligned(x["html"], references.get(x["reference"])):
+            for block, slot in aligned(x["html"], references.get(x["reference"]), references.known):
                 if slot >= 0:
                     counts[x["host"], slot, _hash(block.text), page] = 1
         yield rows()
@@ -116,7 +117,7 @@ def extract(pages: DataFrame, page_host: Column | None = None) -> DataFrame:
             rows = zip(html, reference, template.to_pylist(), strict=True)
             out = []
             for page, ref, slots in rows:
-                found = aligned(page.as_py(), references.get(ref.as_py() or ""))
+                found = aligned(page.as_py(), references.get(ref.as_py() or ""), references.known)
                 out.append(main_text(found, {s["slot"]: s["text"] for s in slots or ()}))
             yield pa.array(out, pa.string())
 

@@ -172,3 +172,35 @@ def test_tree_matching_prefers_the_heavier_pairing():
     pairs = dom.match(a, b)
     second = a.children[1]
     assert pairs[second.number] == b.children[0].number and len(pairs) == 5
+
+
+def test_tree_matching_weighs_what_matches_below():
+    """A large content block of other elements does not take the place of the notice behind or before it."""
+    notice, content = "<div><p>n<b>1</b></div>", "<div><h2>t</h2><ul><li>1<li>2<li>3</ul></div>"
+    for page, reference, place in ((content + notice, notice, (1, 0)), (notice, content + notice, (0, 1))):
+        a, b = dom.parse(page), dom.parse(reference)
+        assert dom.match(a, b)[a.children[place[0]].number] == b.children[place[1]].number
+
+
+def test_tree_matching_is_greatest_at_every_length(monkeypatch):
+    def size(a, b):
+        if a.key != b.key:
+            return 0
+        best = [[0] * (len(b.children) + 1) for _ in range(len(a.children) + 1)]
+        for i, x in enumerate(a.children, 1):
+            for j, y in enumerate(b.children, 1):
+                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + size(x, y))
+        return 1 + best[-1][-1]
+
+    rng = np.random.default_rng(8)
+
+    def tree(depth):
+        tag = rng.choice(["div", "ul", "h2"])
+        return f"<{tag}>{''.join(tree(depth - 1) for _ in range(rng.integers(0, 5)))}</{tag}>" if depth else "<h2></h2>"
+
+    for cells in (dom.CELLS, 4):
+        monkeypatch.setattr(dom, "CELLS", cells)
+        for _ in range(60):
+            a, b = (dom.parse("".join(tree(2) for _ in range(8))) for _ in range(2))
+            pairs = dom.match(a, b)
+            assert len(pairs) == len(set(pairs.values())) == size(a, b)
