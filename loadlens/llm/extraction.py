@@ -2,12 +2,13 @@
 
 The pages of a host are aligned with one page of that host, its reference, by simple tree matching of their DOM trees.
 A block that stands at the same element of the reference with the same text on most of the host's different pages is
-template; an element whose text varies is a slot, and its text is content. Menus, headers, footers, sidebars, notices,
+template; so is one with the same text below the same path of elements, whether the reference has it or not. An element
+whose text varies is a slot, and its text is content. Menus, headers, footers, sidebars, notices,
 adverts, forms and comments that HTML itself marks (by element, class, id or role) are left out before.
 
 Scale: one pass over all pages aligns them and gives, per element and text, the number of different pages, combined in
 the tasks and before the shuffle; a host with a third of all pages adds only counts. What a host learns is one row:
-its reference and the template's elements, bounded by the reference page. The second pass joins pages with their host's
+its reference and the template's blocks, which are on most pages and so no more than a page or two holds. The second pass joins pages with their host's
 row and extracts.
 
 * null html: empty text; null url: the pages without a host share one wrapper
@@ -19,7 +20,7 @@ row and extracts.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -61,9 +62,15 @@ def aligned(page: str, reference: dom.Element, known: dom.Sizes | None = None) -
     return [(x, pairs.get(x.element.number, -1)) for x in dom.blocks(tree)]
 
 
-def main_text(found: list[tuple[dom.Block, int]], template: dict[int, int]) -> str:
+def keys(block: dom.Block, slot: int) -> list[tuple[int, int]]:
+    """What a template knows the block by: its slot and text; and, as slot -1, its path and text."""
+    by_path = (-1, _hash(f"{block.element.path} {block.text}"))
+    return [by_path] if slot < 0 else [by_path, (slot, _hash(block.text))]
+
+
+def main_text(found: list[tuple[dom.Block, int]], template: Collection[tuple[int, int]]) -> str:
     """Blocks that are not template: those in articles, else in main, else all that are not mostly links."""
-    left = [x for x, slot in found if slot < 0 or template.get(slot) != _hash(x.text)]
+    left = [x for x, slot in found if not any(k in template for k in keys(x, slot))]
     inner = [x for x in left if x.in_article] or [x for x in left if x.in_main]
     if not inner:
         inner = [x for x in left if 2 * x.linked <= len(x.text)]
@@ -85,8 +92,8 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             seen.add((x["host"], page))
             for block, slot in aligned(x["html"], references.get(x["reference"]), references.known):
-                if slot >= 0:
-                    counts[x["host"], slot, _hash(block.text), page] = 1
+                for key in keys(block, slot):
+                    counts[x["host"], *key, page] = 1
         yield rows()
         counts.clear()
 
@@ -118,7 +125,7 @@ def extract(pages: DataFrame, page_host: Column | None = None) -> DataFrame:
             out = []
             for page, ref, slots in rows:
                 found = aligned(page.as_py(), references.get(ref.as_py() or ""), references.known)
-                out.append(main_text(found, {s["slot"]: s["text"] for s in slots or ()}))
+                out.append(main_text(found, {(s["slot"], s["text"]) for s in slots or ()}))
             yield pa.array(out, pa.string())
 
     return own.join(learned, "host", "left").select("page_id", "url", text("html", "reference", "template").alias("text"))

@@ -288,6 +288,17 @@ def test_constant_slots_of_a_host_are_template(spark):
     assert all(got[100 + i] == "Welcome\n\nTitle 0\n\nText 0 <here>\n\nRead more news\n\n0" for i in range(8))  # copies teach nothing
 
 
+def test_template_blocks_that_the_reference_lacks(spark):
+    """Whichever page is the reference: an empty one, or one without the block that all others have."""
+    page = "<body><div><h1>Title {i}</h1><p>Text {i}</p></div><section><p>Read more news</p></section>"
+    bare = "<body><div><h1>Title {i}</h1><p>Text {i}</p></div>"
+    ready(spark)
+    own = [(i, page.format(i=i)) for i in range(12)]
+    rows = [(i, f"http://h{k}.example/", html) for k in range(40) for i, html in [*own, (100, bare.format(i=100 + k)), (101, "" if k % 2 else f"<!-- {k}")]]
+    got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {(r["page_id"], r["text"]) for r in got if r["page_id"] < 100} == {(i, f"Title {i}\n\nText {i}") for i in range(12)}
+
+
 @pytest.mark.parametrize(
     ("url", "expected"),
     [
