@@ -69,11 +69,15 @@ def keys(block: dom.Block, slot: int) -> list[tuple[int, int]]:
 
 
 def main_text(found: list[tuple[dom.Block, int]], template: Collection[tuple[int, int]]) -> str:
-    """Blocks that are not template: those in articles, else in main, else all that are not mostly links."""
+    """Blocks that are not template: those in articles if they hold most of the text, else those in main if they do, else
+    all; outside of articles and main only those that are not mostly links. Linked text does not count."""
     left = [x for x, slot in found if not any(k in template for k in keys(x, slot))]
-    inner = [x for x in left if x.in_article] or [x for x in left if x.in_main]
-    if not inner:
-        inner = [x for x in left if 2 * x.linked <= len(x.text)]
+    size = lambda some: sum(max(0, len(x.text) - x.linked) for x in some)
+    for inner in ([x for x in left if x.in_article], [x for x in left if x.in_main]):
+        if inner and 2 * size(inner) >= size(left):
+            break
+    else:
+        inner = [x for x in left if x.in_article or x.in_main or 2 * x.linked <= len(x.text)]
     return "\n\n".join(x.text for x in inner)
 
 

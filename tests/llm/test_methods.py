@@ -174,6 +174,15 @@ def test_tree_matching_prefers_the_heavier_pairing():
     assert pairs[second.number] == b.children[0].number and len(pairs) == 5
 
 
+def test_articles_that_are_teasers_do_not_hide_the_text():
+    cards = "<article><a href=x>More</a> news</article>" * 2
+    text = "<p>The text of the page itself, which is longer than its cards.</p>"
+    for page in (text + cards, f"<main><p>Short.</p></main>{text}{cards}"):
+        assert "longer than its cards" in extraction.main_text(extraction.aligned(page, dom.parse("")), {})
+    own = extraction.main_text(extraction.aligned(f"<p>Short.</p><article>{text}</article>", dom.parse("")), {})
+    assert own == "The text of the page itself, which is longer than its cards."
+
+
 def test_tree_matching_weighs_what_matches_below():
     """A large content block of other elements does not take the place of the notice behind or before it."""
     notice, content = "<div><p>n<b>1</b></div>", "<div><h2>t</h2><ul><li>1<li>2<li>3</ul></div>"
