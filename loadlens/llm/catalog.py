@@ -8,10 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import bpe, cover_tree, extraction, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
+from loadlens.llm import (
+    bpe,
+    cover_tree,
+    extraction,
+    mixing,
+    negatives,
+    packing,
+    pivots,
+    quality,
+    repeats,
+    simhash,
+    spelling,
+    token_counts,
+    url_rules,
+)
 from loadlens.llm.shared import ready
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +105,20 @@ def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
+    return packed.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": simhash_near_dedup,
     "op2_unigram_token_counts": unigram_token_counts,
@@ -101,6 +130,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": url_filter,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_repeated_bytes": repeated_bytes,
+    "op11_best_fit_packing": best_fit_packing,
+    "op12_spelling_variants": spelling_variants,
+    "op13_hard_negatives": hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -197,4 +229,64 @@ cut AS (
 SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM docs LEFT JOIN cut USING (row)""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE ascii AS (
+  SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+runs AS (
+  SELECT doc_id, r, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(t, '[A-Za-zÀ-ÿ]+')) AS r FROM ascii) GROUP BY doc_id, r),
+bits(b, step, x) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL
+  SELECT b, step + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END FROM bits WHERE step < 8),
+steps AS (
+  SELECT list(x ORDER BY b) AS t FROM bits WHERE step = 8),
+keyed AS (
+  SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || r)) AS k FROM runs),
+hashed AS (
+  SELECT r, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(k), 2), lambda i: ('0x' || substr(k, i, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, steps.t[(xor(c, b) & 255) + 1]))) AS h FROM keyed, steps),
+shown AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, n FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM shown WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (
+  SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM places),
+gaps AS (
+  SELECT word, n, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS k FROM places),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gaps AS a JOIN gaps AS b ON a.k = b.k AND a.word <> b.word UNION ALL
+  SELECT a.word, a.n, b.word, b.n FROM cut AS a JOIN words AS b ON a.k = b.word UNION ALL
+  SELECT b.word, b.n, a.word, a.n FROM cut AS a JOIN words AS b ON a.k = b.word),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM pairs),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN near_n >= 2 * words.n THEN near END AS form, CASE WHEN near_n >= 2 * words.n THEN near_n END::BIGINT AS form_n
+  FROM words LEFT JOIN ranked ON words.word = ranked.word AND place = 1),
+chains AS (
+  SELECT word, word AS at FROM forms UNION ALL
+  SELECT chains.word, forms.form FROM chains JOIN forms ON chains.at = forms.word WHERE forms.form IS NOT NULL),
+ends AS (
+  SELECT chains.word, chains.at AS root FROM chains JOIN forms ON chains.at = forms.word WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)""",
+    "op13_hard_negatives": r"""
+WITH v AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.w, b.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.row <> b.row AND len(a.w) = len(b.w)),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) AS nth FROM scored WHERE same) WHERE nth <= 5),
+mined AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor, p.nth ORDER BY n.score DESC, n.vec_id, n.row))::INTEGER AS rank
+  FROM positives AS p JOIN scored AS n ON p.anchor = n.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT * FROM mined WHERE rank <= 5""",
 }
