@@ -36,7 +36,12 @@ NONE = -(2**63)
 
 
 def _even(a: np.ndarray) -> np.ndarray:
-    return np.pad(a, [(0, n % 2) for n in a.shape]) if any(n % 2 for n in a.shape) else a
+    """``a`` with a row and a column of zeros where their number is odd."""
+    if not any(n % 2 for n in a.shape):
+        return a
+    out = np.zeros([n + n % 2 for n in a.shape], a.dtype)
+    out[: a.shape[0], : a.shape[1]] = a
+    return out
 
 
 def strassen(a: np.ndarray, b: np.ndarray, leaf: int = LEAF) -> np.ndarray:
