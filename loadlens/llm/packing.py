@@ -4,11 +4,13 @@ Each text becomes the ids of a ``tokenizers`` file and an end id. A document lon
 sequences and, where something is left over, a shorter first piece; no other document is cut. Whole pieces are sequences
 of their own. The others are packed by their lengths: tasks count the pieces of each length, the counts (at most ``room``
 rows, whatever the table) go to the search of ``bin_completion``, and each piece finds its place from its length and its
-rank among the pieces of that length. Ranks come from counts per length and hash bucket, so the pieces of a frequent
-length are spread over many tasks. Token ids are made once and written; they are shuffled once, to be ranked.
+rank among the pieces of that length. A frequent length is ranked in hash buckets, by counts of the buckets before, so its
+pieces are spread over many tasks. Token ids are made once and written; they are shuffled once, to be ranked.
 
 * null or empty text: the end id alone, a piece of length 1
-* long texts are cut for the tokenizer only where no match of its split can lie, which changes no id
+* the tokenizer splits a text into pre-tokens, whose ids do not depend on each other, so each different one is encoded once
+  in a process. Texts of Latin letters and common signs are split here; others are given to the tokenizer as they are
+* long texts are cut only where no match of the split can lie, which changes no id
 * strings of special tokens in a text are ordinary text
 * repeated rows are documents of their own; ties of equal length are settled by the row's place in the written table
 * extra columns do not matter: those in ``keep`` come back inside the struct ``row``; an empty table gives no rows
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -33,26 +36,59 @@ from loadlens.llm.bpe import pieces
 from loadlens.llm.shared import stored
 
 ROOM, END = 2_048, 0
-#: Characters that the tokenizer is given at a time; its results take some hundred bytes a token.
+#: Characters that are split or given to the tokenizer at a time; its results take some hundred bytes a token.
 CHUNK_CHARS = 32_768
-#: Pieces of a hash bucket, roughly.
-BUCKET_ROWS = 100_000
+#: Characters of the pre-tokens that a process keeps; then it forgets them all.
+KNOWN_CHARS = 8_000_000
+#: Pieces of one length that are ranked together, roughly.
+BUCKET_ROWS = 500
 
 _PIECES = "array<struct<piece:int,start:long,length:long,ids:binary>>"
 
 
-@functools.lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a file, once in each Python process; its threads are off, as Spark has a task for each core."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+#: Letters, numbers and all characters of texts that are split here; what they are has not changed between Unicode versions.
+_LETTER, _NUMBER, _PLAIN = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r -~¡-ɏ"
+_SPLIT = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
+)
+_OTHER = re.compile(rf"[^{_PLAIN}]")
+
+
+class Encoder(dict):
+    """Ids of texts as bytes; the ids of pre-tokens met before are kept, up to ``KNOWN_CHARS`` characters of them."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        self.made = Tokenizer.from_file(path)
+        self.made.encode_special_tokens = True
+        self.model, self.chars = self.made.model, 0
+        shown = self.made.pre_tokenizer.pre_tokenize_str
+        #: how the tokenizer writes the bytes of a character for its model
+        self.written = {i: shown(chr(i))[0][0] for i in range(0x250) if not _OTHER.match(chr(i))}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word.translate(self.written))])
+        self.chars += len(word)
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str | None) -> bytes:
+        found = []
+        for x in pieces(text or "", CHUNK_CHARS):
+            if self.chars > KNOWN_CHARS:
+                self.clear()
+                self.chars = 0
+            if _OTHER.search(x):
+                found.append(np.array(self.made.encode(x, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                found.extend(map(self.__getitem__, _SPLIT.findall(x)))
+        return b"".join(found)
 
 
-def encode_text(made: Tokenizer, text: str | None) -> np.ndarray:
-    found = [made.encode(x, add_special_tokens=False).ids for x in pieces(text or "", CHUNK_CHARS)]
-    return np.concatenate([np.array(x, "<u4") for x in found])
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, once in each Python process."""
+    return Encoder(path)
 
 
 def cut(ids: np.ndarray, room: int) -> list[dict]:
@@ -67,13 +103,13 @@ def tokenized(text: Column, path: str, room: int = ROOM, end: int = END) -> Colu
     """Array column: the pieces of ``text`` with their ids as little-endian unsigned 32-bit integers."""
 
     @F.arrow_udf(_PIECES)
-    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder, last = tokenizer(path), np.array([end], "<u4")
+    def cut_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        made, last = encoder(path), np.array([end], "<u4").tobytes()
         kind = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())]))
         for batch in batches:
-            yield pa.array((cut(np.concatenate([encode_text(encoder, x.as_py()), last]), room) for x in batch), kind)
+            yield pa.array((cut(np.frombuffer(made.encode(x.as_py()) + last, "<u4"), room) for x in batch), kind)
 
-    return made(text)
+    return cut_up(text)
 
 
 def _placer(plan: list[tuple[bin_completion.Filling, int]]):
@@ -108,16 +144,17 @@ def place(items: DataFrame, room: int = ROOM, steps: int = bin_completion.STEPS,
     """Adds sequence_id and offset to a written table of items with (item long, unique; length long, 1 to ``room``)."""
     whole = items.where(F.col("length") == room)
     parts = items.where(F.col("length") < room)
-    buckets = max(1, -(-parts.count() // bucket_rows))
-    parts = parts.withColumn("_bucket", F.pmod(F.xxhash64("item"), F.lit(buckets)).cast("int"))
-    counts = parts.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    counts = stored(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))), "lengths")
     # at most one row for each length below room
-    found = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    found = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     placed = _placer(bin_completion.pack(found, room, steps))
+    buckets = items.sparkSession.createDataFrame([(x, -(-n // bucket_rows)) for x, n in found.items()], "length long, _buckets long")
+    bucket = F.pmod(F.xxhash64("item"), F.col("_buckets")).alias("_bucket")
+    parts = parts.join(F.broadcast(buckets), "length").select(*items.columns, bucket)
+    counts = parts.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     nth = F.row_number().over(W.partitionBy("length", "_bucket").orderBy("item")) - 1
-    ranked = parts.withColumn("_nth", nth).join(counts.drop("_n"), ["length", "_bucket"])
+    ranked = parts.withColumn("_nth", nth).join(counts, ["length", "_bucket"])
     ranked = ranked.withColumn("_place", placed(F.col("length"), F.col("_before") + F.col("_nth")))
     parts = ranked.select(*items.columns, "_place.sequence_id", "_place.offset")
     return parts.unionByName(whole.select("*", (-1 - F.col("item")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))

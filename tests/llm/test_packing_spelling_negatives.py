@@ -131,7 +131,7 @@ def test_packed_sequences_and_odd_texts(spark):
     packed = packing.pack(docs, catalog.TOKENIZER, keep=("doc_id", "length")).cache()
     rows = packed.collect()
     assert Counter(r["row"]["doc_id"] for r in rows if r["row"]["doc_id"] is not None) == Counter([1, 1, 2, 4])
-    made = packing.tokenizer(catalog.TOKENIZER)
+    made = packing.encoder(catalog.TOKENIZER).made
     whole = np.array([*made.encode(long, add_special_tokens=False).ids, 0], "<u4").tobytes()
     assert b"".join(bytes(r["ids"]) for r in sorted((r for r in rows if r["row"]["doc_id"] is None), key=lambda r: r["piece"])) == whole
     short = next(r for r in rows if r["row"]["doc_id"] == 4)
@@ -141,6 +141,20 @@ def test_packed_sequences_and_odd_texts(spark):
     packed.unpersist()
 
 
+def test_ids_are_those_of_the_library(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_CHARS", 200)
+    made = packing.Encoder(catalog.TOKENIZER)
+    rng = random.Random(4)
+    signs = ["a", "é", "ß", " ", "  ", "\n", "\t", "\r\n", "'s", "'ll", "'", "1", "²", "¼", "!", "-", "×", "<|endoftext|>", "word", "\x0b", "ɏ"]
+    other = [*signs, "\x85", "\xa0", "漢字", "\u2003", "😀", "\x1c", "é"]
+    for listed in (signs, other):
+        for _ in range(400):
+            text = "".join(rng.choice(listed) for _ in range(rng.randint(0, 60)))
+            assert np.frombuffer(made.encode(text), "<u4").tolist() == made.made.encode(text, add_special_tokens=False).ids
+    long = "".join(f"word{i % 977} and{i % 31}\n" for i in range(9_000))
+    assert np.frombuffer(made.encode(long), "<u4").tolist() == made.made.encode(long, add_special_tokens=False).ids
+
+
 # ---------------------------------------------------------------- 12
 
 
