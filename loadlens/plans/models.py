@@ -6,17 +6,28 @@ fill missing values, code categories, assemble, predict, bring the prediction ba
 
 from __future__ import annotations
 
+import functools
 import json
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.functions import columns as C
@@ -24,12 +35,16 @@ from loadlens.functions import constants as K
 from loadlens.functions.features import BASE_CATEGORICAL, BASE_NUMERIC
 from loadlens.operators.audit import long_values
 from loadlens.operators.quantiles import group_stats
-from loadlens.operators.rows import sample_n
-from loadlens.sources.shared import ensure_checkpoints, written_once
+from loadlens.operators.rows import numbered, permuted, sample_n
+from loadlens.plans.parallel import in_parallel
+from loadlens.sources.shared import ensure_checkpoints, removed_at_end, shared_dir, written_once
 
-LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
+LABEL, WEIGHT, FEATURES, FOLD = "_label", "_weight", "_features", "_fold"
 PLACE, INDEX, LEVEL = "__place", "__index", "__level"
+NUMBER = "_number"
 PRIOR_ROWS = 10
+#: Parts of the training rows; a row's level means come from the other parts.
+FOLDS = 5
 
 # ---------------------------------------------------------------- filling missing values (M3, M4)
 
@@ -102,61 +117,109 @@ def category_stages(categorical: Sequence[str], onehot: bool) -> tuple[list, lis
     """
     if not categorical:
         return [], []
-    place = [c + PLACE for c in categorical]
-    stages: list = [StringIndexer(inputCols=list(categorical), outputCols=place, handleInvalid="keep")]
     if not onehot:
         index = [c + INDEX for c in categorical]
-        return [*stages, LevelMeans(place, index)], index
+        return [LevelMeans(categorical, index)], index
+    place = [c + PLACE for c in categorical]
     level = [c + LEVEL for c in categorical]
-    # the last slot, dropped here, is the one the indexer added for unknown levels
-    stages.append(OneHotEncoder(inputCols=place, outputCols=level, dropLast=True))
+    stages = [
+        StringIndexer(inputCols=list(categorical), outputCols=place, handleInvalid="keep"),
+        # the last slot, dropped here, is the one the indexer added for unknown levels
+        OneHotEncoder(inputCols=place, outputCols=level, dropLast=True),
+    ]
     return stages, level
 
 
 class _LevelParams(Params):
-    inputCols = Param(Params._dummy(), "inputCols", "places of levels", TypeConverters.toListString)
+    inputCols = Param(Params._dummy(), "inputCols", "text columns", TypeConverters.toListString)
     outputCols = Param(Params._dummy(), "outputCols", "coded columns", TypeConverters.toListString)
 
 
-class LevelMeansModel(Model, _LevelParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Replaces the place of a level by the mean label learned for it."""
+class _LevelWriter(MLWriter):
+    """Parameters as usual, and the table of levels beside them."""
+
+    def __init__(self, model: LevelMeansModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.levels.write.parquet(f"{path}/levels")
+
+
+class _LevelReader(MLReader):
+    def load(self, path: str) -> LevelMeansModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = LevelMeansModel(self.sparkSession.read.parquet(f"{path}/levels"))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
+class LevelMeansModel(Model, _LevelParams, MLReadable, MLWritable):
+    """Replaces a level by the mean label learned for it, by a join with the table of levels.
 
-    means = Param(Params._dummy(), "means", "mean label per place and column, as JSON", TypeConverters.toString)
+    Rows with a ``FOLD`` column, as training rows have, get the mean of the rows of the other folds, so a row's own label
+    is never in its features. Levels are a table and never on the driver; Spark sends a small one to all tasks and shuffles
+    a large one. ``levels``: column, level, mean, and without: the mean without each fold.
+    """
+
+    overall = Param(Params._dummy(), "overall", "mean label, and without each fold", TypeConverters.toListFloat)
+
+    def __init__(self, levels: DataFrame):
+        super().__init__()
+        self.levels = levels
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        means = json.loads(self.getOrDefault(self.means))
-        new = {}
-        for place, coded in zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols), strict=True):
-            known = F.array(*[F.lit(float(m)) for m in means[place]])
-            overall = F.lit(float(means[""]))
-            new[coded] = F.coalesce(F.get(known, F.col(place).cast("int")), overall)
-        return df.withColumns(new)
+        overall = self.getOrDefault(self.overall)
+        other = F.get(F.array(*[F.lit(float(m)) for m in overall[1:]]), F.col(FOLD)) if FOLD in df.columns else F.lit(float(overall[0]))
+        for column, coded in zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols), strict=True):
+            own = self.levels.where(F.col("column") == column).select(F.col("level").alias(column), F.col("mean").alias("_mean"), F.col("without").alias("_without"))
+            mean = F.get("_without", F.col(FOLD)) if FOLD in df.columns else F.col("_mean")
+            df = df.join(own, column, "left").withColumn(coded, F.coalesce(mean, other)).drop("_mean", "_without")
+        return df
+
+    def write(self) -> MLWriter:
+        return _LevelWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _LevelReader()
 
 
 class LevelMeans(Estimator, _LevelParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Learns the mean label of every level, drawn towards the overall mean by ``PRIOR_ROWS`` rows."""
+    """Learns the mean label of every level, drawn towards the overall mean by ``PRIOR_ROWS`` rows.
+
+    The table of levels is written to the shared folder. Sums come from one aggregate per level, column and fold, combined
+    in each task, so a level with a third of all rows costs a row per task.
+    """
 
-    def __init__(self, places: Sequence[str] = (), coded: Sequence[str] = ()):
+    def __init__(self, columns: Sequence[str] = (), coded: Sequence[str] = ()):
         super().__init__()
-        self._set(inputCols=list(places), outputCols=list(coded))
+        self._set(inputCols=list(columns), outputCols=list(coded))
 
     def _fit(self, df: DataFrame) -> LevelMeansModel:
-        places = self.getOrDefault(self.inputCols)
-        overall = df.agg(F.avg(LABEL)).first()[0] or 0.0
-        level = (
-            df.select(*places, LABEL)
-            .unpivot([LABEL], places, "column", "place")
-            .groupBy("column", "place")
-            .agg(((F.sum(LABEL) + PRIOR_ROWS * overall) / (F.count(LABEL) + PRIOR_ROWS)).alias("mean"))
-        )
-        means: dict = {"": overall, **{p: [] for p in places}}
-        # the levels are on the driver anyway, in the indexer
-        for r in level.orderBy("column", "place").collect():
-            own = means[r["column"]]
-            own.extend([overall] * (int(r["place"]) - len(own)))
-            own.append(r["mean"])
-        model = LevelMeansModel()
-        return model._set(inputCols=places, outputCols=self.getOrDefault(self.outputCols), means=json.dumps(means))
+        columns = self.getOrDefault(self.inputCols)
+        fold = F.col(FOLD) if FOLD in df.columns else F.lit(0)
+        folds = range(FOLDS)
+        total = df.agg(F.sum(LABEL), F.count(LABEL), *[f(F.when(fold == i, F.col(LABEL))) for i in folds for f in (F.sum, F.count)]).first()
+        mean = lambda s, n: (s or 0.0) / n if n else 0.0
+        overall = mean(*total[:2])
+        others = [mean((total[0] or 0.0) - (total[2 + 2 * i] or 0.0), total[1] - total[3 + 2 * i]) for i in folds]
+        level = df.select(*columns, LABEL, fold.alias("_f")).unpivot([LABEL, "_f"], list(columns), "column", "level").where("level is not null")
+        fold = F.col("_f")
+        sums = [f(F.when(fold == i, F.col(LABEL))).alias(f"{n}{i}") for i in folds for n, f in (("s", F.sum), ("n", F.count))]
+        found = level.groupBy("column", "level").agg(F.coalesce(F.sum(LABEL), F.lit(0.0)).alias("s"), F.count(LABEL).alias("n"), *sums)
+        drawn = lambda s, n, m: (s + PRIOR_ROWS * m) / (n + PRIOR_ROWS)
+        without = [drawn(F.col("s") - F.coalesce(f"s{i}", F.lit(0.0)), F.col("n") - F.col(f"n{i}"), others[i]) for i in folds]
+        levels = found.select("column", "level", drawn(F.col("s"), F.col("n"), overall).alias("mean"), F.array(*without).alias("without"))
+        model = LevelMeansModel(written_once(levels, "levels"))
+        return model._set(inputCols=list(columns), outputCols=self.getOrDefault(self.outputCols), overall=[overall, *others])
+
+
+def with_folds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Training rows with their fold, by a hash of ``columns``: rows that look alike are in one fold."""
+    return df.withColumn(FOLD, F.pmod(F.xxhash64(F.lit(11), *columns), F.lit(FOLDS)).cast("int"))
 
 
 def preparation(numeric: Sequence[str], categorical: Sequence[str], onehot: bool) -> Pipeline:
@@ -165,6 +228,20 @@ def preparation(numeric: Sequence[str], categorical: Sequence[str], onehot: bool
     return Pipeline(stages=[MissingFiller(numeric, categorical), *stages, assembler])
 
 
+def prepare(
+    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], onehot: bool = False, *more: str
+) -> tuple[PipelineModel, DataFrame]:
+    """The fitted stages, and the training rows as features, label and ``more``, dealt out as ``settled_rows`` does.
+
+    Level means of training rows come from other folds. Joins with levels may move rows between partitions, and learners
+    draw by partition, so the prepared rows are written and dealt out again where there are such joins.
+    """
+    folded = with_folds(rows, [*numeric, *categorical]) if categorical and not onehot else rows
+    prep = preparation(numeric, categorical, onehot).fit(folded)
+    prepared = prep.transform(folded).select(FEATURES, LABEL, *more)
+    return prep, prepared if folded is rows else settled_rows(prepared.withColumn(FEATURES, vector_to_array(FEATURES)), FEATURES)
+
+
 class RateOutput(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Last stage of a rate model: the prediction in dollars, floored at zero, helper columns dropped."""
 
@@ -253,17 +330,19 @@ def gbt(
 ROWS_PER_PART = 100_000
 
 
-def settled_rows(rows: DataFrame) -> DataFrame:
+def settled_rows(rows: DataFrame, vector: str | None = None) -> DataFrame:
     """Engineered rows, written once to the shared folder and dealt out by a hash of their content.
 
     Fills, levels and learners pass over the rows many times; joins and features are then done once, and a lost executor
-    costs a re-read. Learners draw rows by partition and order, which are the same on any number of cores.
+    costs a re-read. Learners draw rows by partition and order, which are the same on any number of cores. ``vector`` names an array
+    column that becomes a vector.
     """
     ensure_checkpoints(rows.sparkSession)
     written = written_once(rows, "training")
     parts = max(8, -(-written.count() // ROWS_PER_PART))
     key = F.xxhash64(*written.columns)
-    return written.repartition(parts, key).sortWithinPartitions(key, *written.columns)
+    dealt = written.repartition(parts, key).sortWithinPartitions(key, *written.columns)
+    return dealt if vector is None else dealt.withColumn(vector, array_to_vector(vector))
 
 
 def fit_learner(prepared: DataFrame, learner: Estimator, bins: int = 256) -> Model:
@@ -290,12 +369,17 @@ def fit_rate_model(
     target: str = K.TARGET,
     alpha: float | None = None,
     solver: str = "normal",
+    fit: Callable[[DataFrame], Model] | None = None,
+    settle: bool = True,
 ) -> PipelineModel:
-    """Fit a rate model on engineered rows (M6-M11). ``alpha`` and ``solver`` ask for ridge instead of a learner."""
-    rows = settled_rows(labeled(train, target, log_target).select(*numeric, *categorical, LABEL))
-    prep = preparation(numeric, categorical, onehot).fit(rows)
-    prepared = prep.transform(rows).select(FEATURES, LABEL)
-    model = fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha, solver=solver))
+    """Fit a rate model on engineered rows (M6-M11). ``alpha`` and ``solver`` ask for ridge instead of a learner.
+
+    ``fit`` replaces the learner's own fit on prepared rows, as the fits of ``rounds`` do. ``settle=False`` is for rows that
+    are stored already and need not be written once more.
+    """
+    rows = labeled(train, target, log_target).select(*numeric, *categorical, LABEL)
+    prep, prepared = prepare(settled_rows(rows) if settle else rows, numeric, categorical, onehot)
+    model = fit(prepared) if fit else fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha, solver=solver))
     return PipelineModel([*prep.stages, model, RateOutput(log_target)])
 
 
@@ -317,13 +401,13 @@ def fit_high_rate_classifier(
     onehot: bool = False,
     target: str = K.TARGET,
     threshold: float = K.HIGH_RATE,
+    fit: Callable[[DataFrame], Model] | None = None,
 ) -> PipelineModel:
-    """Probability that a load is high-rate, classes balanced."""
+    """Probability that a load is high-rate, classes balanced (M12). ``fit`` replaces the learner's own fit."""
     rows = C.without_nan(train, target).where(F.col(target).isNotNull()).withColumn(LABEL, C.flag(F.col(target) >= threshold).cast("double"))
     rows = with_balanced_weights(settled_rows(rows.select(*numeric, *categorical, LABEL)))
-    prep = preparation(numeric, categorical, onehot).fit(rows)
-    prepared = prep.transform(rows).select(FEATURES, LABEL, WEIGHT)
-    model = fit_learner(prepared, learner or rf_classifier())
+    prep, prepared = prepare(rows, numeric, categorical, onehot, WEIGHT)
+    model = fit(prepared) if fit else fit_learner(prepared, learner or rf_classifier())
     return PipelineModel([*prep.stages, model, ProbabilityOutput()])
 
 
@@ -365,6 +449,31 @@ def aggregate_importance(importance: DataFrame, prefixes: Sequence[str] | None =
     )
 
 
+def _by_number(chosen: DataFrame, key: Sequence[str]) -> tuple[DataFrame, int, str]:
+    """Rows with their numbers as a table in buckets of the number, so that joins by number leave them where they are."""
+    spark = chosen.sparkSession
+    found = numbered(chosen, *key, name=NUMBER)
+    total = found.count()
+    buckets = max(8, -(-total // ROWS_PER_PART))
+    name, path = f"lens_numbers_{uuid.uuid4().hex}", f"{shared_dir(spark).rstrip('/')}/numbers-{uuid.uuid4().hex}"
+    found.repartition(buckets, NUMBER).write.option("path", path).bucketBy(buckets, NUMBER).sortBy(NUMBER).saveAsTable(name)
+    removed_at_end(spark, path)
+    return spark.table(name), total, name
+
+
+def trials(stored: DataFrame, total: int, column: str, repeats: int, seed: int) -> DataFrame:
+    """The numbered rows once for each repeat, with the values of ``column`` permuted.
+
+    Only the number and the value are shuffled: each value is sent to the number that the permutation of the column and the
+    repeat names.
+    """
+    sent = [
+        F.struct(F.lit(r).alias("repeat"), permuted(NUMBER, total, F.lit(f"{seed}|{column}|{r}")).alias("_to")) for r in range(1, repeats + 1)
+    ]
+    narrow = stored.select(F.col(column).alias("_donor"), F.inline(F.array(*sent))).select("repeat", F.col("_to").alias(NUMBER), "_donor")
+    return stored.join(narrow, NUMBER).withColumn(column, F.col("_donor")).drop("_donor")
+
+
 def permutation_importance(
     model: PipelineModel,
     df: DataFrame,
@@ -375,48 +484,33 @@ def permutation_importance(
     seed: int = 42,
     target: str = K.TARGET,
     scale: str = "rate",
-    groups: int = 256,
+    parallel: int = 4,
 ) -> DataFrame:
-    """Rise of the MAE when one column is shuffled, mean and deviation over repeats.
+    """Rise of the MAE when one column is permuted, mean and deviation over repeats.
 
-    All rows are scored, or an exact sample of ``n``. In each trial the rows fall into ``groups`` random groups by a hash
-    of their key, and within a group every row gets the value of the next one in a random order. So a trial is shuffled
-    by many tasks and no value stays where it was. ``scale='log'`` measures the error between logarithms.
+    All rows are scored, or an exact sample of ``n``. Rows are numbered in the order of ``key`` and stored once in buckets of
+    the number. A trial permutes the numbers by a keyed permutation and joins one column back: one shuffle of a number and
+    a value. All repeats of a column are one job, ``parallel`` of which run at a time; each returns a row per repeat.
+    ``scale='log'`` measures the error between logarithms.
     """
+    spark = df.sparkSession
     chosen = C.without_nan(df, target).where(F.col(target).isNotNull())
     chosen = (chosen if n is None else sample_n(chosen, n, key, seed)).select(*dict.fromkeys([*key, *cols, target]))
-    trials = F.array(
-        F.struct(F.lit(None).cast("string").alias("feature"), F.lit(0).alias("repeat")),
-        *[
-            F.struct(F.lit(c).alias("feature"), F.lit(r).alias("repeat"))
-            for c in cols
-            for r in range(1, repeats + 1)
-        ],
-    )
-    text = F.concat_ws("|", F.lit(str(seed)), "feature", F.col("repeat").cast("string"), *[F.col(k).cast("string") for k in key])
-    spread = chosen.select("*", F.inline(trials)).withColumn("_draw", F.md5(text.cast("binary")))
-    spread = spread.withColumn("_group", F.conv(F.substring("_draw", 1, 8), 16, 10).cast("long") % groups)
-    around = Window.partitionBy("feature", "repeat", "_group").orderBy("_draw", *key)
-    values = F.struct(*[F.col(c).alias(c) for c in cols])
-    first = F.first(values).over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    shuffled = spread.withColumn("_donor", F.coalesce(F.lead(values).over(around), first))
-    mixed = shuffled.select(
-        "feature",
-        "repeat",
-        target,
-        *[F.when(F.col("feature") == c, F.col("_donor")[c]).otherwise(F.col(c)).alias(c) for c in cols],
-    )
+    stored, total, name = _by_number(chosen, key)
     y, p = F.col(target), F.col(K.PREDICTION)
     error = F.abs(F.log1p(p) - F.log1p(y)) if scale == "log" else F.abs(p - y)
-    mae = model.transform(mixed).groupBy("feature", "repeat").agg(F.avg(error).alias("mae"))
-    base = F.max(F.when(F.col("feature").isNull(), F.col("mae"))).over(Window.partitionBy())
-    return (
-        mae.withColumn("rise", F.col("mae") - base)
-        .where(F.col("feature").isNotNull())
-        .groupBy("feature")
-        .agg(F.avg("rise").alias("importance_mean"), F.stddev_pop("rise").alias("importance_std"))
-        .orderBy(F.desc("importance_mean"), "feature")
-    )
+
+    def of(column: str) -> list[float]:
+        scored = model.transform(trials(stored, total, column, repeats, seed))
+        return [r["mae"] for r in scored.groupBy("repeat").agg(F.avg(error).alias("mae")).collect()]
+
+    base = model.transform(stored).agg(F.avg(error)).first()[0]
+    found = in_parallel(spark, [functools.partial(of, c) for c in cols], parallel, "permute")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rises = [(c, m - base) for c, maes in zip(cols, found, strict=True) for m in maes]
+    # one row for each column and repeat
+    out = spark.createDataFrame(rises, "feature string, rise double").groupBy("feature")
+    return out.agg(F.avg("rise").alias("importance_mean"), F.stddev_pop("rise").alias("importance_std")).orderBy(F.desc("importance_mean"), "feature")
 
 
 def settings(config: Sequence[float]) -> Mapping[str, float]:

@@ -35,9 +35,14 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    removed_at_end(spark, path)
+    return spark.read.parquet(path)
+
+
+def removed_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the application ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.parquet(path)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
