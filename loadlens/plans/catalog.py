@@ -5,9 +5,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +22,18 @@ from loadlens.functions.features import (
     refined_features,
 )
 from loadlens.operators import audit, buckets, evaluate, gates, rows, strategy, summary
-from loadlens.plans import history, models, scoring, validation
+from loadlens.plans import history, models, rounds, scoring, validation
 from loadlens.sources import domains, star
-from loadlens.sources.shared import shared_dir
-from loadlens.sources.tables import InputError, parse_dates, parse_numeric, read_checked, read_loads, write_table
+from loadlens.sources.shared import removed_at_end, shared_dir
+from loadlens.sources.tables import (
+    InputError,
+    parse_dates,
+    parse_numeric,
+    read_checked,
+    read_loads,
+    read_with_rescue,
+    write_table,
+)
 from loadlens.streaming import requests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +232,8 @@ def split_by_threshold(spark: SparkSession, sf: str) -> DataFrame:
 on_loads("drop_missing", lambda d: rows.drop_missing(d, "weight").groupBy("equipment").agg(F.count(F.lit(1)).alias("rows")))
 rows_of_loads("chronological", lambda d: rows.sort_by_date(d.select("date", "load_id", K.TARGET), "load_id", K.TARGET))
 rows_of_loads("hash_split", lambda d: rows.random_split(d)[1].select("load_id", K.TARGET))
+on_loads("sample_half", lambda d: rows.sample_n(d, d.count() // 2, SAMPLE_KEY).select(*SAMPLE_KEY))
+on_loads("numbered_rows", lambda d: rows.numbered(d, *SAMPLE_KEY).select("row_pos", *SAMPLE_KEY))
 on_loads("sample_n", lambda d: rows.sample_n(d, 2500, SAMPLE_KEY).select(*SAMPLE_KEY))
 rows_of_loads("top_rates",
     lambda d: rows.top_k(
@@ -557,6 +568,7 @@ def nan_audit(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- models
 
 # Settings of the registered model queries: whole tables, few trees. The library's defaults are full size.
+TUNING_SETTINGS = ["n_estimators", "learning_rate", "max_depth", "min_child_weight", "subsample", "colsample_bytree"]
 TRIAL_GBT = {"trees": 5, "rate": 0.3, "depth": 4}
 
 
@@ -757,10 +769,71 @@ def tuning(spark: SparkSession, sf: str) -> DataFrame:
 @query("rolling_validate")
 def rolling_validate(spark: SparkSession, sf: str) -> DataFrame:
     features = create_features(star.loads(spark, sf))
-    fit = lambda train: models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True)
+    fit = lambda train: models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True, settle=False)
     return validation.rolling_validate(features, fit, WINDOWS)[1]
 
 
+@query("level_means")
+def level_means(spark: SparkSession, sf: str) -> DataFrame:
+    """The table of levels that the training rows give: mean rate per level, drawn towards the overall mean."""
+    train = models.labeled(_split(spark, sf)[0])
+    coder = models.LevelMeans(["route", "equipment", "pickup"], ["a", "b", "c"]).fit(train)
+    return rounded(coder.levels.select("column", "level", "mean"), 4)
+
+
+@query("resumed_fit")
+def resumed_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Prediction files of a fit in rounds that was stopped after each round, and of the same fit without a stop."""
+    train, valid = rows.time_split(star.loads(spark, sf), SPLIT)
+    folder = f"{shared_dir(spark)}/rounds-{uuid.uuid4().hex}"
+    removed_at_end(spark, folder)
+    settings = {"trees": 6, "per_round": 2, "rate": 0.3, "depth": 4}
+
+    def whole(prepared: DataFrame) -> Model:
+        return rounds.boost(prepared, f"{folder}/whole", **settings)
+
+    def stopped(prepared: DataFrame) -> Model:
+        while True:
+            try:
+                return rounds.boost(prepared, f"{folder}/stopped", rounds=1, **settings)
+            except rounds.Stopped:
+                continue
+
+    fits = [models.fit_rate_model(create_features(train), log_target=True, fit=f) for f in (whole, stopped)]
+    return _differing(*[scoring.score(valid.drop(K.TARGET), m) for m in fits])
+
+
+@query("tuning_identity")
+def tuning_identity(spark: SparkSession, sf: str) -> DataFrame:
+    """All tuning configurations with a few trees, fitted at a time and one after another: settings, and equal metrics."""
+    train, valid = _split(spark, sf)
+    many, one = (validation.tune(train, valid, tree_share=0.003, parallel=p) for p in (15, 1))
+    both = many.alias("m").join(one.alias("o"), "config")
+    same = [F.abs(F.col(f"m.{c}") / F.col(f"o.{c}") - 1) < 1e-9 for c in ("MAE", "RMSE", "R2")]
+    return both.select("config", *[f"m.{c}" for c in TUNING_SETTINGS], (same[0] & same[1] & same[2]).alias("same_metrics"))
+
+
+def _formula(text: str) -> PipelineModel:
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {text} AS {K.PREDICTION} FROM __THIS__")])
+
+
+@query("permutation_by_formula")
+def permutation_by_formula(spark: SparkSession, sf: str) -> DataFrame:
+    """Permuting a column changes the error of a model exactly where the model reads that column."""
+    valid = _split(spark, sf)[1]
+    found = models.permutation_importance(_formula("300 + 1.8D * distance"), valid, key=SAMPLE_KEY, repeats=2)
+    return found.select("feature", (F.abs("importance_mean") > 1e-6).alias("read"))
+
+
+@query("importance_contract")
+def importance_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Native importances of a boosted model summed per column: the columns, and that they add up to 1."""
+    model = models.fit_rate_model(_split(spark, sf)[0], models.gbt(**TRIAL_GBT), log_target=True)
+    found = models.aggregate_importance(models.feature_importance(model, _split(spark, sf)[0]))
+    total = F.round(F.sum("importance").over(Window.partitionBy()), 9)
+    return found.select("feature_group", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
+
+
 # ---------------------------------------------------------------- scoring, batch and stream
 
 
@@ -799,6 +872,48 @@ def score_scenario(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.score_scenario(domains.scenario_frame(spark), model)
 
 
+@query("dead_letters")
+def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests with planted faults as a stream, drained twice: accepted and rejected rows by reason.
+
+    A formula stands for the model. Keys are missing and distances are unknown by part number; short hauls get no positive rate.
+    """
+    stream = _request_stream(spark, sf)
+    planted = {
+        K.KEY: F.when(F.col("quote_signal") < 0.72, None).otherwise(F.col(K.KEY)),
+        "distance": F.when(F.col("quote_signal") > 3.55, None).otherwise(F.col("distance")),
+    }
+    folder = f"{shared_dir(spark)}/letters-{uuid.uuid4().hex}"
+    removed_at_end(spark, folder)
+    for _ in range(2):
+        requests.run_with_dead_letters(
+            stream.withColumns(planted), _formula("1.8D * distance - 300"), f"{folder}/out", f"{folder}/bad", f"{folder}/checkpoint"
+        )
+    good = spark.read.parquet(f"{folder}/out").select(F.lit("accepted").alias("verdict"), F.col(K.PREDICTION).alias("rate"))
+    bad = spark.read.parquet(f"{folder}/bad").select(F.concat_ws(", ", "reasons").alias("verdict"), F.col(K.PREDICTION).alias("rate"))
+    both = good.unionByName(bad).groupBy("verdict").agg(F.count(F.lit(1)).alias("rows"), F.sum("rate").alias("total"))
+    return rounded(both, 2)
+
+
+@query("rescued_values")
+def rescued_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells that lenient parsing turns into NULL in a CSV copy of the loads with planted bad dates and numbers."""
+    path = f"{shared_dir(spark)}/bad-{uuid.uuid4().hex}"
+    removed_at_end(spark, path)
+    loads = star.loads(spark, sf).withColumns({"date": F.col("date").cast("string"), "weight": F.col("weight").cast("string")})
+    late = F.col("quote_signal") < 0.9
+    planted = {
+        "date": F.when(late, F.concat(F.lit("2001-13-0"), F.length("equipment").cast("string"))).otherwise(F.col("date")),
+        "weight": F.when(F.col("distance") > 2500, F.concat(F.col("equipment"), F.lit(" lb"))).otherwise(F.col("weight")),
+    }
+    loads.withColumns(planted).write.csv(path, header=True)
+    read, rescued = read_with_rescue(spark, path)
+    lost = rescued.groupBy("column", "value").agg(F.sum("count").alias("cells"))
+    kept = read.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).isNotNull().alias("kept")) for c in ("date", "weight")])))
+    kept = kept.where("kept").groupBy("column").agg(F.count(F.lit(1)).alias("cells"))
+    return lost.unionByName(kept.select("column", F.lit("(parsed)").alias("value"), "cells"))
+
+
 @query("score_stream")
 def score_stream(spark: SparkSession, sf: str) -> DataFrame:
     model = scoring.train_final(star.loads(spark, sf), learner=models.gbt(**TRIAL_GBT))

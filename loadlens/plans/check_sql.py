@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from loadlens.functions import constants as K
-from loadlens.functions.features import BASE_NUMERIC
+from loadlens.functions.features import BASE_CATEGORICAL, BASE_NUMERIC
 from loadlens.plans.catalog import INEXACT, LOAD_COLUMNS, RIDGE_COLUMNS, SAMPLE_KEY, SPLIT, WINDOWS
 
 LOADS = """loads AS (
@@ -452,6 +452,13 @@ SQL["hash_split"] = loads(
     "WHERE ('0x' || substr(md5('42|' || load_id), 1, 8))::BIGINT % 100 < 20"
 )
 _sample_text = " || '|' || ".join(["'42'", *[f"CAST({c} AS VARCHAR)" for c in SAMPLE_KEY]])
+SQL["sample_half"] = loads(
+    f"SELECT {', '.join(SAMPLE_KEY)} FROM (SELECT *, row_number() OVER (ORDER BY md5({_sample_text}), {', '.join(SAMPLE_KEY)}) AS place, "
+    "count(*) OVER () AS n FROM loads) WHERE place <= n // 2"
+)
+SQL["numbered_rows"] = loads(
+    f"SELECT row_number() OVER (ORDER BY {', '.join(SAMPLE_KEY)}) - 1 AS row_pos, {', '.join(SAMPLE_KEY)} FROM loads"
+)
 SQL["sample_n"] = loads(
     f"SELECT {', '.join(SAMPLE_KEY)} FROM loads ORDER BY md5({_sample_text}), {', '.join(SAMPLE_KEY)} LIMIT 2500"
 )
@@ -690,6 +697,41 @@ SQL["score_contract"] = loads(
     f"0::BIGINT AS not_cents FROM loads WHERE date >= DATE '{SPLIT}'"
 )
 SQL["saved_equals_fresh"] = loads(f"SELECT count(*) AS rows, 0::BIGINT AS differing FROM loads WHERE date >= DATE '{SPLIT}'")
+SQL["resumed_fit"] = SQL["saved_equals_fresh"]
+SQL["tuning_identity"] = union(
+    [
+        f"SELECT {i}::INTEGER AS config, {max(1, round(t * 0.003))}::INTEGER AS n_estimators, {lr}::DOUBLE AS learning_rate, {d}::INTEGER AS max_depth, "
+        f"{leaf}::INTEGER AS min_child_weight, {part}::DOUBLE AS subsample, {cols}::DOUBLE AS colsample_bytree, true AS same_metrics"
+        for i, (t, lr, d, leaf, part, cols) in enumerate(K.TUNING_CONFIGS, start=1)
+    ]
+)
+SQL["permutation_by_formula"] = union(
+    [f"SELECT '{c}' AS feature, {str(c == 'distance').lower()} AS read" for c in (*BASE_NUMERIC, *BASE_CATEGORICAL)]
+)
+SQL["importance_contract"] = union(
+    [f"SELECT '{c}' AS feature_group, true AS not_negative, 1.0::DOUBLE AS total" for c in (*BASE_NUMERIC, *BASE_CATEGORICAL)]
+)
+_levels = "SELECT {0!r} AS \"column\", {1} AS level, sum(posted_rate) AS s, count(*) AS n FROM early GROUP BY 2"
+SQL["level_means"] = loads(
+    f", early AS (SELECT * FROM loads WHERE date < DATE '{SPLIT}' AND posted_rate IS NOT NULL),\n"
+    "overall AS (SELECT avg(posted_rate) AS m FROM early),\nlevels AS ("
+    + union([_levels.format("route", ROUTE), _levels.format("equipment", "equipment"), _levels.format("pickup", "pickup")])
+    + ')\nSELECT "column", level, round((s + 10 * m) / (n + 10), 4) AS mean FROM levels, overall WHERE level IS NOT NULL'
+)
+SQL["dead_letters"] = loads(
+    """, asked AS (SELECT CASE WHEN quote_signal < 0.72 THEN NULL ELSE load_id END AS key,
+  CASE WHEN quote_signal > 3.55 THEN NULL ELSE round_even(greatest(1.8 * distance - 300, -1e9), 2) END AS rate FROM loads),
+judged AS (SELECT rate, concat_ws(', ', CASE WHEN key IS NULL THEN 'missing key' END,
+  CASE WHEN rate IS NULL THEN 'no finite prediction' END, CASE WHEN rate <= 0 THEN 'prediction not positive' END) AS reasons FROM asked)
+SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS verdict, count(*) AS rows, round(sum(rate), 2) AS total
+FROM judged GROUP BY 1"""
+)
+SQL["rescued_values"] = loads(
+    """, planted AS (SELECT CASE WHEN quote_signal < 0.9 THEN '2001-13-0' || length(equipment) END AS bad_date,
+  CASE WHEN distance > 2500 THEN equipment || ' lb' END AS bad_weight, date, weight FROM loads)
+SELECT 'date' AS "column", coalesce(bad_date, '(parsed)') AS value, count(*) AS cells FROM planted GROUP BY 1, 2 UNION ALL
+SELECT 'weight', coalesce(bad_weight, '(parsed)'), count(*) FROM planted WHERE bad_weight IS NOT NULL OR weight IS NOT NULL GROUP BY 1, 2"""
+)
 SQL["stream_equals_batch"] = loads("SELECT count(*) AS rows, 0::BIGINT AS differing FROM loads")
 SQL["rolling_identity"] = loads(
     union(

@@ -229,17 +229,18 @@ def preparation(numeric: Sequence[str], categorical: Sequence[str], onehot: bool
 
 
 def prepare(
-    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], onehot: bool = False, *more: str
+    rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], onehot: bool = False, *more: str, write: bool = True
 ) -> tuple[PipelineModel, DataFrame]:
     """The fitted stages, and the training rows as features, label and ``more``, dealt out as ``settled_rows`` does.
 
     Level means of training rows come from other folds. Joins with levels may move rows between partitions, and learners
-    draw by partition, so the prepared rows are written and dealt out again where there are such joins.
+    draw by partition, so the prepared rows are dealt out again where there are such joins; ``write=False`` joins them anew
+    in each pass instead of writing them.
     """
     folded = with_folds(rows, [*numeric, *categorical]) if categorical and not onehot else rows
     prep = preparation(numeric, categorical, onehot).fit(folded)
     prepared = prep.transform(folded).select(FEATURES, LABEL, *more)
-    return prep, prepared if folded is rows else settled_rows(prepared.withColumn(FEATURES, vector_to_array(FEATURES)), FEATURES)
+    return prep, prepared if folded is rows else settled_rows(prepared.withColumn(FEATURES, vector_to_array(FEATURES)), FEATURES, write)
 
 
 class RateOutput(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -330,7 +331,7 @@ def gbt(
 ROWS_PER_PART = 100_000
 
 
-def settled_rows(rows: DataFrame, vector: str | None = None) -> DataFrame:
+def settled_rows(rows: DataFrame, vector: str | None = None, write: bool = True) -> DataFrame:
     """Engineered rows, written once to the shared folder and dealt out by a hash of their content.
 
     Fills, levels and learners pass over the rows many times; joins and features are then done once, and a lost executor
@@ -338,7 +339,7 @@ def settled_rows(rows: DataFrame, vector: str | None = None) -> DataFrame:
     column that becomes a vector.
     """
     ensure_checkpoints(rows.sparkSession)
-    written = written_once(rows, "training")
+    written = written_once(rows, "training") if write else rows
     parts = max(8, -(-written.count() // ROWS_PER_PART))
     key = F.xxhash64(*written.columns)
     dealt = written.repartition(parts, key).sortWithinPartitions(key, *written.columns)
@@ -378,7 +379,7 @@ def fit_rate_model(
     are stored already and need not be written once more.
     """
     rows = labeled(train, target, log_target).select(*numeric, *categorical, LABEL)
-    prep, prepared = prepare(settled_rows(rows) if settle else rows, numeric, categorical, onehot)
+    prep, prepared = prepare(settled_rows(rows, write=settle), numeric, categorical, onehot, write=settle)
     model = fit(prepared) if fit else fit_learner(prepared, learner or ridge(prepared, 10.0 if alpha is None else alpha, solver=solver))
     return PipelineModel([*prep.stages, model, RateOutput(log_target)])
 
