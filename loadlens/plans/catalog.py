@@ -21,7 +21,7 @@ from loadlens.functions.features import (
     create_features,
     refined_features,
 )
-from loadlens.operators import audit, buckets, evaluate, gates, rows, strategy, summary
+from loadlens.operators import audit, buckets, evaluate, gates, incremental, rows, strategy, summary
 from loadlens.plans import history, models, rounds, scoring, validation
 from loadlens.sources import domains, star
 from loadlens.sources.shared import removed_at_end, shared_dir
@@ -232,6 +232,7 @@ def split_by_threshold(spark: SparkSession, sf: str) -> DataFrame:
 on_loads("drop_missing", lambda d: rows.drop_missing(d, "weight").groupBy("equipment").agg(F.count(F.lit(1)).alias("rows")))
 rows_of_loads("chronological", lambda d: rows.sort_by_date(d.select("date", "load_id", K.TARGET), "load_id", K.TARGET))
 rows_of_loads("hash_split", lambda d: rows.random_split(d)[1].select("load_id", K.TARGET))
+on_loads("scatter_grid", lambda d: rounded(buckets.scatter_grid(d, "distance", K.TARGET, key=SAMPLE_KEY)))
 on_loads("sample_half", lambda d: rows.sample_n(d, d.count() // 2, SAMPLE_KEY).select(*SAMPLE_KEY))
 on_loads("numbered_rows", lambda d: rows.numbered(d, *SAMPLE_KEY).select("row_pos", *SAMPLE_KEY))
 on_loads("sample_n", lambda d: rows.sample_n(d, 2500, SAMPLE_KEY).select(*SAMPLE_KEY))
@@ -895,6 +896,31 @@ def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(both, 2)
 
 
+@query("incremental_audit")
+def incremental_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit of a table that grew: the years before 1998 first, then the others, of which alone the second update reads."""
+    folder = f"{shared_dir(spark)}/grown-{uuid.uuid4().hex}"
+    removed_at_end(spark, folder)
+    loads = star.loads(spark, sf).withColumns({"load_year": F.year("date"), "load_month": F.month("date")})
+    read = []
+    for part in (loads.where("load_year < 1998"), loads.where("load_year >= 1998")):
+        part.repartition("load_year", "load_month").write.mode("append").partitionBy("load_year", "load_month").parquet(f"{folder}/loads")
+        read.append(len(incremental.update(spark, f"{folder}/loads", f"{folder}/state")))
+    report = incremental.audit(spark, f"{folder}/state").drop("position", "distinct_estimate")
+    return rounded(report, 4).withColumns({"read_first": F.lit(read[0]), "read_then": F.lit(read[1])})
+
+
+@query("incremental_values")
+def incremental_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Value counts of text columns from the states of the months."""
+    folder = f"{shared_dir(spark)}/grown-{uuid.uuid4().hex}"
+    removed_at_end(spark, folder)
+    loads = star.loads(spark, sf).select("pickup", "equipment", F.year("date").alias("load_year"), F.month("date").alias("load_month"))
+    loads.repartition("load_year", "load_month").write.partitionBy("load_year", "load_month").parquet(f"{folder}/loads")
+    incremental.update(spark, f"{folder}/loads", f"{folder}/state")
+    return incremental.value_counts(spark, f"{folder}/state")
+
+
 @query("rescued_values")
 def rescued_values(spark: SparkSession, sf: str) -> DataFrame:
     """Cells that lenient parsing turns into NULL in a CSV copy of the loads with planted bad dates and numbers."""

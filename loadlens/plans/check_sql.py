@@ -452,6 +452,15 @@ SQL["hash_split"] = loads(
     "WHERE ('0x' || substr(md5('42|' || load_id), 1, 8))::BIGINT % 100 < 20"
 )
 _sample_text = " || '|' || ".join(["'42'", *[f"CAST({c} AS VARCHAR)" for c in SAMPLE_KEY]])
+SQL["scatter_grid"] = loads(
+    f""", ends AS (SELECT min(distance) AS x0, max(distance) AS x1, min(posted_rate) AS y0, max(posted_rate) AS y1 FROM loads),
+placed AS (SELECT *, CASE WHEN x1 > x0 THEN least(floor((distance - x0) / (x1 - x0) * 32), 31) ELSE 0 END::INTEGER AS cell_x,
+  CASE WHEN y1 > y0 THEN least(floor((posted_rate - y0) / (y1 - y0) * 32), 31) ELSE 0 END::INTEGER AS cell_y
+  FROM loads, ends WHERE distance IS NOT NULL AND posted_rate IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY cell_x, cell_y ORDER BY md5({_sample_text}), {', '.join(SAMPLE_KEY)}) AS nth,
+  count(*) OVER (PARTITION BY cell_x, cell_y) AS cell_rows FROM placed)
+SELECT cell_x, cell_y, cell_rows, distance, round(posted_rate, 6) AS posted_rate FROM ranked WHERE nth <= 5"""
+)
 SQL["sample_half"] = loads(
     f"SELECT {', '.join(SAMPLE_KEY)} FROM (SELECT *, row_number() OVER (ORDER BY md5({_sample_text}), {', '.join(SAMPLE_KEY)}) AS place, "
     "count(*) OVER () AS n FROM loads) WHERE place <= n // 2"
@@ -726,6 +735,33 @@ judged AS (SELECT rate, concat_ws(', ', CASE WHEN key IS NULL THEN 'missing key'
 SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE reasons END AS verdict, count(*) AS rows, round(sum(rate), 2) AS total
 FROM judged GROUP BY 1"""
 )
+_months = "count(DISTINCT CASE WHEN year(date) {} 1998 THEN year(date) * 100 + month(date) END)::INTEGER"
+_state = (
+    "SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS missing, 0::BIGINT AS infinite, {neg} AS negative, {zero} AS zero, "
+    "{mean} AS mean, {std} AS std, {low} AS least, {high} AS greatest, {first} AS first, {last} AS last, "
+    + _months.format("<") + " AS read_first, " + _months.format(">=") + " AS read_then FROM loads"
+)
+SQL["incremental_audit"] = loads(
+    union(
+        [
+            _state.format(
+                c=c, neg=f"count(*) FILTER ({c} < 0)", zero=f"count(*) FILTER ({c} = 0)", mean=f"round(avg({c}), 4)",
+                std=f"round(stddev_samp({c}), 4)", low=f"round(min({c}), 4)", high=f"round(max({c}), 4)",
+                first="NULL::VARCHAR", last="NULL::VARCHAR",
+            )
+            if c in NUMERIC
+            else _state.format(
+                c=c, neg="0::BIGINT", zero="0::BIGINT", mean="NULL::DOUBLE", std="NULL::DOUBLE", low="NULL::DOUBLE", high="NULL::DOUBLE",
+                first=f"min({c})::VARCHAR", last=f"max({c})::VARCHAR",
+            )
+            for c in LOAD_COLUMNS
+        ]
+    )
+)
+SQL["incremental_values"] = loads(
+    "SELECT 'pickup' AS \"column\", pickup AS value, count(*) AS n FROM loads GROUP BY 2 UNION ALL "
+    "SELECT 'equipment', equipment, count(*) FROM loads GROUP BY 2"
+)
 SQL["rescued_values"] = loads(
     """, planted AS (SELECT CASE WHEN quote_signal < 0.9 THEN '2001-13-0' || length(equipment) END AS bad_date,
   CASE WHEN distance > 2500 THEN equipment || ' lb' END AS bad_weight, date, weight FROM loads)

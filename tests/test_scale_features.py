@@ -10,8 +10,8 @@ from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from loadlens.functions import constants as K
-from loadlens.functions.features import BASE_CATEGORICAL, BASE_NUMERIC, create_features
-from loadlens.operators import evaluate, gates, rows
+from loadlens.functions.features import create_features
+from loadlens.operators import audit, buckets, gates, incremental, rows
 from loadlens.plans import models, rounds, validation
 from loadlens.plans.catalog import SPLIT, WINDOWS
 from loadlens.plans.parallel import in_parallel
@@ -281,3 +281,46 @@ def test_dead_letters_after_restarts(spark, sf_dir, tmp_path):
     assert sum(n for r, n in reasons.items() if "prediction not positive" in r) == total.where("1.5D * distance - 500 <= 0").count()
     assert wrong.where("request.distance is null").count() == 0
     assert requests.accepted(good).count() == good.count()
+
+
+# ---------------------------------------------------------------- incremental audit and point grids
+
+
+def test_an_audit_reads_new_and_changed_months_only(spark, tmp_path):
+    table, state = str(tmp_path / "t"), str(tmp_path / "s")
+    data = [(f"k{i}", i % 5, float(i) if i % 7 else None, "ab"[i % 2] if i % 3 else None, 2020 + i // 40, i % 4 + 1) for i in range(120)]
+    data += [("x", 1, float("inf"), "a", 2020, 1), ("y", -1, float("nan"), "a", 2022, 2)]
+    df = spark.createDataFrame(data, "load_id string, v int, w double, c string, load_year int, load_month int")
+    write = lambda part, mode="append": part.write.mode(mode).partitionBy("load_year", "load_month").parquet(table)
+    write(df.where("load_year < 2022"))
+    assert len(incremental.update(spark, table, state)) == 8 and incremental.update(spark, table, state) == []
+    write(df.where("load_year = 2022"))
+    write(df.where("load_year = 2020 and load_month = 3").limit(2))
+    assert incremental.update(spark, table, state) == ["load_year=2020/load_month=3", *[f"load_year=2022/load_month={m}" for m in range(1, 5)]]
+    all_rows = spark.read.parquet(table).drop("load_year", "load_month")
+    whole = {r["column"]: r.asDict() for r in incremental.merged_columns(incremental.column_state(all_rows)).collect()}
+    for r in incremental.audit(spark, state).collect():
+        for name, value in r.asDict().items():
+            assert value == pytest.approx(whole[r["column"]][name]), (r["column"], name)
+    missing = {r["column"]: r["missing_count"] for r in audit.missing_report(all_rows).collect()}
+    got = {r["column"]: r for r in incremental.audit(spark, state).collect()}
+    assert {c: r["missing"] for c, r in got.items()} == missing and got["w"]["infinite"] == 1
+    spread = {r["column"]: r["std"] for r in audit.describe_numeric(all_rows.where("w is null or abs(w) < 1e9"), ["v", "w"]).collect()}
+    assert got["w"]["std"] == pytest.approx(spread["w"])
+    assert abs(got["load_id"]["distinct_estimate"] - 122) <= 4
+    counts = {(r["column"], r["value"]): r["n"] for r in incremental.value_counts(spark, state).collect()}
+    assert counts["c", "a"] == all_rows.where("c = 'a'").count() and counts["c", None] == all_rows.where("c is null").count()
+
+
+def test_every_cell_keeps_its_points_or_k_of_them(spark):
+    rng = np.random.default_rng(8)
+    points = [(f"k{i}", float(x), float(y)) for i, (x, y) in enumerate(rng.normal(size=(3000, 2)) * 0.01)] + [("far", 50.0, 60.0), ("nan", float("nan"), 1.0), ("null", None, 1.0)]
+    df = spark.createDataFrame(points, "load_id string, x double, y double")
+    got = buckets.scatter_grid(df, "x", "y", cells=8, per_cell=4).collect()
+    cells = Counter((r["cell_x"], r["cell_y"]) for r in got)
+    rows_of = {(r["cell_x"], r["cell_y"]): r["cell_rows"] for r in got}
+    assert sum(rows_of.values()) == 3001 and all(n == min(4, rows_of[c]) for c, n in cells.items())
+    assert (7, 7) in cells and {(r["x"], r["y"]) for r in got} >= {(50.0, 60.0)}
+    assert "WindowGroupLimit" in plan(buckets.scatter_grid(df, "x", "y"))
+    one = buckets.scatter_grid(df.where("load_id = 'far'"), "x", "y").collect()
+    assert [tuple(r) for r in one] == [(0, 0, 1, 50.0, 60.0)] and buckets.scatter_grid(df.limit(0), "x", "y").collect() == []
