@@ -181,6 +181,8 @@ def _index(length: int):
     width = 2 * reach + GRAM
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
+        # a text that Spark's skew handling read in two tasks gave its contexts twice
+        frame = frame.drop_duplicates(["anchor", "ctx"], ignore_index=True)
         sizes = frame["raw"].map(len).to_numpy()
         data = np.frombuffer(bytes(width) + b"".join(frame["raw"]) + bytes(width), np.uint8)
         low = reach - frame["before"].to_numpy()
@@ -212,13 +214,20 @@ def _index(length: int):
 
 
 def _cut_out(length: int):
-    """Texts with the places of contexts (raw, wanted) to (anchor, ctx, copies, crowded, before, raw)."""
+    """Texts with the places of contexts (k1, k2, raw, wanted) to (anchor, ctx, copies, crowded, before, raw).
+
+    Rows come from a join by (k1, k2), so that copies of a text follow each other, and all but the first are passed over.
+    """
     reach = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for raw, wanted in zip(batch["raw"], batch["wanted"], strict=True):
+            for k1, k2, raw, wanted in zip(batch["k1"].to_pylist(), batch["k2"].to_pylist(), batch["raw"], batch["wanted"], strict=True):
+                if (k1, k2) == last:
+                    continue
+                last = (k1, k2)
                 text = raw.as_py()
                 for x in wanted.as_py():
                     low = max(0, x["pos"] - reach)
@@ -276,12 +285,12 @@ def covers(texts: DataFrame, length: int = LENGTH, contexts: int = CONTEXTS) ->
         .groupBy("k1", "k2")
         .agg(F.collect_list("x").alias("wanted"))
     )
-    cut = long_texts.join(wanted, ["k1", "k2"]).select("raw", "wanted")
+    cut = long_texts.join(wanted, ["k1", "k2"]).select("k1", "k2", "raw", "wanted")
     cut = cut.mapInArrow(_cut_out(length), "anchor long, ctx long, copies long, crowded boolean, before int, raw binary")
     plain = cut.where("not crowded").repartition("anchor").sortWithinPartitions("anchor", "ctx")
     settled = plain.mapInPandas(_index(length), "anchor long, ctx long, cover array<int>")
     if not crowds.isEmpty():
-        settled = settled.unionByName(_counted(cut.where("crowded"), length))
+        settled = settled.unionByName(_counted(cut.where("crowded").dropDuplicates(["anchor", "ctx"]), length))
     settled = stored(settled, "covers")
     whole = places.where("not mixed").select("k1", *_at("at"), F.lit(None).cast("array<int>").alias("cover"))
     part = places.where("mixed").join(settled, ["anchor", "ctx"]).select("k1", *_at("at"), "cover")
