@@ -20,6 +20,7 @@ again, which is exact for the same reason. Components are found by :func:`graphs
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -79,13 +80,16 @@ def fingerprint(text: Column, words: int = 3, seed: int = 42) -> Column:
     return bits(text)
 
 
-def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int, only: Callable | None = None) -> tuple[np.ndarray, np.ndarray]:
+def trie_pairs(
+    group: np.ndarray, bits: np.ndarray, depth: int, errors: int, only: Callable | None = None, where: Callable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i, j), i < j, of rows of one group whose lowest ``depth`` bits differ in at most ``errors``.
 
     ``group`` and ``bits`` are sorted together and (group, bits) is unique; the rows of a group are the leaves of a trie.
     A node is a range of rows; a pair is a row range, another one that is the same or follows, and the differing bits.
     Leaves hold few rows, more of them the larger the budget, as nothing is pruned near the root. Rows of two leaves are
-    compared by all bits. With ``only=spanning`` the pairs are thinned out whenever many are held.
+    compared by all bits. ``where`` tells from the bits of both rows which pairs count. With ``only=spanning`` those are
+    thinned out whenever many are held; what is left connects the same rows, but need not be pairs of near rows.
     """
     rows = min(2048, 8 << errors)
     begins = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
@@ -93,7 +97,11 @@ def trie_pairs(group: np.ndarray, bits: np.ndarray, depth: int, errors: int, onl
     found: list[tuple[np.ndarray, np.ndarray]] = []
 
     def take(i: np.ndarray, j: np.ndarray) -> None:
-        found.append((i[i < j], j[i < j]))
+        i, j = i[i < j], j[i < j]
+        if where is not None:
+            keep = where(bits[i], bits[j])
+            i, j = i[keep], j[keep]
+        found.append((i, j))
         if only is spanning and sum(len(x) for x, _ in found) > HELD_PAIRS:
             found[:] = [only(bits, *(np.concatenate(x) for x in zip(*found, strict=True)))]
 
@@ -257,9 +265,9 @@ def _joined(errors: int, only: Callable | None):
             bits = own["fp"].to_numpy(np.int64).view(np.uint64)
             order = np.lexsort((bits, group))
             group, bits = group[order], bits[order]
-            i, j = trie_pairs(group, bits, BITS, errors, only)
-            keep = _first(str(band), bits[i], bits[j], errors + 1)
-            i, j = i[keep], j[keep]
+            # before pairs are thinned out: those of other bands are left to these bands
+            first = functools.partial(_first, str(band), count=errors + 1)
+            i, j = trie_pairs(group, bits, BITS, errors, only, first)
             if only is not None:
                 i, j = only(bits, i, j)
             out.append(pd.DataFrame({"kind": np.full(len(i), kind, np.int32), "a": bits[i].view(np.int64), "b": bits[j].view(np.int64)}))

@@ -262,3 +262,65 @@ def test_hard_negatives_equal_brute_force(spark, blocks):
     table = table.withColumns({"row": F.lit(1), "v": F.lit(2), "width": F.lit(3), "score": F.lit(4)})
     got = negatives.mine(table, F.col("vec_id") % 10 == 0, F.col("label"), anchor_rows=blocks[0], candidate_rows=blocks[1])
     assert sorted(tuple(r) for r in got.collect()) == mined_by_hand(rows, lambda i: i % 10 == 0)
+
+
+# ---------------------------------------------------------------- 10
+
+
+@pytest.mark.parametrize("copies", [1, 200])
+def test_copies_of_a_text_give_their_contexts_once(spark, copies):
+    """Many copies of a text that shares a passage with other texts: covers are unique, and spans those of brute force."""
+    from loadlens.llm import repeats
+    from tests.llm.test_methods import brute_spans
+
+    ready(spark)
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(420))
+    own = ["".join(rng.choice("abcdefgh ") for _ in range(300)) + passage + "".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(12)]
+    texts = [*own, *[own[0]] * (copies - 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    raw = F.col("text").cast("binary")
+    keyed = docs.select(F.xxhash64(raw).alias("k1"), F.shiftright(F.xxhash64(F.lit(7), raw), 32).alias("k2"), raw.alias("raw"))
+    marks = repeats.covers(keyed).select(F.explode("marks").alias("m")).count()
+    places = keyed.distinct().mapInArrow(repeats._find(200), "anchor long, ctx long, k1 long, at long").count()
+    assert marks <= places
+    got = {r["doc_id"]: r["spans"] for r in repeats.mark(docs).collect()}
+    assert got == dict(enumerate(brute_spans([t.encode() for t in texts], 200)))
+
+
+# ---------------------------------------------------------------- 1
+
+
+@pytest.mark.parametrize("errors", [2, 8])
+@pytest.mark.parametrize("held", [50, 2_000_000])
+def test_thinning_loses_no_component(spark, monkeypatch, errors, held):
+    """Chains of fingerprints: components are those of brute force, however few pairs a task may hold."""
+    from loadlens.llm import graphs, simhash
+
+    monkeypatch.setattr(simhash, "HELD_PAIRS", held)
+    rng = np.random.default_rng(10)
+    prints = []
+    for _ in range(40):
+        x = int(rng.integers(0, 1 << 63))
+        for _ in range(20):
+            prints.append(x)
+            for bit in rng.choice(64, errors, replace=False):
+                x ^= 1 << int(bit)
+    prints = np.unique(np.array(prints, np.uint64))
+    order = np.arange(len(prints))
+    frame = {"kind": 0, "band": None, "value": None, "key": 0, "fp": None}
+    rows = []
+    for i, (low, width) in enumerate(simhash._bands([(0, 64)], errors + 1)):
+        value = (prints >> np.uint64(low)) & np.uint64((1 << width) - 1)
+        rows += [{**frame, "band": str(i), "value": [int(v)], "fp": int(np.int64(np.uint64(p).view(np.int64)))} for p, v in zip(prints, value, strict=True)]
+    import pandas as pd
+
+    batch = pd.DataFrame(rows)
+    links = pd.concat(simhash._joined(errors, simhash.spanning)(iter([batch])))
+    place = {int(p): i for i, p in enumerate(prints.view(np.int64).tolist())}
+    a, b = (np.array([place[int(x)] for x in links[c]], np.int64) for c in ("a", "b"))
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= errors
+    i, j = np.nonzero(near & (order[:, None] < order[None, :]))
+    parts = lambda x, y: len(prints) - len(graphs.forest(x, y, len(prints))[1])
+    assert parts(a, b) == parts(i, j)
+    assert parts(np.r_[a, i], np.r_[b, j]) == parts(i, j)
