@@ -45,6 +45,7 @@ LENGTH = 200
 GRAM = 64
 #: Distinct contexts of an anchor that one task indexes; anchors with more are settled by counting window hashes.
 CONTEXTS = 50_000
+FOUND = "anchor long, ctx long, k1 long, at long, more array<int>"
 #: Bytes of text that are hashed at once, and contexts that are indexed at once (an anchor's stay together).
 BATCH_BYTES = 1 << 18
 BATCH_CONTEXTS = 8_000
@@ -98,7 +99,11 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM) -
 
 
 def _find(length: int):
-    """(k1, k2, raw) to rows (anchor, ctx, k1, at); ``at`` holds k2 and, in its lower half, the place in the text."""
+    """(k1, k2, raw) to rows (anchor, ctx, k1, at, more), one for each text, anchor and context.
+
+    ``at`` holds k2 and, in its lower half, the first place in the text; ``more`` the others, null if there are none: a line
+    that a text repeats very often is one row.
+    """
     reach = length - GRAM
 
     def of(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -109,11 +114,16 @@ def _find(length: int):
         begin = ends[doc] - np.array([len(x) for _, _, x in docs])[doc]
         low, high = np.maximum(begin, places - reach), np.minimum(ends[doc], places + length)
         ctx = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b], c) for a, b, c in zip(low.tolist(), high.tolist(), (places - low).tolist(), strict=True)), np.uint64, len(places))
+        order = np.lexsort((places, ctx, hashes, doc))
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (doc, hashes, ctx)], axis=0)
+        first, rest = order[new], order[~new]
+        others = np.diff(np.r_[np.flatnonzero(new), len(order)]) - 1
+        offsets = pa.array(np.r_[0, np.cumsum(others)].astype(np.int32))
+        more = pa.ListArray.from_arrays(offsets, pa.array((places - begin)[rest].astype(np.int32)), mask=pa.array(others == 0))
         keys = np.array([(a, b) for a, b, _ in docs], np.int64)[doc]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (hashes.view(np.int64), ctx.view(np.int64), keys[:, 0].copy(), (keys[:, 1] << 32) + places - begin)],
-            names=["anchor", "ctx", "k1", "at"],
-        )
+        columns = (hashes.view(np.int64), ctx.view(np.int64), keys[:, 0], (keys[:, 1] << 32) + places - begin)
+        return pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in columns), more], names=["anchor", "ctx", "k1", "at", "more"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -267,14 +277,15 @@ def _at(at: str) -> list[Column]:
 
 
 def covers(texts: DataFrame, length: int = LENGTH, contexts: int = CONTEXTS) -> DataFrame:
-    """From (k1, k2, raw): k1, k2, marks; a mark is the place of an anchor and its covered stretches (null: all)."""
+    """From (k1, k2, raw): k1, k2, marks; a mark is the places of an anchor and its covered stretches (null: all)."""
     long_texts = texts.where(F.length("raw") >= length)
     # made twice, which costs less than keeping all anchors
-    found = long_texts.mapInArrow(_find(length), "anchor long, ctx long, k1 long, at long")
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where("n > 1").drop("n")
+    found = long_texts.mapInArrow(_find(length), FOUND)
+    count = F.sum(F.lit(1) + F.coalesce(F.size("more"), F.lit(0)))
+    repeated = found.groupBy("anchor").agg(count.alias("n"), (F.min("ctx") != F.max("ctx")).alias("mixed")).where("n > 1").drop("n")
     # stored, so that the join has both sides from a shuffle and can split the places of a hot anchor
     places = stored(found.join(stored(repeated, "repeated"), "anchor"), "places")
-    distinct = places.where("mixed").groupBy("anchor", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("k1", "at")).alias("one"))
+    distinct = places.where("mixed").groupBy("anchor", "ctx").agg(count.alias("copies"), F.min(F.struct("k1", "at")).alias("one"))
     distinct = stored(distinct, "contexts")
     crowds = distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > contexts)
     crowds = stored(crowds.select("anchor", F.lit(True).alias("crowded")), "crowds")
@@ -292,9 +303,9 @@ def covers(texts: DataFrame, length: int = LENGTH, contexts: int = CONTEXTS) ->
     if not crowds.isEmpty():
         settled = settled.unionByName(_counted(cut.where("crowded").dropDuplicates(["anchor", "ctx"]), length))
     settled = stored(settled, "covers")
-    whole = places.where("not mixed").select("k1", *_at("at"), F.lit(None).cast("array<int>").alias("cover"))
-    part = places.where("mixed").join(settled, ["anchor", "ctx"]).select("k1", *_at("at"), "cover")
-    return whole.unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "cover")).alias("marks"))
+    whole = places.where("not mixed").select("k1", *_at("at"), "more", F.lit(None).cast("array<int>").alias("cover"))
+    part = places.where("mixed").join(settled, ["anchor", "ctx"]).select("k1", *_at("at"), "more", "cover")
+    return whole.unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "more", "cover")).alias("marks"))
 
 
 def _merged(length: int, size: int, marks: list[dict] | None, copied: bool) -> list[int]:
@@ -306,9 +317,9 @@ def _merged(length: int, size: int, marks: list[dict] | None, copied: bool) -> l
     reach = length - GRAM
     pairs = []
     for mark in marks or ():
-        p = mark["pos"]
         c = mark["cover"]
-        pairs += [(max(0, p - reach), min(size, p + length))] if c is None else [(p + a, p + b) for a, b in zip(c[::2], c[1::2], strict=True)]
+        for p in (mark["pos"], *(mark["more"] or ())):
+            pairs += [(max(0, p - reach), min(size, p + length))] if c is None else [(p + a, p + b) for a, b in zip(c[::2], c[1::2], strict=True)]
     out: list[int] = []
     for a, b in sorted(pairs):
         if out and a <= out[-1]:

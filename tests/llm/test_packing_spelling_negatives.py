@@ -282,12 +282,31 @@ def test_copies_of_a_text_give_their_contexts_once(spark, copies):
     raw = F.col("text").cast("binary")
     keyed = docs.select(F.xxhash64(raw).alias("k1"), F.shiftright(F.xxhash64(F.lit(7), raw), 32).alias("k2"), raw.alias("raw"))
     marks = repeats.covers(keyed).select(F.explode("marks").alias("m")).count()
-    places = keyed.distinct().mapInArrow(repeats._find(200), "anchor long, ctx long, k1 long, at long").count()
+    places = keyed.distinct().mapInArrow(repeats._find(200), repeats.FOUND).count()
     assert marks <= places
     got = {r["doc_id"]: r["spans"] for r in repeats.mark(docs).collect()}
     assert got == dict(enumerate(brute_spans([t.encode() for t in texts], 200)))
 
 
+def test_a_line_repeated_in_a_text_is_one_row(spark):
+    """Lines that texts repeat hundreds of times: a row per text, anchor and context, and the spans of brute force."""
+    from loadlens.llm import repeats
+    from tests.llm.test_methods import brute_spans
+
+    ready(spark)
+    rng = random.Random(12)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(120 + 40 * i)) + line * (3 + 60 * (i % 3)) + "end" * i for i in range(9)] + ["x" * 900]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    raw = F.col("text").cast("binary")
+    keyed = docs.select(F.xxhash64(raw).alias("k1"), F.shiftright(F.xxhash64(F.lit(7), raw), 32).alias("k2"), raw.alias("raw"))
+    found = keyed.mapInArrow(repeats._find(200), repeats.FOUND)
+    assert found.count() == found.select("anchor", "ctx", "k1").distinct().count() < found.agg(F.sum(1 + F.coalesce(F.size("more"), F.lit(0)))).first()[0] / 5
+    for contexts in (repeats.CONTEXTS, 3):
+        got = {r["doc_id"]: r["spans"] for r in repeats.mark(docs, contexts=contexts).collect()}
+        assert got == dict(enumerate(brute_spans([t.encode() for t in texts], 200)))
+
+
 # ---------------------------------------------------------------- 1
 
 
