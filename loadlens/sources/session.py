@@ -10,7 +10,8 @@ from loadlens.sources.shared import ensure_checkpoints
 
 
 def local_session(cpus: str = "8", app: str = "loadlens") -> SparkSession:
-    """``hugeMethodLimit`` makes Spark split the long methods that the feature projections generate."""
+    """``hugeMethodLimit`` makes Spark split the long methods that the feature projections generate; fits that run at a time
+    share the cores by the FAIR scheduler."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -20,6 +21,7 @@ def local_session(cpus: str = "8", app: str = "loadlens") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("LOADLENS_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

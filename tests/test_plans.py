@@ -26,7 +26,8 @@ CHEAP = [
         "ridge_random_split", "ridge_metrics", "rf_random_split", "rf_metrics", "gbt_raw", "gbt_log", "gbt_onehot",
         "gbt_robust", "refined_model", "two_stage_model", "high_rate_classifier", "feature_importance",
         "aggregated_importance", "permutation_importance", "tuning", "rolling_validate", "score_batch",
-        "score_saved_model", "score_scenario", "score_stream", "stream_features",
+        "score_saved_model", "score_scenario", "score_stream", "stream_features", "tuning_identity", "resumed_fit",
+        "importance_contract", "permutation_by_formula", "dead_letters",
     }
 ]
 
