@@ -771,7 +771,7 @@ def tuning(spark: SparkSession, sf: str) -> DataFrame:
 def rolling_validate(spark: SparkSession, sf: str) -> DataFrame:
     features = create_features(star.loads(spark, sf))
     fit = lambda train: models.fit_rate_model(train, models.gbt(**TRIAL_GBT), log_target=True, settle=False)
-    return validation.rolling_validate(features, fit, WINDOWS)[1]
+    return validation.rolling_validate(features, fit, WINDOWS, parallel=4)[1]
 
 
 @query("level_means")
