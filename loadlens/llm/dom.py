@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -51,13 +51,13 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 class Element:
     """``items`` holds texts and elements in page order; ``number`` is the place in preorder, ``weight`` the number of
-    elements, and ``holds`` whether an article or main element is below. ``shape`` is a hash of the keys of the element and
-    all below it, for this process only; ``path`` a lasting one of the keys from the page down to it."""
+    elements, and ``holds`` whether an article or main element is below. ``marks`` names texts of the element that may be
+    template, and ``marked`` counts the elements with marks. ``shape`` is a hash of the keys and marks of the element and all below it, for this process only."""
 
-    __slots__ = ("tag", "key", "words", "items", "number", "weight", "holds", "shape", "path")
+    __slots__ = ("tag", "key", "words", "items", "number", "weight", "holds", "shape", "marks", "marked")
 
     def __init__(self, tag: str, attrs: str):
-        self.tag, self.items, self.number, self.weight, self.holds, self.shape, self.path = tag, [], 0, 1, False, 0, 0
+        self.tag, self.items, self.number, self.weight, self.holds, self.shape, self.marks, self.marked = tag, [], 0, 1, False, 0, (), 0
         self.key, self.words = tag, ()
         if attrs and "=" in attrs:
             named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
@@ -134,25 +134,98 @@ def _close(stack: list[Element], kinds: frozenset[str], walls: frozenset[str]) -
             return
 
 
-def _number(root: Element) -> None:
+def _order(root: Element) -> list[Element]:
     todo, order = [root], []
     while todo:
-        element = todo.pop()
-        element.number = len(order)
-        order.append(element)
-        children = element.children
-        for child in children:
-            child.path = xxhash.xxh3_64_intdigest(f"{element.path} {child.key}".encode("utf-8", "surrogatepass"))
-        todo += reversed(children)
+        order.append(todo.pop())
+        todo += reversed(order[-1].children)
+    return order
+
+
+def _number(root: Element) -> None:
+    for element in reversed(measured(root)):
+        element.holds = element.tag in ("html", "body", "main") or any(
+            x.holds or x.tag in ("article", "main") and ASIDE_WORDS.isdisjoint(x.words) for x in element.children
+        )
+
+
+def measured(root: Element) -> list[Element]:
+    """The elements in preorder, after their numbers, weights and shapes are set anew."""
+    order = _order(root)
+    for i, element in enumerate(order):
+        element.number = i
     for element in reversed(order):
         children = element.children
         element.weight = 1 + sum(x.weight for x in children)
-        element.shape = hash((element.key, *(x.shape for x in children)))
-        element.holds = element.tag in ("html", "body", "main") or any(x.holds or x.tag in ("article", "main") and ASIDE_WORDS.isdisjoint(x.words) for x in children)
+        element.marked = bool(element.marks) + sum(x.marked for x in children)
+        element.shape = hash((element.key, element.marks, *(x.shape for x in children)))
+    return order
+
+
+def merge(base: Element, page: Element, known: Sizes | None = None) -> None:
+    """Gives ``base`` the elements of ``page`` that match none of its own, each after what its left neighbour matches.
+
+    Elements alone are taken over, without texts; ``base`` is measured anew.
+    """
+    pairs = match(page, base, known)
+    own = _order(base)
+    todo = [(page, base)]
+    while todo:
+        element, into = todo.pop()
+        at = 0
+        for child in element.children:
+            place = pairs.get(child.number)
+            if place is None:
+                mate = _bare(child)
+                into.items.insert(at, mate)
+            else:
+                mate = own[place]
+                at = next(i for i in range(at, len(into.items)) if into.items[i] is mate)
+                todo.append((child, mate))
+            at += 1
+    measured(base)
+
+
+def _bare(element: Element) -> Element:
+    """A copy of an element and all below it, without texts."""
+    copy = Element(element.tag, "")
+    todo = [(element, copy)]
+    while todo:
+        old, new = todo.pop()
+        new.key, new.marks = old.key, old.marks
+        for child in old.children:
+            new.items.append(Element(child.tag, ""))
+            todo.append((child, new.items[-1]))
+    return copy
+
+
+def dump(root: Element) -> str:
+    """The elements below a tree's root, as text: of each the depth, key and marks, in preorder."""
+    rows, todo = [], [(0, x) for x in reversed(root.children)]
+    while todo:
+        depth, element = todo.pop()
+        rows.append([depth, element.key, *element.marks])
+        todo += ((depth + 1, x) for x in reversed(element.children))
+    return json.dumps(rows, separators=(",", ":"))
+
+
+def load(text: str) -> Element:
+    """The tree that ``dump`` wrote."""
+    stack = [Element("#page", "")]
+    for depth, key, *marks in json.loads(text):
+        element = Element(key.split(" ", 1)[0], "")
+        element.key, element.marks = key, tuple(marks)
+        del stack[depth + 1 :]
+        stack[-1].items.append(element)
+        stack.append(element)
+    measured(stack[0])
+    return stack[0]
 
 
 #: Weight of a matched pair of elements; below it counts, among matchings of one size, that all below the two is equal too.
 PAIR = 1 << 32
+#: What a pair of elements of the same marks counts for, in pairs.
+MARKED = 1 << 8
 #: Cells of the dynamic program over two lists of children up to which all its rows are held.
 CELLS = 40_000
 #: Sizes of matchings that are held for the next page.
@@ -165,7 +238,8 @@ def match(a: Element, b: Element, known: Sizes | None = None) -> dict[int, int]:
     """Simple tree matching: numbers of elements of ``a`` to those of ``b``.
 
     Equal elements match, in order, below matched parents, so that the number of matched elements is greatest; of such
-    matchings one in which most pairs are equal in all that is below them. ``known`` has sizes by two shapes, of any pages.
+    matchings one in which most pairs are equal in all that is below them. A pair with the same marks counts ``MARKED`` times,
+    so that texts that may be template meet first. ``known`` has sizes by two shapes, of any pages.
     """
     known = {} if known is None else known
     if len(known) > KNOWN:
@@ -192,18 +266,25 @@ def _measure(a: Element, b: Element, known: Sizes) -> None:
         low, xs, ys = _trimmed(x.children, y.children)
         if not ready:
             todo.append((x, y, True))
-            below = {(c.shape, d.shape): (c, d, False) for c in xs for d in ys if c.key == d.key and c.shape != d.shape}
+            inner = [d for d in ys if d.weight > 1]
+            below = {(c.shape, d.shape): (c, d, False) for c in xs if c.weight > 1 for d in inner if c.key == d.key and c.shape != d.shape}
             todo += (v for k, v in below.items() if k not in known)
             continue
         same = sum(_size(c, c, known) for c in low)
-        known[x.shape, y.shape] = PAIR + same + (int(_last(xs, ys, known)[-1]) if xs and ys else 0)
+        known[x.shape, y.shape] = _own(x, y) + same + (int(_last(xs, ys, known)[-1]) if xs and ys else 0)
+
+
+def _own(x: Element, y: Element) -> int:
+    return PAIR * MARKED if x.marks and x.marks == y.marks else PAIR
 
 
 def _size(x: Element, y: Element, known: Sizes) -> int:
     """Of the greatest matching of two elements; none of unlike ones."""
     if x.shape == y.shape:
-        return x.weight * (PAIR + 1)
-    return known[x.shape, y.shape] if x.key == y.key else 0
+        return (x.weight + x.marked * (MARKED - 1)) * PAIR + x.weight
+    if x.key != y.key:
+        return 0
+    return _own(x, y) if x.weight == 1 or y.weight == 1 else known[x.shape, y.shape]
 
 
 def _trimmed(xs: list[Element], ys: list[Element]) -> tuple[list[Element], list[Element], list[Element]]:
@@ -279,8 +360,12 @@ class Block:
 
 
 def blocks(root: Element) -> list[Block]:
-    """All blocks of a page outside of menus, headers, footers, forms, adverts and the like, in page order."""
+    """All blocks of a page outside of menus, headers, footers, forms, adverts and the like, in page order.
+
+    Elements that are left out so are cut from the tree, whose numbers and shapes are then stale.
+    """
     out: list[Block] = []
+    cut: dict[int, tuple[Element, set[int]]] = {}
     held: list[str] = []
     linked = [0]
 
@@ -313,7 +398,10 @@ def blocks(root: Element) -> list[Block]:
         if apart:
             flush(block, article, main)
         if item.is_aside(article):
+            cut.setdefault(id(element), (element, set()))[1].add(i)
             continue
         stack.append((item, 0, item if apart else block, article or item.tag == "article", main or item.tag == "main", link or item.tag == "a"))
     flush(root, False, False)
+    for element, places in cut.values():
+        element.items = [x for i, x in enumerate(element.items) if i not in places]
     return out

@@ -156,14 +156,14 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</scri
 
 
 def test_blocks_of_a_page():
-    found = extraction.main_text(extraction.aligned(PAGE, dom.parse("")), {})
+    found = extraction.main_text(extraction.aligned(PAGE, extraction.Reference(dom.parse(""))), {})
     assert found == "A & B\n\nOne two. three\n\nFour é\n\nx\n\ny"
 
 
 @pytest.mark.parametrize("page", ["", "text only", "<p", "<!--", "<script>x", "</p></div>", "<p>a<p>b</article>", "<" * 50, "<a><b><i>" * 300 + "x"])
 def test_broken_pages_do_not_crash(page):
-    extraction.main_text(extraction.aligned(page, dom.parse(PAGE)), {})
-    extraction.main_text(extraction.aligned(PAGE, dom.parse(page)), {})
+    extraction.main_text(extraction.aligned(page, extraction.Reference(dom.parse(PAGE))), {})
+    extraction.main_text(extraction.aligned(PAGE, extraction.Reference(dom.parse(page))), {})
 
 
 def test_tree_matching_prefers_the_heavier_pairing():
@@ -178,8 +178,8 @@ def test_articles_that_are_teasers_do_not_hide_the_text():
     cards = "<article><a href=x>More</a> news</article>" * 2
     text = "<p>The text of the page itself, which is longer than its cards.</p>"
     for page in (text + cards, f"<main><p>Short.</p></main>{text}{cards}"):
-        assert "longer than its cards" in extraction.main_text(extraction.aligned(page, dom.parse("")), {})
-    own = extraction.main_text(extraction.aligned(f"<p>Short.</p><article>{text}</article>", dom.parse("")), {})
+        assert "longer than its cards" in extraction.main_text(extraction.aligned(page, extraction.Reference(dom.parse(""))), {})
+    own = extraction.main_text(extraction.aligned(f"<p>Short.</p><article>{text}</article>", extraction.Reference(dom.parse(""))), {})
     assert own == "The text of the page itself, which is longer than its cards."
 
 

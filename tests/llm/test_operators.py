@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loadlens.llm import bpe, catalog, cover_tree, extraction, graphs, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
+from loadlens.llm import bpe, catalog, cover_tree, dom, extraction, graphs, mixing, pivots, quality, repeats, simhash, token_counts, url_rules
 from loadlens.llm.shared import ready
 from tests.llm.test_methods import brute_spans, documents_with_repeats
 
@@ -299,6 +299,43 @@ def test_template_blocks_that_the_reference_lacks(spark):
     assert {(r["page_id"], r["text"]) for r in got if r["page_id"] < 100} == {(i, f"Title {i}\n\nText {i}") for i in range(12)}
 
 
+def test_wrapper_finds_main_text_where_classes_say_nothing(spark):
+    """Bars, lists and notices without telling names, some of them optional and behind lists of any length."""
+    rng = np.random.default_rng(21)
+    rows, wanted = [], {}
+    for h in range(6):
+        for i in range(30):
+            own = [f"Host {h} page {i} says {rng.integers(1e9)} and more" for _ in range(rng.integers(1, 8))]
+            top = "".join(f"<div><p>Section {h} {k}</p></div>" for k in range(4))
+            promo = f"<p>Offer of host {h}</p>" if rng.random() < 0.75 else ""
+            end = f"<p>Written by the staff of host {h}</p>" if rng.random() < 0.9 else ""
+            box = f"<section><h2>Elsewhere {h}</h2><p>One thing</p><p>Another thing</p></section>" if rng.random() < 0.8 else ""
+            at = int(rng.integers(0, len(own) + 1))
+            body = "".join(f"<p>{x}</p>" for x in own[:at]) + promo + "".join(f"<p>{x}</p>" for x in own[at:])
+            rows.append((len(rows), f"http://h{h}.example/{i}", f"<body><div>{top}</div>{box}<div><h1>Title {h} {i}</h1>{body}{end}</div><div><p>About {h}</p></div>"))
+            wanted[len(rows) - 1] = [f"Title {h} {i}", *own]
+    ready(spark)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+
+    def quality_of(pages):
+        got = {r["page_id"]: r["text"].split("\n\n") for r in extraction.extract(pages).collect()}
+        good = sum(len(set(got[i]) & set(w)) for i, w in wanted.items())
+        return good / sum(map(len, got.values())), good / sum(map(len, wanted.values()))
+
+    precision, recall = quality_of(frame)
+    assert precision > 0.95 and recall > 0.95
+    alone, whole = quality_of(frame.withColumn("url", F.concat(F.lit("http://"), "page_id", F.lit("/"))))  # hosts of one page
+    assert alone < 0.6 and whole > 0.95
+
+
+def test_merged_tree_has_a_slot_for_blocks_that_the_first_page_lacks():
+    pages = ["<p>a</p>", "<p>b</p><section><p>News</p></section>", "<section><p>News</p></section><p>c</p>", ""]
+    tree = extraction.Reference(dom.load(dom.dump(extraction.merged(pages))))
+    slots = [slot for page in pages for x, slot in extraction.aligned(page, tree) if x.text == "News"]
+    assert len(slots) == 2 and min(slots) > 0
+    assert extraction.aligned("<table><tr><td>x</table>", tree)[0][1] == -1
+
+
 @pytest.mark.parametrize(
     ("url", "expected"),
     [
