@@ -77,7 +77,7 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = mixing.mix(_table(spark, sf_dir, "documents"))
-    return mixing.taken(pieces).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(pieces).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,16 +166,52 @@ levels AS (
 shared AS (
   SELECT level AS share FROM levels WHERE level < height ORDER BY height, place LIMIT 1),
 aims AS (
-  SELECT source, source_size,
+  SELECT source, source_size, place,
          least((3 * source_size)::DOUBLE, coalesce((SELECT share FROM shared) * weight, (3 * source_size)::DOUBLE)) AS target FROM levels),
 lines AS (
   SELECT doc_id, source, size,
          coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(concat_ws('|', '20', doc_id::VARCHAR, source)), doc_id, size
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized)
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized),
+drawn AS (
+  SELECT source, place, floor(target)::HUGEINT AS drawn, sum(floor(target)) OVER ()::HUGEINT AS everything,
+         greatest(0, 1024 - count(*) OVER ())::HUGEINT AS free FROM aims WHERE floor(target) > 0),
+rests AS (
+  SELECT *, drawn * free // everything AS whole, row_number() OVER (ORDER BY drawn * free % everything DESC, place) AS turn FROM drawn),
+quotas AS (
+  SELECT source, place, drawn, (1 + whole + CASE WHEN turn <= free - sum(whole) OVER () THEN 1 ELSE 0 END)::BIGINT AS quota FROM rests),
+unit AS (
+  SELECT source, drawn, quota, place, unnest(range(quota)) AS block, 0 AS shard FROM quotas),
+cut16 AS (
+  SELECT source, drawn, quota, place, block,
+         shard + CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', '20', '16', place::VARCHAR, block::VARCHAR)), place, block)
+                           > count(*) OVER (PARTITION BY shard) / 2 THEN 8 ELSE 0 END AS shard FROM unit),
+cut8 AS (
+  SELECT source, drawn, quota, place, block,
+         shard + CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', '20', '8', place::VARCHAR, block::VARCHAR)), place, block)
+                           > count(*) OVER (PARTITION BY shard) / 2 THEN 4 ELSE 0 END AS shard FROM cut16),
+cut4 AS (
+  SELECT source, drawn, quota, place, block,
+         shard + CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', '20', '4', place::VARCHAR, block::VARCHAR)), place, block)
+                           > count(*) OVER (PARTITION BY shard) / 2 THEN 2 ELSE 0 END AS shard FROM cut8),
+cut2 AS (
+  SELECT source, drawn, quota, place, block,
+         shard + CASE WHEN row_number() OVER (PARTITION BY shard ORDER BY md5(concat_ws('|', '20', '2', place::VARCHAR, block::VARCHAR)), place, block)
+                           > count(*) OVER (PARTITION BY shard) / 2 THEN 1 ELSE 0 END AS shard FROM cut4),
+blocks AS (
+  SELECT source, drawn * block // quota AS b, drawn * (block + 1) // quota AS e, shard FROM cut2),
+placed AS (
+  SELECT lines.*, source_size, target, row_number() OVER () AS row
+  FROM lines JOIN aims ON lines.source IS NOT DISTINCT FROM aims.source),
+met AS (
+  SELECT row, array_to_string(list_sort(list_distinct(list(shard))), ',') AS shards
+  FROM placed CROSS JOIN range(3) AS passes(pass) JOIN blocks ON placed.source IS NOT DISTINCT FROM blocks.source
+   AND b < pass * source_size + start + size AND e > pass * source_size + start AND e > b
+  WHERE size > 0 GROUP BY row)
 SELECT doc_id, size, source_size, target,
        (size * (floor(target)::BIGINT // greatest(source_size, 1))
-        + greatest(0, least(start + size, floor(target)::BIGINT % greatest(source_size, 1)) - start))::BIGINT AS taken
-FROM lines JOIN aims ON lines.source IS NOT DISTINCT FROM aims.source""",
+        + greatest(0, least(start + size, floor(target)::BIGINT % greatest(source_size, 1)) - start))::BIGINT AS taken,
+       coalesce(shards, '') AS shards
+FROM placed LEFT JOIN met USING (row)""",
     "op8_url_filter": r"""
 WITH parts AS (
   SELECT page_id, url, row_number() OVER () AS row,
@@ -204,7 +240,7 @@ classes AS (
   SELECT reach.a AS row, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.row GROUP BY reach.a),
 degrees AS (
   SELECT a AS row, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, component_id IS NULL) AS kept
 FROM v JOIN classes USING (row) LEFT JOIN degrees USING (row)""",
     "op10_repeated_bytes": r"""
 WITH docs AS (

@@ -101,22 +101,28 @@ def lines(sized: DataFrame, seed: int = SEED) -> DataFrame:
 def blocks(aims: DataFrame, shards: int = SHARDS, per_shard: int = BLOCKS, seed: int = SEED) -> DataFrame:
     """From ``targets``: source, block, begin, end (words on the repeated line), shard; ``shards * per_shard`` rows.
 
-    Quotas are the targets' shares of the blocks, largest remainders rounded up, one at least for a target above 0.
+    Each source with words to draw has one block; the others are shared out by the words to draw, in whole numbers, by
+    largest remainders, so that the quotas add up exactly. With more such sources than blocks there is a block for each.
     """
     everyone = W.partitionBy()
-    drawn = F.floor("target")
-    exact = F.col("target") / F.sum("target").over(everyone) * (shards * per_shard)
-    quota = F.when(drawn > 0, F.greatest(F.lit(1), F.round(exact).cast("long"))).otherwise(0)
+    free = F.greatest(F.lit(0), shards * per_shard - F.count("*").over(everyone)).cast("decimal(19,0)")
+    product = F.col("drawn") * F.col("free")
+    floor = _div(product, F.col("all_drawn"))
+    place_by_rest = F.row_number().over(W.orderBy((F.col("product") - F.col("floor") * F.col("all_drawn")).desc(), "place"))
     unit = (
-        aims.withColumn("quota", quota)
-        .where("quota > 0")
-        .withColumn("drawn", drawn)
+        aims.withColumn("drawn", F.floor("target"))
+        .where("drawn > 0")
+        .withColumns({"all_drawn": F.sum("drawn").over(everyone).cast("decimal(19,0)"), "free": free})
+        .withColumn("product", product)
+        .withColumn("floor", floor)
+        .withColumn("rest", F.col("free").cast("long") - F.sum("floor").over(everyone))
+        .withColumn("quota", F.lit(1) + F.col("floor") + F.when(place_by_rest <= F.col("rest"), 1).otherwise(0))
         .select("source", "place", "quota", "drawn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1)).alias("block"))
         .withColumn("shard", F.lit(0))
     )
     width = shards
     while width > 1:
-        permuted = F.row_number().over(W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit(width), "place", "block"), "place", "block"))
+        permuted = F.row_number().over(W.partitionBy("shard").orderBy(F.md5(F.concat_ws("|", F.lit(seed), F.lit(width), "place", "block").cast("binary")), "place", "block"))
         half = F.count("*").over(W.partitionBy("shard")) / 2
         unit = unit.withColumns({"rank": permuted, "half": half}).withColumn(
             "shard", F.col("shard") + F.when(F.col("rank") > F.col("half"), width // 2).otherwise(0)
@@ -171,10 +177,11 @@ def mix(documents: DataFrame, shards: int = SHARDS, per_shard: int = BLOCKS, see
 
 
 def taken(pieces: DataFrame) -> DataFrame:
-    """One row per document row: the words that the mix takes of it."""
+    """One row per document row: the words that the mix takes of it, and the shards that they go to."""
+    listed = F.array_join(F.array_sort(F.collect_set("shard")).cast("array<string>"), ",")  # as many as there are shards
     rows = ["doc_id", "source", "size", "start", "source_size", "target"]
-    whole = pieces.where("size > 0").groupBy(*rows).agg(F.sum("words").alias("taken"))
-    empty = pieces.where("size = 0").select(*rows, F.lit(0).cast("long").alias("taken"))
+    whole = pieces.where("size > 0").groupBy(*rows).agg(F.sum("words").alias("taken"), listed.alias("shards"))
+    empty = pieces.where("size = 0").select(*rows, F.lit(0).cast("long").alias("taken"), F.lit("").alias("shards"))
     return whole.unionByName(empty)
 
 

@@ -6,17 +6,19 @@ other: a bounded sample (``PIVOTS`` rows at most), while every vector is indexed
 * A vector within the bound of a pivot is at home at the nearest such pivot. All links of such vectors are found exactly:
   by the triangle inequality the other vector of a link lies within twice the angle of that pivot, so all vectors there
   are compared with those at home. A dense group, which holds few pivots, is found this way.
-* A pair of two other vectors is described by the ``NEAREST`` pivots closest to each, in order. The inverted list of a
-  pivot holds the vectors that name it, and all pairs of a list are compared. In a list longer than ``LIST_ROWS`` only
-  those are that share ``SHARED`` pivots or more. This part is approximate: pairs that share no list are not found.
+* A pair of two other vectors is described by the ``NEAREST`` pivots closest to each, in order. An inverted list holds the
+  vectors that name the same two pivots, one of them among the vector's first ``FIRST``; so a pair meets where it shares
+  two pivots or more, of which near ones count most. All pairs of a list are compared. This part is approximate: pairs
+  that share no list are not found. The rule is the same at every number of rows.
 
 A pair is a link by its cosine in double precision.
 
 Scale: equal vectors are one row with a count. The number of pivots grows with the table up to its bound, which keeps
-lists short. A longer list is split by the second shared pivot; what is still longer, and a long list of a home pivot, is
-cut into hash blocks and each pair of blocks is a group of its own. So no task holds a whole long list and no pair is left
-out; the work on a dense group grows with its square, as its numbers of links do. A task gives each vector the number of
-its links and a spanning forest of them, never the pairs themselves. A pair that meets in several lists counts in one.
+lists short. A long list of either kind is cut into hash blocks and each pair of blocks is a group of its own. So no task
+holds a whole long list and no pair is left out; the work on a dense group grows with its square, as its numbers of links
+do. A vector visits a home pivot only if the vectors at home there reach so far that one may be linked. A task gives each
+vector the number of its links and a spanning forest of them, never the pairs themselves. A pair that meets in several
+lists counts in one. The pivots and a number for each are all that the driver holds and tasks get from it.
 
 * a vector that is null, empty, zero, or holds a null or non-finite component links with nothing and is its own component
 * vectors of different lengths are not compared
@@ -43,11 +45,14 @@ PIVOTS = 2_048
 ROWS_PER_PIVOT = 100
 #: Vectors that are drawn for each pivot, as those of a dense group are mostly left out.
 DRAWN = 4
-NEAREST = 6
-SHARED = 2
+NEAREST = 12
+FIRST = 4
+#: Rows of a block of a list.
 LIST_ROWS = 2_000
-#: In place of a second pivot: a list that is not split by one, and the list of a home pivot.
-SHORT, HOME = -1, -2
+#: In place of a second pivot: the list of a home pivot.
+HOME = -1
+#: Linked pairs whose lists are compared at a time.
+PAIRS = 8_192
 
 
 def choose(vectors: DataFrame, count: int, cosine: float) -> np.ndarray:
@@ -78,36 +83,61 @@ def nearest(units: np.ndarray, pivots: np.ndarray, count: int) -> np.ndarray:
 
 
 def _described(pivots: np.ndarray, count: int, cosine: float):
-    """Rows with the nearest pivots, the home pivot or -1, and the later home pivots whose vectors may be linked."""
-    around = 2 * cosine * cosine - 1 - 1e-9 if cosine > 0 else -2.0  # the cosine of twice the angle
+    """Rows with the nearest pivots, the home pivot or -1, and the cosine with the nearest one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 units = matrix(batch["unit"])
                 near = nearest(units, pivots, count).astype(np.int32)
-                score = units @ pivots.T
-                best = near[:, 0]
-                home = np.where(score[np.arange(len(units)), best] >= cosine, best, -1)
+                reach = np.einsum("ij,ij->i", units, pivots[near[:, 0]])
+                home = np.where(reach >= cosine, near[:, 0], -1).astype(np.int32)
+                yield pd.DataFrame({**{c: batch[c] for c in ("node", "copies", "unit")}, "near": list(near), "home": home, "reach": reach})
+
+    return run
+
+
+def _visiting(pivots: np.ndarray, around: np.ndarray):
+    """Rows with the other home pivots whose vectors may be linked: those with a cosine of ``around`` or more."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                home = batch["home"].to_numpy()[:, None]
                 # a pair of two homes counts at the smaller one, so a vector visits those before its own
-                visits = (score >= around) & ((np.arange(len(pivots)) < home[:, None]) | (home < 0)[:, None])
-                visited = [np.flatnonzero(v).astype(np.int32) for v in visits]
-                own = {c: batch[c] for c in ("node", "copies", "unit")}
-                yield pd.DataFrame({**own, "near": list(near), "home": home.astype(np.int32), "visits": visited})
+                visits = (matrix(batch["unit"]) @ pivots.T >= around) & ((np.arange(len(pivots)) < home) | (home < 0))
+                yield batch.assign(visits=[np.flatnonzero(v).astype(np.int32) for v in visits])
 
     return run
 
 
-def _counts_here(pivot: int, second: int, near: np.ndarray, other: np.ndarray, long: np.ndarray, shared: int) -> np.ndarray:
-    """Whether a pair, by the pivots that its vectors name, counts in this list and not in another one."""
-    both = (near[:, :, None] == other[:, None, :]).any(axis=2)
-    if second == SHORT:
-        return ~(both & ~long[near] & (near < pivot)).any(axis=1)
-    before = ~long[near] | (near < pivot) | (near > pivot) & (near < second)
-    return (both.sum(axis=1) >= shared) & ~(both & before).any(axis=1)
+def around(reach: np.ndarray, cosine: float) -> np.ndarray:
+    """By the least cosine of a vector at home with its pivot (above 1: none is): the least cosine of one linked with such a vector."""
+    angle = np.arccos(np.clip(reach, -1, 1)) + np.arccos(np.clip(cosine, -1, 1))
+    return np.where(reach > 1.5, 2.0, np.where(angle >= np.pi, -2.0, np.cos(np.minimum(angle, np.pi)) - 1e-7))
+
+
+def lists_of(near: np.ndarray, first: int, total: int) -> np.ndarray:
+    """Numbers of the lists of each row: two of its pivots, one among the ``first`` nearest, as smaller * total + larger."""
+    if near.shape[1] == 1:  # one pivot, one list
+        return near.astype(np.int64)
+    i, j = np.triu_indices(near.shape[1], 1)
+    i, j = i[i < first], j[i < first]
+    a, b = near[:, i].astype(np.int64), near[:, j].astype(np.int64)
+    return np.minimum(a, b) * total + np.maximum(a, b)
+
+
+def _counts_here(own: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether a pair, by the lists of its vectors, meets in no list of a smaller number than this one."""
+    here = np.empty(len(left), bool)
+    for at in range(0, len(left), PAIRS):
+        a, b = left[at : at + PAIRS], right[at : at + PAIRS]
+        both = (a[:, :, None] == b[:, None, :]).any(axis=2)
+        here[at : at + PAIRS] = np.where(both, a, np.iinfo(np.int64).max).min(axis=1) == own
+    return here
 
 
-def _links(cosine: float, shared: int, long: np.ndarray):
+def _links(cosine: float, first: int, total: int):
     """Rows of one pair of blocks of one list to rows (node, links, to)."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -116,6 +146,7 @@ def _links(cosine: float, shared: int, long: np.ndarray):
         units, near = matrix(frame["unit"]), np.stack(frame["near"].to_numpy())
         block, copies, home = frame["block"].to_numpy(), frame["copies"].to_numpy(), frame["home"].to_numpy() == pivot
         node = frame["node"].to_numpy()
+        named = lists_of(near, first, total) if second != HOME else near
         rows = np.flatnonzero(block == left)
         others = np.arange(len(frame)) if left == right else np.flatnonzero(block == right)
         degree, pairs = np.zeros(len(frame), np.int64), [(np.empty(0, int),) * 2]
@@ -132,7 +163,7 @@ def _links(cosine: float, shared: int, long: np.ndarray):
             i, j = np.nonzero(close)
             a, b = part[i], others[j]
             if second != HOME:
-                here = _counts_here(pivot, second, near[a], near[b], long, shared)
+                here = _counts_here(pivot * total + second, named[a], named[b])
                 a, b = a[here], b[here]
             np.add.at(degree, a, copies[b])
             np.add.at(degree, b, copies[a])
@@ -154,7 +185,7 @@ def near_duplicates(
     cosine: float = 0.9,
     pivots: int = PIVOTS,
     count: int = NEAREST,
-    shared: int = SHARED,
+    first: int = FIRST,
     list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """From (vec_id, embedding): vec_id, n_links, component_id, kept; one row per row."""
@@ -172,8 +203,8 @@ def near_duplicates(
     linked = None
     for width, n in [(r["width"], r["n"]) for r in distinct.groupBy("width").agg(F.count("*").alias("n")).collect()]:
         own = distinct.where(F.col("width") == width)
-        table = choose(own, min(pivots, max(count, n // ROWS_PER_PIVOT)), cosine)
-        more = _linked(own, table, cosine, count, shared, list_rows)
+        table = choose(own, min(pivots, max(4 * count, n // ROWS_PER_PIVOT)), cosine)
+        more = _linked(own, table, cosine, count, first, list_rows)
         linked = more if linked is None else linked.unionByName(more)
     if linked is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -189,38 +220,39 @@ def near_duplicates(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"),
     )
 
 
-def _linked(vectors: DataFrame, table: np.ndarray, cosine: float, count: int, shared: int, list_rows: int) -> DataFrame:
+def _linked(vectors: DataFrame, table: np.ndarray, cosine: float, count: int, first: int, list_rows: int) -> DataFrame:
     """(node, links, other): parts of the link counts, and links that span each component."""
-    shared = min(shared, len(table))
-    described = "node long, copies long, unit array<double>, near array<int>, home int, visits array<int>"
+    total = len(table)
+    described = "node long, copies long, unit array<double>, near array<int>, home int, reach double"
     near = stored(vectors.select("node", "copies", "unit").mapInPandas(_described(table, count, cosine), described), "permutations")
-    lists = near.where("home < 0").select("*", F.explode("near").alias("pivot"))
-    found = lists.groupBy("pivot").agg(F.count("*").alias("n")).where(F.col("n") > list_rows).collect()  # a row per pivot at most
-    long = np.zeros(len(table), bool)
-    long[[r["pivot"] for r in found]] = True
-    if not long.any() or shared < 2:
-        lists = lists.withColumn("second", F.lit(SHORT))
-        long[:] = False  # all pairs of every list are compared
+    reach = np.full(total, 2.0)
+    for r in near.where("home >= 0").groupBy("home").agg(F.min("reach").alias("least")).collect():  # a row per pivot at most
+        reach[r["home"]] = r["least"]
+    near = near.drop("reach")
+    if total > 1:
+        # two of the nearest pivots, the smaller number first; a pivot is named once, so the pairs of a row are distinct
+        places = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(min(first, total)) for j in range(i + 1, min(count, total))))
+        at = lambda p: F.get("near", p)
+        pair = lambda p: F.struct(F.least(at(p["i"]), at(p["j"])).alias("pivot"), F.greatest(at(p["i"]), at(p["j"])).alias("second"))
+        lists = near.where("home < 0").select("*", F.explode(F.transform(places, pair)).alias("l")).select("*", "l.*").drop("l")
     else:
-        names = F.array(*(F.lit(int(x)) for x in np.flatnonzero(long)))
-        later = F.array_intersect(F.filter("near", lambda x: x > F.col("pivot")), names)
-        split = F.when(F.array_contains(names, F.col("pivot")), later).otherwise(F.array(F.lit(SHORT)))
-        lists = lists.withColumn("second", F.explode(split))
-    # lists of home pivots: the vectors at home, and those that visit a pivot where any vector is
+        lists = near.where("home < 0").select("*", F.lit(0).alias("pivot"), F.lit(0).alias("second"))
     homes = near.where("home >= 0").select("*", F.col("home").alias("pivot"))
-    used = near.where("home >= 0").select(F.col("home").alias("pivot")).distinct()
-    guests = near.select("*", F.explode("visits").alias("pivot")).join(F.broadcast(used), "pivot", "left_semi").select(*homes.columns)
-    lists = lists.unionByName(homes.unionByName(guests).withColumn("second", F.lit(HOME))).drop("visits")
+    visits = f"{described.removesuffix(', reach double')}, visits array<int>"
+    guests = near.mapInPandas(_visiting(table, around(reach, cosine)), visits)
+    guests = guests.select("*", F.explode("visits").alias("pivot")).select(*homes.columns)
+    lists = stored(lists.unionByName(homes.unionByName(guests).withColumn("second", F.lit(HOME))).select("pivot", "second", "node"), "lists")
     key = ["pivot", "second"]
-    sizes = lists.groupBy(*key).agg(F.ceil(F.count("*") / list_rows).cast("int").alias("blocks")).where("blocks > 1")
-    lists = lists.join(sizes, key, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sizes = lists.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")  # a list of one vector has no pair
+    sizes = sizes.select(*key, F.ceil(F.col("n") / list_rows).cast("int").alias("blocks"))
+    lists = lists.join(sizes, key).join(near, "node")
     lists = lists.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
     paired = lists.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = paired.select(
         *key, F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "copies", "unit", "near", "home"
     )
-    return keyed.groupBy(*key, "left", "right").applyInPandas(_links(cosine, shared, long), "node long, links long, other long")
+    return keyed.groupBy(*key, "left", "right").applyInPandas(_links(cosine, first, total), "node long, links long, other long")

@@ -245,6 +245,33 @@ def test_links_of_a_dense_group_equal_brute_force(spark, monkeypatch, list_rows)
     assert [got[i] for i in range(len(x))] == close.sum(axis=1).tolist()
 
 
+def test_embedding_index_of_vectors_with_a_common_mean(spark, monkeypatch):
+    """Cosine about 0.7 to each other: all near pivots, yet hardly a home is visited; scattered pairs are found."""
+    rng = np.random.default_rng(33)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1)[..., None]
+    mean = unit(rng.normal(size=64))
+    x = unit(0.7**0.5 * mean + 0.3**0.5 * unit(rng.normal(size=(3_000, 64))))
+    x[1::10] = unit(x[::10] + 0.3 * unit(rng.normal(size=(300, 64))))
+    close = x @ x.T >= 0.9
+    np.fill_diagonal(close, False)
+    monkeypatch.setattr(pivots, "ROWS_PER_PIVOT", 10)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    links = {r["vec_id"]: r["n_links"] for r in pivots.near_duplicates(df).collect()}
+    assert sum(links.values()) >= 0.95 * close.sum() and all(links[i] <= n for i, n in enumerate(close.sum(axis=1)))
+    table = x[::10]
+    score = x @ table.T
+    reach = np.where(np.arange(300) >= 0, np.where(score >= 0.9, score, 2).min(axis=0), 2)
+    assert (score >= pivots.around(reach, 0.9)).sum(axis=1).mean() < 20
+
+
+def test_a_null_id_is_kept_only_where_all_ids_are_null(spark):
+    rows = [(0, [1.0, 0.0]), (None, [1.0, 0.0]), (None, [0.0, 1.0]), (None, None)]
+    got = pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((str(r["vec_id"]), str(r["component_id"]), r["kept"]) for r in got) == [
+        ("0", "0", True), ("None", "0", False), ("None", "None", True), ("None", "None", True)
+    ]
+
+
 def test_vectors_that_link_with_nothing(spark, folder):
     got = {r["vec_id"]: r for r in catalog.QUERIES["op9_embedding_near_dedup"](spark, folder).collect()}
     assert [got[i]["n_links"] for i in (1, 2, 3, 4, 5, 6, 7, 8)] == [0] * 8
@@ -396,6 +423,38 @@ def test_mixing_meets_targets_by_disjoint_blocks(spark):
     assert len(shards) == 4 and max(shards.values()) < 1.2 * min(shards.values())
 
 
+@pytest.mark.parametrize(("sizes", "shards", "per_shard"), [([5, 5, 5, 5, 5, 5, 5], 16, 64), ([1, 1000, 7], 4, 16), ([1, 1, 1, 0], 2, 1)])
+def test_quotas_add_up_and_shards_are_even(spark, sizes, shards, per_shard):
+    frame = spark.createDataFrame([(f"s{i}", n) for i, n in enumerate(sizes)], "source string, size long")
+    rows = mixing.blocks(mixing.targets(frame), shards, per_shard).collect()
+    live = sum(1 for n in sizes if n)
+    assert len(rows) == max(live, shards * per_shard) == len({(r["source"], r["block"]) for r in rows})
+    per = Counter(r["shard"] for r in rows)
+    assert max(per.values()) - min(per.values(), default=0) <= (live > shards * per_shard)
+    if live <= shards * per_shard:
+        assert set(per.values()) == {per_shard}
+    # contiguous stretches that cover what each source draws
+    for i in {r["source"] for r in rows}:
+        own = sorted((r["begin"], r["end"]) for r in rows if r["source"] == i)
+        assert own[0][0] == 0 and own[-1][1] == rows[[r["source"] for r in rows].index(i)]["drawn"]
+        assert all(a[1] == b[0] for a, b in zip(own, own[1:], strict=False))
+
+
+def test_blocks_per_shard_are_hypergeometric(spark):
+    """Over many seeds the blocks of a source in a shard have the mean and variance of draws without replacement."""
+    frame = spark.createDataFrame([("a", 300), ("b", 100)], "source string, size long")
+    aims = mixing.targets(frame).cache()
+    drawn = []
+    for seed in range(12):
+        rows = mixing.blocks(aims, 8, 16, seed).collect()
+        quota = sum(r["source"] == "b" for r in rows)
+        per = Counter(r["shard"] for r in rows if r["source"] == "b")
+        drawn += [per[k] for k in range(8)]
+    n, share = 8 * 16, quota / (8 * 16)
+    assert np.mean(drawn) == pytest.approx(16 * share)
+    assert np.var(drawn) == pytest.approx(16 * share * (1 - share) * (n - 16) / (n - 1), rel=0.35)
+
+
 def test_mixing_replays_in_any_partitioning(spark, odd):
     a, b = (sorted(map(str, mixing.mix(d).collect())) for d in (odd, odd.repartition(5, "text")))
     assert a == b
