@@ -174,4 +174,5 @@ def extract(pages: DataFrame, page_host: Column | None = None) -> DataFrame:
                 out.append(main_text(left, {(s["slot"], s["text"]) for s in slots.as_py() or ()}))
             yield pa.array(out, pa.string())
 
-    return found.join(templates(found), "host", "left").select("page_id", "url", text("blocks", "template").alias("text"))
+    # stored, so that Spark knows its size: small ones are broadcast, and texts are not shuffled for them
+    return found.join(stored(templates(found), "templates"), "host", "left").select("page_id", "url", text("blocks", "template").alias("text"))
