@@ -14,8 +14,9 @@ other: a bounded sample (``PIVOTS`` rows at most), while every vector is indexed
 A pair is a link by its cosine in double precision.
 
 Scale: equal vectors are one row with a count. The number of pivots grows with the table up to its bound, which keeps
-lists short. A long list of either kind is cut into hash blocks and each pair of blocks is a group of its own. So no task
-holds a whole long list and no pair is left out; the work on a dense group grows with its square, as its numbers of links
+lists short. Short lists are dealt out to tasks by a hash, as many to a task as its size allows. A long list of either kind
+is cut into hash blocks and each pair of blocks is a group of its own. So no task holds a whole long list and no pair is
+left out; the work on a dense group grows with its square, as its numbers of links
 do. A vector visits a home pivot only if the vectors at home there reach so far that one may be linked. A task gives each
 vector the number of its links and a spanning forest of them, never the pairs themselves. A pair that meets in several
 lists counts in one. The pivots and a number for each are all that the driver holds and tasks get from it.
@@ -49,6 +50,8 @@ NEAREST = 12
 FIRST = 4
 #: Rows of a block of a list.
 LIST_ROWS = 2_000
+#: Components of vectors that a task of short lists holds, about.
+TASK_VALUES = 2_000_000
 #: In place of a second pivot: the list of a home pivot.
 HOME = -1
 #: Linked pairs whose lists are compared at a time.
@@ -137,45 +140,60 @@ def _counts_here(own: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return here
 
 
+def _within(units: np.ndarray, named: np.ndarray, home: np.ndarray, block: np.ndarray, copies: np.ndarray, cosine: float, own: int | None):
+    """Of one list, or of a pair of its blocks: links of each row (counted with copies), and (root, member) that span them.
+
+    ``own`` is the number of the list among ``named``; None: the list of a home pivot, where pairs need a row at home.
+    """
+    one = block[0] == block[-1]  # rows are sorted by block
+    rows = np.flatnonzero(block == block[0])
+    others = rows if one else np.flatnonzero(block == block[-1])
+    degree, pairs = np.zeros(len(units), np.int64), []
+    for start in range(0, len(rows), 512):
+        part = rows[start : start + 512]
+        score = units[part] @ units[others].T
+        close = score >= cosine - 1e-9
+        if one:
+            close &= part[:, None] < others[None, :]
+        if own is None:
+            close &= home[part][:, None] | home[others][None, :]
+        i, j = np.nonzero(close)
+        edge = np.flatnonzero(score[i, j] < cosine + 1e-9)  # sums of another order may differ there
+        sure = np.ones(len(i), bool)
+        sure[edge] = np.einsum("ij,ij->i", units[part[i[edge]]], units[others[j[edge]]]) >= cosine
+        a, b = part[i[sure]], others[j[sure]]
+        if own is not None and len(a):
+            here = _counts_here(own, named[a], named[b])
+            a, b = a[here], b[here]
+        if len(a):
+            np.add.at(degree, a, copies[b])
+            np.add.at(degree, b, copies[a])
+            pairs.append(forest(a, b, len(units)))
+    if not pairs:
+        return degree, np.empty(0, int), np.empty(0, int)
+    return degree, *forest(*(np.concatenate(x) for x in zip(*pairs, strict=True)), len(units))
+
+
 def _links(cosine: float, first: int, total: int):
-    """Rows of one pair of blocks of one list to rows (node, links, to)."""
+    """Rows of some whole lists, or of one pair of blocks of a list, to rows (node, links, to)."""
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        pivot, second, left, right = key
-        frame = frame.sort_values(["block", "node"], kind="stable")
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["pivot", "second", "block", "node"], kind="stable")
         units, near = matrix(frame["unit"]), np.stack(frame["near"].to_numpy())
-        block, copies, home = frame["block"].to_numpy(), frame["copies"].to_numpy(), frame["home"].to_numpy() == pivot
-        node = frame["node"].to_numpy()
-        named = lists_of(near, first, total) if second != HOME else near
-        rows = np.flatnonzero(block == left)
-        others = np.arange(len(frame)) if left == right else np.flatnonzero(block == right)
-        degree, pairs = np.zeros(len(frame), np.int64), [(np.empty(0, int),) * 2]
-        for start in range(0, len(rows), 512):
-            part = rows[start : start + 512]
-            score = units[part] @ units[others].T
-            close = score >= cosine
-            i, j = np.nonzero(np.abs(score - cosine) < 1e-9)  # sums of another order may differ there
-            close[i, j] = np.einsum("ij,ij->i", units[part[i]], units[others[j]]) >= cosine
-            if left == right:
-                close &= part[:, None] < others[None, :]
-            if second == HOME:
-                close &= home[part][:, None] | home[others][None, :]
-            i, j = np.nonzero(close)
-            a, b = part[i], others[j]
-            if second != HOME:
-                here = _counts_here(pivot * total + second, named[a], named[b])
-                a, b = a[here], b[here]
-            np.add.at(degree, a, copies[b])
-            np.add.at(degree, b, copies[a])
-            pairs.append(forest(a, b, len(frame)))
-        root, member = forest(*(np.concatenate(x) for x in zip(*pairs, strict=True)), len(frame))
-        linked = np.flatnonzero(degree)
-        return pd.concat(
-            [
-                pd.DataFrame({"node": node[linked], "links": degree[linked], "other": node[linked]}),
-                pd.DataFrame({"node": node[member], "links": np.zeros(len(member), np.int64), "other": node[root]}),
-            ]
-        )
+        pivot, second, block, node, copies, home = (frame[c].to_numpy() for c in ("pivot", "second", "block", "node", "copies", "home"))
+        named = lists_of(near, first, total)
+        new = np.flatnonzero((np.diff(pivot) != 0) | (np.diff(second) != 0)) + 1
+        found = [(np.empty(0, np.int64),) * 3]
+        for start, end in zip(np.r_[0, new], np.r_[new, len(frame)], strict=True):
+            at = slice(start, end)
+            own = None if second[start] == HOME else int(pivot[start]) * total + int(second[start])
+            degree, root, member = _within(units[at], named[at], home[at] == pivot[start], block[at], copies[at], cosine, own)
+            linked = np.flatnonzero(degree)
+            if len(linked):
+                ids = node[at]
+                found.append((ids[linked], degree[linked], ids[linked]))
+                found.append((ids[member], np.zeros(len(member), np.int64), ids[root]))
+        return pd.DataFrame(dict(zip(("node", "links", "other"), (np.concatenate(x) for x in zip(*found, strict=True)), strict=True)))
 
     return run
 
@@ -248,11 +266,17 @@ def _linked(vectors: DataFrame, table: np.ndarray, cosine: float, count: int, fi
     lists = stored(lists.unionByName(homes.unionByName(guests).withColumn("second", F.lit(HOME))).select("pivot", "second", "node"), "lists")
     key = ["pivot", "second"]
     sizes = lists.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")  # a list of one vector has no pair
-    sizes = sizes.select(*key, F.ceil(F.col("n") / list_rows).cast("int").alias("blocks"))
-    lists = lists.join(sizes, key).join(near, "node")
+    sizes = stored(sizes.select(*key, "n", F.ceil(F.col("n") / list_rows).cast("int").alias("blocks")), "sizes")
+    short = sizes.where("blocks = 1").agg(F.sum("n")).first()[0] or 0
+    tasks = -(-short // max(list_rows, TASK_VALUES // table.shape[1])) or 1
+    lists = lists.join(sizes.drop("n"), key).join(near, "node")
     lists = lists.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("blocks")).cast("int"))
+    # short lists are dealt out to tasks whole; a long one has numbers of its own
+    together = F.pmod(F.xxhash64(F.lit(5), *key), F.lit(tasks))
+    alone = F.lit(tasks) + F.col("pivot").cast("long") * (total + 1) + F.col("second") - HOME
+    lists = lists.withColumn("task", F.when(F.col("blocks") == 1, together).otherwise(alone))
     paired = lists.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = paired.select(
-        *key, F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "copies", "unit", "near", "home"
+        "task", *key, F.least("block", "with").alias("left"), F.greatest("block", "with").alias("right"), "block", "node", "copies", "unit", "near", "home"
     )
-    return keyed.groupBy(*key, "left", "right").applyInPandas(_links(cosine, first, total), "node long, links long, other long")
+    return keyed.groupBy("task", "left", "right").applyInPandas(_links(cosine, first, total), "node long, links long, other long")
