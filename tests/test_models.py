@@ -72,6 +72,40 @@ def test_training_rows_do_not_depend_on_the_machine(parts):
     assert a == b and len({x[0] for x in a}) == 8
 
 
+def _shuffles(df):
+    """Exchanges that run when the frame is read."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+@pytest.mark.parametrize("onehot", [False, True])
+def test_training_rows_are_shuffled_once(parts, onehot):
+    """Passes of a learner read the rows as they were dealt out, a bucket in each partition, without another shuffle."""
+    seen = []
+
+    def fit(prepared):
+        seen.append(prepared)
+        return models.fit_learner(prepared, models.gbt(trees=1, depth=1))
+
+    models.fit_rate_model(parts[0], onehot=onehot, fit=fit, derive=create_features)
+    (prepared,) = seen
+    assert prepared.rdd.getNumPartitions() == 8
+    text = prepared.select(models.FEATURES, models.LABEL)
+    assert _shuffles(text.where(F.col(models.LABEL) < 0)) == 0
+
+
+@pytest.mark.parametrize("onehot", [False, True])
+def test_features_derived_anew_are_those_that_were_stored(parts, onehot):
+    """Only inputs are stored where the features can be derived; the prepared rows are the same, gaps included."""
+    train = parts[0].withColumn("weight", F.when(F.col("distance") > 1500, None).otherwise(F.col("weight")))
+    seen = []
+    for derive in (None, create_features):
+        fit = lambda p: seen.append(p) or models.fit_learner(p, models.gbt(trees=1, depth=1))
+        models.fit_rate_model(create_features(train), onehot=onehot, fit=fit, derive=derive)
+    a, b = (sorted(map(tuple, p.select(F.spark_partition_id(), F.xxhash64(vector_to_array(models.FEATURES), models.LABEL)).collect())) for p in seen)
+    assert a == b
+
+
 def test_levels_are_coded_by_their_mean_label(spark):
     from pyspark.ml import Pipeline
 
