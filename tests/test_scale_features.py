@@ -106,6 +106,15 @@ def test_a_trial_shuffles_a_number_and_a_value(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_a_trial_gathers_nothing_on_the_driver(spark):
+    """At any size: the values sent are the rows of the table, five times over, and are not broadcast."""
+    wide = spark.range(300).select(F.col("id").cast("string").alias("load_id"), F.col("id").cast("double").alias("c"))
+    stored, total, name = models._by_number(wide, ["load_id"])
+    text = plan(models.trials(stored, total, "c", 5, 1))
+    spark.sql(f"DROP TABLE {name}")
+    assert "Broadcast" not in text and "SortMergeJoin" in text
+
+
 # ---------------------------------------------------------------- rounds and parallel fits
 
 
