@@ -101,7 +101,8 @@ def test_features_derived_anew_are_those_that_were_stored(parts, onehot):
     seen = []
     for derive in (None, create_features):
         fit = lambda p: seen.append(p) or models.fit_learner(p, models.gbt(trees=1, depth=1))
-        models.fit_rate_model(create_features(train), onehot=onehot, fit=fit, derive=derive)
+        numeric, categorical = ["weight", "distance", "weight_log", "month"], ["route", "equipment"]
+        models.fit_rate_model(create_features(train), None, numeric, categorical, onehot=onehot, fit=fit, derive=derive)
     a, b = (sorted(map(tuple, p.select(F.spark_partition_id(), F.xxhash64(vector_to_array(models.FEATURES), models.LABEL)).collect())) for p in seen)
     assert a == b
 
