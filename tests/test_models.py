@@ -1,13 +1,18 @@
 """Models: closed form, learning, importance, replay, storage, unseen categories, time windows."""
 
+import datetime
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from loadlens.functions import constants as K
-from loadlens.functions.features import BASE_CATEGORICAL, BASE_NUMERIC, create_features
+from loadlens.functions.features import (
+    BASE_CATEGORICAL, BASE_NUMERIC, FEATURE_INPUTS, REFINED_CATEGORICAL, REFINED_NUMERIC, create_features, refined_features, sources,
+)
 from loadlens.operators import evaluate, rows, strategy
+from loadlens.operators.quantiles import group_stats
 from loadlens.plans import models, scoring, validation
 from loadlens.plans.catalog import SPLIT, WINDOWS
 from loadlens.sources import domains, star
@@ -218,3 +223,61 @@ def test_tuning_ranks_configurations(parts):
     got = validation.tune(*parts, configs=configs, tree_share=0.02).collect()
     assert [r["MAE"] for r in got] == sorted(r["MAE"] for r in got)
     assert {r["n_estimators"] for r in got} == {2} and {r["config"] for r in got} == {1, 2}
+
+
+ODD_INPUTS = (
+    "pickup string, delivery string, pickup_lat double, pickup_lon double, delivery_lat double, delivery_lon double, "
+    "distance double, equipment string, weight double, date date, market_index double, quote_signal double"
+)
+SETS = [(create_features, BASE_NUMERIC, BASE_CATEGORICAL), (refined_features, REFINED_NUMERIC, REFINED_CATEGORICAL)]
+
+
+@pytest.fixture(scope="module")
+def odd_inputs(spark):
+    """Inputs with repeats, gaps, NaN, zeros and negative values."""
+    rng = np.random.default_rng(11)
+    numbers = [None, float("nan"), 0.0, -3.0, 0.5, 1.25, 2.0, 45000.0, 700.0]
+    some = lambda values: values[rng.integers(len(values))]
+    days = [None, *(datetime.date(2001, m, 3 * m) for m in range(1, 10))]
+    made = []
+    for _ in range(120):
+        places = [some(numbers) for _ in range(4)]
+        made.append((some([None, "a", "b"]), some([None, "a", "c"]), *places, some(numbers), some(["x", "y", None]), some(numbers), some(days), some(numbers), some(numbers)))
+    return spark.createDataFrame(made * 2, ODD_INPUTS)
+
+
+@pytest.mark.parametrize("derive, numeric, categorical", SETS)
+def test_fills_from_counts_of_inputs_are_those_of_all_rows(odd_inputs, derive, numeric, categorical):
+    fills = lambda df: {r["column"]: r["fill"] for r in df.collect()}
+    features = derive(odd_inputs)
+    assert fills(models.medians(odd_inputs, numeric, derive)) == fills(models.medians(features, numeric))
+    assert fills(models.modes(odd_inputs, categorical, derive)) == fills(models.modes(features, categorical))
+
+
+@pytest.mark.parametrize("derive, numeric, categorical", SETS)
+def test_features_are_derived_once_for_equal_inputs(odd_inputs, derive, numeric, categorical):
+    """Fills look at the different inputs of a group of features, once for each feature, not at every row."""
+    found = models.derived_counts(odd_inputs, [*numeric, *categorical], derive)
+    assert sorted(c for _, own in found for c in own) == sorted([*numeric, *categorical])
+    for counted, own in found:
+        assert counted.agg(F.sum("_n")).first()[0] == odd_inputs.count()
+        assert counted.count() <= odd_inputs.distinct().count()
+    dates = next(counted for counted, own in found if "month_sin" in own)
+    assert dates.count() == odd_inputs.select("date").distinct().count()
+
+
+@pytest.mark.parametrize("derive, numeric, categorical", SETS)
+def test_features_are_made_of_the_named_inputs_alone(odd_inputs, derive, numeric, categorical):
+    alone = sources(derive)
+    whole = derive(odd_inputs)
+    for inputs in {alone[c] for c in [*numeric, *categorical]}:
+        own = [c for c in [*numeric, *categorical] if alone[c] == inputs]
+        part = derive(models.with_missing(odd_inputs.select(*inputs), odd_inputs, FEATURE_INPUTS))
+        values = lambda df: sorted(map(str, df.select(*own).collect()))  # noqa: B023, E731
+        assert values(part) == values(whole)
+
+
+def test_quantiles_of_counted_rows(spark):
+    counted = spark.createDataFrame([("a", 1.0, 3), ("a", 5.0, 2), ("a", None, 9), ("b", None, 4)], "k string, v double, n long")
+    found = group_stats(counted, ["k"], [], of="v", quantiles={"q": 0.5, "r": 0.75}, times="n")
+    assert sorted(map(tuple, found.collect())) == [("a", 1.0, 5.0), ("b", None, None)]
