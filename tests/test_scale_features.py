@@ -1,6 +1,8 @@
 """Exact samples and numbers without one task, permutations, rescued cells, dead letters, rounds, levels as a table."""
 
 import math
+import threading
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from loadlens.functions import constants as K
 from loadlens.functions.features import create_features
 from loadlens.operators import audit, buckets, gates, incremental, rows
-from loadlens.plans import models, rounds, validation
+from loadlens.plans import models, parallel, rounds, validation
 from loadlens.plans.catalog import SPLIT, WINDOWS
 from loadlens.plans.parallel import in_parallel
 from loadlens.sources import star, tables
@@ -194,6 +196,30 @@ def test_tuning_at_a_time_equals_one_after_another(spark, sf_dir, tmp_path):
     assert [r["MAE"] for r in kept] == pytest.approx([r["MAE"] for r in again], rel=1e-12)
 
 
+def test_windows_are_fitted_as_memory_allows(spark, sf_dir, monkeypatch):
+    """Fits keep their rows in memory; where it holds those of one fit, one runs at a time."""
+    loads = star.loads(spark, sf_dir)
+    lock, running, most = threading.Lock(), [0], []
+
+    def fit(train):
+        with lock:
+            running[0] += 1
+            most.append(running[0])
+        time.sleep(0.5)
+        with lock:
+            running[0] -= 1
+        return PipelineModel([SQLTransformer(statement="SELECT *, 1.8D * distance AS predicted_rate FROM __THIS__")])
+
+    for memory, together in ((1 << 40, True), (1, False)):
+        monkeypatch.setattr(parallel, "storage_bytes", lambda _, m=memory: m)
+        most.clear()
+        validation.rolling_validate(loads, fit, WINDOWS, parallel=4)
+        assert len(most) == 4 and (max(most) > 1) == together
+    monkeypatch.undo()
+    assert parallel.fits_at_once(spark, 10, 36, 8) == 8
+    assert parallel.fits_at_once(spark, 10**13, 36, 8) == 1
+
+
 def test_windows_read_their_months(spark, sf_dir, tmp_path):
     loads = star.loads(spark, sf_dir)
     stored = validation.store_by_month(loads, str(tmp_path / "m"))
