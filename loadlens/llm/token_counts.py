@@ -40,47 +40,68 @@ def scores(path: str) -> dict[bytes, float]:
         return {base64.b64decode(token): -math.log(int(rank) + 2) for token, rank in map(bytes.split, lines)}
 
 
+def endings(vocabulary: dict[bytes, float]) -> dict[bytes, float | None]:
+    """Everything that a token of the vocabulary ends with, and the score of what is a token itself."""
+    found: dict[bytes, float | None] = {token[i:]: None for token in vocabulary for i in range(len(token))}
+    return found | vocabulary
+
+
+@functools.lru_cache(maxsize=4)
+def endings_of(path: str) -> dict[bytes, float | None]:
+    return endings(scores(path))
+
+
 class Trie:
     """Counts of pre-tokens; ``best[n]`` is (score, -tokens) of the prefix that node n stands for."""
 
-    def __init__(self, vocabulary: dict[bytes, float], nodes: int = NODES):
+    def __init__(self, vocabulary: dict[bytes, float], nodes: int = NODES, ends: dict[bytes, float | None] | None = None):
         self.vocabulary, self.nodes = vocabulary, nodes
-        self.longest = max(map(len, vocabulary), default=1)
+        self.ends = endings(vocabulary) if ends is None else ends
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[int, int]] = [{}]
+        #: The child of a node by ``node << 8 | byte``.
+        self.children: dict[int, int] = {}
         self.best: list[tuple[float, int]] = [(0.0, 0)]
-        self.terminal: dict[bytes, int] = {}
+        self.terminal: dict[str | bytes, int] = {}
 
-    def count(self, token: bytes) -> int:
+    def count(self, token: str | bytes) -> int:
         """Tokens of the best cut of ``token``."""
         if (known := self.terminal.get(token)) is not None:
             return known
         if len(self.best) >= self.nodes:
             self.clear()
-        node, way, depth = 0, [0], 0
-        for depth, byte in enumerate(token, 1):
-            child = self.children[node].get(byte)
+        whole = token if isinstance(token, bytes) else token.encode("utf-8", "surrogatepass")
+        children, best, node, way = self.children, self.best, 0, [0]
+        for byte in whole:
+            child = children.get(node << 8 | byte)
             if child is None:
-                child = len(self.best)
-                self.children[node][byte] = child
-                self.children.append({})
-                self.best.append(self._forward(token, depth, way))
+                child = children[node << 8 | byte] = len(best)
+                best.append(self._forward(whole, len(way), way))
             node = child
             way.append(node)
-        self.terminal[token] = -self.best[node][1]
+        self.terminal[token] = -best[node][1]
         return self.terminal[token]
 
     def _forward(self, token: bytes, end: int, way: list[int]) -> tuple[float, int]:
-        """The best (score, -tokens) of ``token[:end]`` from those of its prefixes, which lie on ``way``."""
-        score, tokens = self.best[way[end - 1]]
-        found = (score + self.vocabulary.get(token[end - 1 : end], UNKNOWN), tokens - 1)
-        for start in range(max(0, end - self.longest), end - 1):
-            own = self.vocabulary.get(token[start:end])
-            if own is not None:
-                score, tokens = self.best[way[start]]
-                found = max(found, (score + own, tokens - 1))
+        """The best (score, -tokens) of ``token[:end]`` from those of its prefixes, which lie on ``way``.
+
+        A last token is lengthened to the left only as long as some token of the vocabulary ends with it.
+        """
+        best, ends, last = self.best, self.ends, token[end - 1 : end]
+        score, tokens = best[way[end - 1]]
+        found = (score + self.vocabulary.get(last, UNKNOWN), tokens - 1)
+        if last in ends:
+            for start in range(end - 2, -1, -1):
+                own = ends.get(token[start:end], math.inf)
+                if own is None:
+                    continue
+                if own == math.inf:
+                    break
+                score, tokens = best[way[start]]
+                cut = (score + own, tokens - 1)
+                if cut > found:
+                    found = cut
         return found
 
 
@@ -89,12 +110,12 @@ def count(text: Column, path: str) -> Column:
 
     @F.arrow_udf("struct<n_tokens:long,n_pretokens:long>")
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        trie = Trie(scores(path))
+        trie = Trie(scores(path), ends=endings_of(path))
         for batch in batches:
             tokens, parts = [], []
             for x in batch:
-                found = Counter(m.group() for m in _SPLIT.finditer(x.as_py() or ""))
-                tokens.append(sum(n * trie.count(k.encode("utf-8", "surrogatepass")) for k, n in found.items()))
+                found = Counter(_SPLIT.findall(x.as_py() or ""))
+                tokens.append(sum(n * trie.count(k) for k, n in found.items()))
                 parts.append(sum(found.values()))
             yield pa.StructArray.from_arrays([pa.array(tokens, pa.int64()), pa.array(parts, pa.int64())], names=["n_tokens", "n_pretokens"])
 

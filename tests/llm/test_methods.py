@@ -149,6 +149,25 @@ def test_trie_counts_equal_plain_dynamic_program():
         assert trie.count(t) == plain(t) == trie.count(t)
 
 
+def test_trie_looks_up_only_what_a_token_can_end_with():
+    """One long token of the vocabulary does not make every byte of every pre-token try that many pieces."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return dict.get(self, *key)
+
+    words = {b"a": -1.0, b"b": -1.5, b"ab": -1.6, b"x" * 40: -9.0}
+    trie, plain = token_counts.Trie(Counted(words)), token_counts.Trie(words)
+    if hasattr(trie, "ends"):
+        trie.ends = Counted(trie.ends)
+    token = b"ab" * 100
+    assert trie.count(token) == plain.count(token) == plain.count(token.decode()) == 100
+    assert Counted.asked <= 4 * len(token)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body class="with-sidebar">
 <!-- <p>no</p> --><nav><a href="/x>y">Menu</a></nav><header><p>Site</p></header><div class="cookie-notice">Accept</div>
 <article><header><h1>A &amp; B</h1></header><p>One<b> two.<br>three<p>Four&nbsp;&#233;<ul><li>x<li>y</ul>
