@@ -281,3 +281,11 @@ def test_quantiles_of_counted_rows(spark):
     counted = spark.createDataFrame([("a", 1.0, 3), ("a", 5.0, 2), ("a", None, 9), ("b", None, 4)], "k string, v double, n long")
     found = group_stats(counted, ["k"], [], of="v", quantiles={"q": 0.5, "r": 0.75}, times="n")
     assert sorted(map(tuple, found.collect())) == [("a", 1.0, 5.0), ("b", None, None)]
+
+
+def test_parts_of_training_rows_grow_slower_than_the_rows(spark):
+    """Each part sends the statistics of all nodes, so parts of a fixed size would send bytes in proportion to the rows."""
+    few = models.settled_rows(spark.range(50).select("id"), total=600_000)
+    many = models.settled_rows(spark.range(50).select("id"), total=60_000_000)
+    assert few.rdd.getNumPartitions() == 8 and 8 < many.rdd.getNumPartitions() <= 100
+    assert many.count() == few.count() == 50
