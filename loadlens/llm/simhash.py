@@ -6,9 +6,14 @@ band value, band first, are the leaves below one node of a binary trie. That nod
 down together bit by bit, add up the bits in which they differ, and are dropped once that is over the budget. All node
 pairs of a depth are one array operation. A pair that agrees in several bands is given by the first of them.
 
+With a budget that leaves bands of few bits, a band value holds a share of all fingerprints that does not shrink as they grow.
+There the bits are cut into ``errors + 2`` bands, of which near fingerprints agree in two at least: rows go by the first of the two,
+and a task joins only those rows of a node that agree in a second band as well.
+
 Scale: texts never leave the scan; only distinct fingerprints are joined, ``errors + 1`` rows each. A band value with
-more than ``NODE_ROWS`` fingerprints is split further before it reaches a task: the remaining bits are cut into bands
-again, which is exact for the same reason. Components are found by :func:`graphs.components` on fingerprints.
+more than ``NODE_ROWS`` fingerprints (``PAIRED_ROWS`` where a task looks for the second band) is split further before it reaches a
+task: by the second band, or the remaining bits are cut into bands again, which is exact for the same reason. Components are
+found by :func:`graphs.components` on fingerprints.
 
 * null text, empty text or no word: the fingerprint is zero, and it links like any other
 * fewer words than a shingle: the whole sequence is the only shingle; repeated shingles count each time
@@ -36,6 +41,10 @@ from loadlens.llm.shared import stored
 BITS = 64
 #: Fingerprints below one trie node that a task joins at once; larger nodes are split into bands again.
 NODE_ROWS = 20_000
+#: Fingerprints of a band value that a task joins at once by their second common band.
+PAIRED_ROWS = 200_000
+#: Bits of a band below which near fingerprints are those that agree in two bands.
+BAND_BITS = 12
 #: Rows that a task takes up before it joins their complete nodes.
 BATCH_ROWS = 50_000
 #: Node pairs that are expanded together, and row pairs of two leaves from which they are compared as a block.
@@ -196,6 +205,30 @@ def _value(low: int, width: int) -> Column:
     return F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1))
 
 
+#: Names of bands of which near fingerprints agree in two begin with it.
+PAIR = "p"
+
+
+def _bands_of(errors: int) -> dict[str, tuple[int, int]]:
+    """The bands that rows go by, by name. Short ones are the first of two; the last of that cut is never the first."""
+    if BITS // (errors + 1) < BAND_BITS:
+        return {f"{PAIR}{i}": x for i, x in enumerate(_pair_cut(errors)[:-1])}
+    return {str(i): x for i, x in enumerate(_bands([(0, BITS)], errors + 1))}
+
+
+def _pair_cut(errors: int) -> list[tuple[int, int]]:
+    return _bands([(0, BITS)], errors + 2)
+
+
+def _numbers(band: str) -> list[int]:
+    return [int(i) for i in band.removeprefix(PAIR).split(".")]
+
+
+def _first_of_two(band: str) -> bool:
+    """Whether rows of this name are to agree in one more band of the same cut."""
+    return band.startswith(PAIR) and len(_numbers(band)) == 1
+
+
 def links(prints: DataFrame, errors: int = 2, node_rows: int = NODE_ROWS, max_splits: int = 3, only: Callable | None = None) -> DataFrame:
     """From distinct fingerprints (fp long): pairs (a long, b long) that differ in at most ``errors`` bits.
 
@@ -203,13 +236,14 @@ def links(prints: DataFrame, errors: int = 2, node_rows: int = NODE_ROWS, max_sp
     Where ``prints`` has a column ``kind`` (int), only fingerprints of one kind are compared, and the pairs have it too.
     """
     kind = F.col("kind") if "kind" in prints.columns else F.lit(0).alias("kind")
-    bands = _bands([(0, BITS)], errors + 1)
-    rows = prints.select(kind, "fp", F.explode(F.array(*(F.struct(F.lit(str(i)).alias("band"), _value(*b).alias("value")) for i, b in enumerate(bands)))).alias("k"))
+    bands = _bands_of(errors)
+    rows = prints.select(kind, "fp", F.explode(F.array(*(F.struct(F.lit(name).alias("band"), _value(*b).alias("value")) for name, b in bands.items()))).alias("k"))
     rows = stored(rows.select("kind", "fp", F.col("k.band").alias("band"), F.array("k.value").alias("value")), "bands")
     node = ["kind", "band", "value"]
     ready = []
-    for _ in range(max_splits):
-        crowded = stored(rows.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > node_rows).drop("n"), "crowded")
+    for split in range(max_splits):
+        most = node_rows * (PAIRED_ROWS // NODE_ROWS) if not split and all(map(_first_of_two, bands)) else node_rows
+        crowded = stored(rows.groupBy(*node).agg(F.count("*").alias("n")).where(F.col("n") > most).drop("n"), "crowded")
         if crowded.isEmpty():
             break
         ready.append(rows.join(crowded, node, "left_anti"))
@@ -222,38 +256,54 @@ def links(prints: DataFrame, errors: int = 2, node_rows: int = NODE_ROWS, max_sp
     return dealt.mapInPandas(_joined(errors, only), "kind int, a long, b long")
 
 
-def _rest(band: str, count: int) -> list[tuple[int, int]]:
-    """Stretches of bits outside the bands that ``band`` names: 'i' or 'i.j', each cut into ``count``."""
-    parts = [(0, BITS)]
-    for i in map(int, band.split(".")):
+def _cuts(band: str, errors: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """For the bands that ``band`` names ('i', 'i.j' or with ``PAIR``): the stretches of bits outside them, and the bands before them that
+    pairs of this name do not agree in.
+
+    Where pairs agree in two bands of one cut, the first two numbers are these; every other number is a band of the longest
+    stretch that is left.
+    """
+    parts, before, names = [(0, BITS)], [], _numbers(band)
+    if band.startswith(PAIR):
+        cut, pair = _pair_cut(errors), names[:2]
+        before += [x for i, x in enumerate(cut[: pair[-1]]) if i not in pair]
+        parts, names = _outside([cut[i] for i in pair]), names[2:]
+    for i in names:
         whole = max(parts, key=lambda x: x[1])
-        cut = _bands(parts, count)
+        cut = _bands(parts, errors + 1)
+        before += cut[:i]
         parts = [x for x in parts if x != whole] + cut[:i] + cut[i + 1 :]
-    return parts
+    return parts, before
+
+
+def _outside(taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches of bits between those in ``taken``, which are in order."""
+    begins = [0, *(low + width for low, width in taken)]
+    ends = [*(low for low, _ in taken), BITS]
+    return [(low, high - low) for low, high in zip(begins, ends, strict=True) if low < high]
+
+
+def _next(band: str, errors: int) -> dict[int, tuple[int, int]]:
+    """The bands by which rows of a name are told further apart, by number."""
+    if _first_of_two(band):
+        return {i: x for i, x in enumerate(_pair_cut(errors)) if i > _numbers(band)[0]}
+    return dict(enumerate(_bands(_cuts(band, errors)[0], errors + 1)))
 
 
 def _deeper(rows: DataFrame, errors: int) -> DataFrame:
-    """Rows of crowded band values, once for each band of the longest stretch that is still free."""
-    out = None
-    for name in [r["band"] for r in rows.select("band").distinct().collect()]:  # at most (errors + 1) ** splits names
-        cut = _bands(_rest(name, errors + 1), errors + 1)
-        own = rows.where(F.col("band") == name).select(
-            "kind", "fp", "value", F.explode(F.array(*(F.struct(F.lit(f"{name}.{i}").alias("band"), _value(*b).alias("more")) for i, b in enumerate(cut)))).alias("k")
-        )
-        own = own.select("kind", "fp", F.col("k.band").alias("band"), F.concat("value", F.array("k.more")).alias("value"))
-        out = own if out is None else out.unionByName(own)
-    return out
-
-
-def _first(band: str, a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
-    """Whether ``band`` is the first one in which the pair agrees, at each cut."""
-    parts, keep = [(0, BITS)], np.ones(len(a), bool)
-    for i in map(int, band.split(".")):
-        whole = max(parts, key=lambda x: x[1])
-        cut = _bands(parts, count)
-        for low, width in cut[:i]:
-            keep &= ((a ^ b) >> np.uint64(low)) & np.uint64((1 << width) - 1) != 0
-        parts = [x for x in parts if x != whole] + cut[:i] + cut[i + 1 :]
+    """Rows of crowded band values, once for each band that tells them further apart."""
+    names = [r["band"] for r in rows.select("band").distinct().collect()]  # at most (errors + 1) ** splits names
+    cuts = [(name, f"{name}.{i}", low, (1 << width) - 1) for name in names for i, (low, width) in _next(name, errors).items()]
+    listed = rows.sparkSession.createDataFrame(cuts, "band string, deeper string, low int, mask long")
+    more = F.expr("shiftrightunsigned(fp, low) & mask")
+    return rows.join(F.broadcast(listed), "band").select("kind", "fp", F.col("deeper").alias("band"), F.concat("value", F.array(more)).alias("value"))
+
+
+def _first(band: str, a: np.ndarray, b: np.ndarray, errors: int) -> np.ndarray:
+    """Whether the bands that ``band`` names are the first ones in which the pair agrees, at each cut."""
+    keep = np.ones(len(a), bool)
+    for low, width in _cuts(band, errors)[1]:
+        keep &= ((a ^ b) >> np.uint64(low)) & np.uint64((1 << width) - 1) != 0
     return keep
 
 
@@ -261,16 +311,19 @@ def _joined(errors: int, only: Callable | None):
     def pairs(frame: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"kind": np.empty(0, np.int32), "a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})]
         for (kind, band), own in frame.groupby(["kind", "band"], sort=False):
-            group = pd.factorize(own["value"].map(tuple))[0]
-            bits = own["fp"].to_numpy(np.int64).view(np.uint64)
-            order = np.lexsort((bits, group))
-            group, bits = group[order], bits[order]
-            # before pairs are thinned out: those of other bands are left to these bands
-            first = functools.partial(_first, str(band), count=errors + 1)
-            i, j = trie_pairs(group, bits, BITS, errors, only, first)
-            if only is not None:
-                i, j = only(bits, i, j)
-            out.append(pd.DataFrame({"kind": np.full(len(i), kind, np.int32), "a": bits[i].view(np.int64), "b": bits[j].view(np.int64)}))
+            node = pd.factorize(own["value"].map(tuple))[0]
+            prints = own["fp"].to_numpy(np.int64).view(np.uint64)
+            seconds = _next(band, errors) if _first_of_two(band) else {None: (0, 0)}
+            for second, (low, width) in seconds.items():
+                group = node.astype(np.int64) << width | ((prints >> np.uint64(low)) & np.uint64((1 << width) - 1)).astype(np.int64)
+                order = np.lexsort((prints, group))
+                group, bits = group[order], prints[order]
+                # before pairs are thinned out: those of other bands are left to these bands
+                first = functools.partial(_first, band if second is None else f"{band}.{second}", errors=errors)
+                i, j = trie_pairs(group, bits, BITS, errors, only, first)
+                if only is not None:
+                    i, j = only(bits, i, j)
+                out.append(pd.DataFrame({"kind": np.full(len(i), kind, np.int32), "a": bits[i].view(np.int64), "b": bits[j].view(np.int64)}))
         return pd.concat(out)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

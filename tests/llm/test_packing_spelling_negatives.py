@@ -343,3 +343,39 @@ def test_thinning_loses_no_component(spark, monkeypatch, errors, held):
     parts = lambda x, y: len(prints) - len(graphs.forest(x, y, len(prints))[1])
     assert parts(a, b) == parts(i, j)
     assert parts(np.r_[a, i], np.r_[b, j]) == parts(i, j)
+
+
+@pytest.mark.parametrize("node_rows", [20_000, 3])
+def test_links_of_eight_bits_equal_all_pairs(spark, node_rows):
+    """Pairs agree in two bands at least; also those whose differing bits leave just two, and each pair comes once."""
+    from loadlens.llm import simhash
+
+    rng = np.random.default_rng(21)
+    base = rng.integers(0, 1 << 63, 100, dtype=np.uint64)
+    cut = simhash._pair_cut(8)
+    spread = [sum(1 << low for k, (low, _) in enumerate(cut) if k not in skip) for skip in ((0, 1), (8, 9), (3, 7))]
+    near = [base ^ np.uint64(x) for x in spread]
+    near += [np.array([int(x) ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(1, 10)), replace=False)) for x in base], np.uint64)]
+    bits = np.unique(np.r_[base, *near, np.arange(60, dtype=np.uint64)])
+    prints = spark.createDataFrame([(int(x),) for x in bits.view(np.int64)], "fp long")
+    got = [frozenset((r["a"], r["b"])) for r in simhash.links(prints, 8, node_rows).collect()]
+    signed = bits.view(np.int64)
+    i, j = np.nonzero(np.triu(np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 8, 1))
+    assert len(got) == len(set(got)) and set(got) == {frozenset(x) for x in zip(signed[i].tolist(), signed[j].tolist(), strict=True)}
+
+
+def test_a_task_compares_rows_of_two_common_bands_only(monkeypatch):
+    """The pairs that are looked at grow with far less than the rows of a band value squared."""
+    import pandas as pd
+
+    from loadlens.llm import simhash
+
+    looked = []
+    plain = simhash._leaf_pairs
+    monkeypatch.setattr(simhash, "_leaf_pairs", lambda bits, a0, a1, b0, b1, *more: (looked.append(int(((a1 - a0) * (b1 - b0)).sum())), plain(bits, a0, a1, b0, b1, *more)))
+    fp = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 6000)
+    name, (low, width) = next(iter(simhash._bands_of(8).items()))
+    fp = fp >> (low + width) << (low + width)
+    frame = pd.DataFrame({"kind": 0, "band": name, "value": [[0]] * len(fp), "key": 0, "fp": np.unique(fp)})
+    list(simhash._joined(8, simhash.spanning)(iter([frame])))
+    assert 0 < sum(looked) < len(fp) ** 2 / 4
