@@ -93,3 +93,52 @@ def test_thresholds_lie_between_values():
     # a value with most rows does not use up the thresholds of the others
     hot = binned.thresholds(np.arange(1000.0), np.where(np.arange(1000) == 0, 1e6, 1.0), 16)
     assert 1 <= len(hot) < 16
+
+
+def _numeric(spark, n=2000):
+    rows = _table(spark, n).select("a", "b", F.length("place").cast("double").alias("c"), F.log("posted_rate").alias("_label"))
+    return rows.withColumn(binned.ROW, F.xxhash64("a", "b", "c"))
+
+
+def test_trees_of_one_task_are_those_of_jobs(spark, monkeypatch):
+    """Draws, losses and margins included; a deep tree is more than one job for a level."""
+    rows = _numeric(spark).repartition(3)
+    ends = rows.agg(F.min("_label"), F.max("_label")).first()
+    made = binned.cells(rows, ["a", "b", "c"], {}, (2000, *ends))
+    monkeypatch.setattr(binned, "KEEP_TREES", 2)
+    monkeypatch.setattr(binned, "SUMS", 400)
+    for loss in ("squared", "absolute"):
+        learner = models.gbt(trees=5, rate=0.3, depth=5, rows=0.8, cols=0.7, loss=loss)
+        both = [binned.fitted(made, learner)]
+        monkeypatch.setattr(binned, "TASK_ROWS", 0)
+        both.append(binned.fitted(made, learner))
+        monkeypatch.undo()
+        text = [[(w, t.column, t.cut, t.left, t.right, t.mean().tolist()) for w, t in trees] for trees in both]
+        assert text[0] == text[1] and max(t.depth() for _, t in both[0]) == 5
+    scored = binned.predicted(rows, made, both[0], "_label").agg(F.avg(F.abs(F.col("prediction") - F.col("_label"))), F.count("_label")).first()
+    assert scored[1] == 2000 and scored[0] < 0.5
+
+
+def test_level_means_of_large_tables_are_those_of_small(spark, monkeypatch):
+    """Means from sums of whole numbers, without dealing rows out; missing texts and labels of both signs."""
+    df = _table(spark, 900).withColumn("place", F.when(F.col("place") != "l1", F.col("place")))
+    df = df.withColumn("posted_rate", F.col("posted_rate") - 150)
+    found = []
+    for cells in (10**9, 0):
+        monkeypatch.setattr(models, "CELLS", cells)
+        model = _fit(df, onehot=False)
+        assert model.stages[-2].numFeatures == 3
+        found.append({r["level"]: (r["mean"], len(r["without"])) for r in model.stages[1].levels.collect()})
+    assert found[0].keys() == found[1].keys() and len(found[0]) == 11
+    assert all(found[0][k] == pytest.approx(found[1][k], rel=1e-9) for k in found[0])
+
+
+def test_tuning_query_fits_all_trees(monkeypatch):
+    """The query gives no share of trees, so every configuration has those that it names."""
+    from loadlens.plans import catalog, validation
+
+    asked = {}
+    monkeypatch.setattr(catalog, "_split", lambda *_: ("train", "valid"))
+    monkeypatch.setattr(validation, "tune", lambda *a, **k: asked.update(k))
+    catalog.QUERIES["tuning"](None, None)
+    assert "tree_share" not in asked and "configs" not in asked
